@@ -334,6 +334,7 @@ _NEW_LOGIT = (f"({NEW_RISK['base']}::double + {NEW_RISK['inpatient']}::double *
 
 REQ = f"""
 req AS MATERIALIZED (SELECT ts, epoch_us(ts) // 1000000 AS sec, {', '.join(f'{sql} AS {c}' for c, sql in derived.REQUEST_LOG_SQL.items())} FROM events)"""
+ENDPOINTS = ("/predict", "/predict/batch", "/feedback")
 SCORED_REQ = "endpoint LIKE '/predict%' AND status = 200"
 
 
@@ -561,6 +562,19 @@ def oracle_sql() -> dict[str, str]:
             firing AS (SELECT *, w_start - 60 * row_number() OVER (PARTITION BY alert ORDER BY w_start) AS island FROM ({_ALERT_UNION}) WHERE firing)""",
             """SELECT alert, min(w_start) AS start, max(w_start) AS "end", max(w_start) - min(w_start) AS duration, min(w_start) + max(lasts) AS fires_at
             FROM firing GROUP BY alert, island HAVING max(w_start) - min(w_start) >= max(lasts)"""),
+        "stream_label_join": _with(LOGS, "SELECT request_id, encounter_id, round(score, 6) AS score, model_version, readmitted_30d FROM live"),
+        "stream_quarantine": _with(REQUESTS, """SELECT unnest(reasons) AS reason, count(*) AS n FROM judged_req GROUP BY 1
+            UNION ALL SELECT 'accepted', count(*) FROM judged_req WHERE len(reasons) = 0"""),
+        "stream_scores": _with(REQUESTS + f""",
+            scored_req AS (SELECT * REPLACE (CASE WHEN encounter_id % 149 = 0 THEN '785.4' ELSE diag_1 END AS diag_1) FROM judged_req WHERE len(reasons) = 0)""",
+            f"SELECT encounter_id, round({LACE_SQL} / 19.0::double, 6) AS score, 'lace' AS model_version FROM scored_req"),
+        "stream_telemetry": _with(REQ + f""",
+            sums AS (SELECT endpoint, sec // 60 * 60 AS s, count(*) AS requests, count(*) FILTER (WHERE status >= 500) AS errors, count(*) FILTER (WHERE status = 422) AS invalid FROM req GROUP BY 1, 2),
+            wide AS (SELECT endpoint, w_start, cast(sum(requests) AS bigint) AS requests, cast(sum(errors) AS bigint) AS errors, cast(sum(invalid) AS bigint) AS invalid
+                FROM (SELECT *, unnest(generate_series(s - 240, s, 60)) AS w_start FROM sums) GROUP BY 1, 2),
+            {','.join(bucket_quantiles(f"endpoint = '{e}'", f'q{i}', 'latency_s', LATENCY_EDGES, {'p50': 0.5, 'p95': 0.95}, 300, 60) for i, e in enumerate(ENDPOINTS))},
+            qs AS ({' UNION ALL '.join(f"SELECT '{e}' AS endpoint, * FROM q{i}" for i, e in enumerate(ENDPOINTS))})""",
+            "SELECT w_start, endpoint, requests, errors, invalid, round(p50, 6) AS p50, round(p95, 6) AS p95 FROM wide JOIN qs USING (endpoint, w_start)"),
         "slo_report": _with(REQ + f""",
             m AS (SELECT count(*) AS requests, quantile_cont(latency_s * 1000, [0.5, 0.95, 0.99]) AS p, avg(CASE WHEN status <> 200 THEN 1.0::double ELSE 0 END) AS errors,
                 (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS seconds FROM req),

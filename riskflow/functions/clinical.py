@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.contract import MED_COLS
+from riskflow.functions.once import compute_once
 
 # ---- Fixed values ----
 # ICD-9 groups by organ system, first match wins: (group, low, high, extra single code).
@@ -127,9 +128,9 @@ def lace_flag(score: Column | str) -> Column:
 
 
 def with_lace(df: DataFrame, name: str = "lace") -> DataFrame:
-    """Add the index. Codes are parsed in a projection of their own, so the ranges compare plain columns."""
+    """Add the index. Each code is parsed once, so that the ranges compare plain numbers."""
     parsed = {f"_icd_{i}": icd9_number(f"diag_{i}") for i in (1, 2, 3)}
-    scored = df.withColumns(parsed).withColumn(name, lace_score(numbers=[F.col(c) for c in parsed]))
+    scored = compute_once(df, parsed).withColumn(name, lace_score(numbers=[F.col(c) for c in parsed]))
     return scored.drop(*parsed)
 
 

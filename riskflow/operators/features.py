@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from riskflow.contract import CAT_COLS, CODE_COLS, INPUT_COLS, LAB_COLS, NUM_COLS
 from riskflow.functions import (
-    age_mid, icd9_group, icd9_number, n_med_changes, n_meds_active, specialty_group, total_visits,
+    age_mid, compute_once, icd9_group, icd9_number, n_med_changes, n_meds_active, specialty_group, total_visits,
 )
 from riskflow.operators.ranking import quantiles
 from riskflow.session import stage
@@ -40,7 +40,7 @@ def ensure_inputs(df: DataFrame) -> DataFrame:
 def clean(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The 27 features in fixed order, after the ``keep`` columns. Narrow: no state, no shuffle.
 
-    Two projections: the first parses each diagnosis code and reads ``?`` as null, the second derives.
+    First ``?`` is read as null and each diagnosis code is parsed, then everything is derived from that.
     """
     keep = keep or []
     raw = ensure_inputs(df)
@@ -54,8 +54,7 @@ def clean(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
             # An empty lab cell means "not tested" in training data, so it does in requests too.
             cell = F.when(F.col(f"`{c}`").isNull(), F.lit("None")).otherwise(cell)
         cells.append(cell.alias(c))
-    codes = [icd9_number(F.nullif(F.col(f"diag_{i}").cast("string"), F.lit("?"))).alias(f"_icd_{i}") for i in (1, 2, 3)]
-    d = raw.select(*kept, *cells, *codes)
+    d = compute_once(raw.select(*kept, *cells), {f"_icd_{i}": icd9_number(f"diag_{i}") for i in (1, 2, 3)})
     derived = {
         "age_num": age_mid("age"),
         "total_visits": total_visits(),

@@ -77,10 +77,7 @@ def class_weights(train: DataFrame) -> tuple[int, DataFrame]:
 
 def make_estimator(kind: str, options: dict, n_rows: int, seed: int, suffix: str = ""):
     """An MLlib estimator over ``features``, ``target`` and, when balanced, ``weight``."""
-    columns = dict(
-        featuresCol="features", labelCol=TARGET, predictionCol=f"prediction{suffix}",
-        rawPredictionCol=f"rawPrediction{suffix}", probabilityCol=f"probability{suffix}",
-    )
+    columns = dict(featuresCol="features", labelCol=TARGET, predictionCol=f"prediction{suffix}")
     if kind == "logreg":
         # The penalty is per summed loss there and per averaged loss here.
         est = LogisticRegression(
@@ -95,9 +92,8 @@ def make_estimator(kind: str, options: dict, n_rows: int, seed: int, suffix: str
         )
     else:
         raise ValueError(f"unknown model: {kind}")
-    if options.get("balanced"):
-        est = est.setWeightCol("weight")
-    return est
+    est = est.setRawPredictionCol(f"rawPrediction{suffix}").setProbabilityCol(f"probability{suffix}")
+    return est.setWeightCol("weight") if options.get("balanced") else est
 
 
 def _calibrated(rows: DataFrame, options: dict, n_rows: int, seed: int) -> list:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskflow import contract as C
 from riskflow.contract import ColumnRule
+from riskflow.functions import compute_once
 from riskflow.params import Params
 from riskflow.session import stage
 
@@ -110,7 +111,7 @@ def violation_report(df: DataFrame, rules: list[ColumnRule] = C.DATASET_RULES) -
 def _missing(df: DataFrame, name: str) -> Column:
     cell = F.col(f"`{name}`")
     missing = cell.isNull() | (cell == "?") if _is_text(df, name) else cell.isNull()
-    return F.avg(F.when(missing, 1.0).otherwise(0.0))
+    return F.try_divide(F.count_if(missing), F.count("*"))
 
 
 def missing_rates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -191,11 +192,9 @@ def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
     """
     spaced = {r.name: r.name.replace("-", "_") for r in C.REQUEST_RULES if "-" in r.name}
     text = T.StructType(C.REQUEST_TEXT_SCHEMA.fields + [T.StructField(n, T.StringType()) for n in spaced.values()])
-    # Generating the parsed line as a row of its own keeps it one column: as a plain projection the
-    # optimizer would copy the parser into each of the many expressions that read a field.
-    parsed = lines.select("*", F.inline(F.array(F.struct(
-        F.from_json(line, text).alias("_request"), F.json_object_keys(line).alias("_keys"),
-    ))))
+    parsed = compute_once(lines, {
+        "_request": F.from_json(line, text), "_keys": F.json_object_keys(line),
+    })
     fields = []
     for rule in C.REQUEST_RULES:
         value = F.col(f"_request.`{rule.name}`")

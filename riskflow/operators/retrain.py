@@ -9,6 +9,7 @@ from riskflow.contract import INPUT_COLS, TARGET
 from riskflow.functions import hash_bucket
 from riskflow.operators.quality import validate
 from riskflow.params import Params
+from riskflow.session import stage
 
 
 def labeled_rows(labelled: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def build_dataset_version(
     old: DataFrame, labelled: DataFrame, params: Params = Params(), check: bool = True
 ) -> DataFrame:
     """The merged table (``old`` has a ``split`` column); invalid new rows raise before anything is merged."""
-    new = last_per_encounter(labeled_rows(labelled))
+    new = stage(last_per_encounter(labeled_rows(labelled)))
     if check:
         validate(to_raw_form(new).select("encounter_id", "patient_nbr", "readmitted", *INPUT_COLS), params, min_rows=1)
     return merge_labeled(old, split_new_labels(new, params))

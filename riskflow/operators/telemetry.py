@@ -46,7 +46,7 @@ def windowed_sums(
     return spread.groupBy(*by, "w_start").agg(*[F.sum(k).alias(k) for k in sums])
 
 
-def _flag(condition: Column) -> Column:
+def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
@@ -56,9 +56,9 @@ def request_rate(log: DataFrame, by: str = "endpoint", size: int = 60) -> DataFr
     return n.select(by, "w_start", "n", (F.col("n") / F.lit(float(size))).alias("per_second"))
 
 
-def _buckets(value: str, edges: list[float]) -> dict[str, Column]:
-    counts = {f"_b{i}": _flag(F.col(value) <= F.lit(e)) for i, e in enumerate(edges)}
-    return {**counts, "n": _flag(F.col(value).isNotNull())}
+def bucket_flags(value: str, edges: list[float]) -> dict[str, Column]:
+    counts = {f"_b{i}": flag(F.col(value) <= F.lit(e)) for i, e in enumerate(edges)}
+    return {**counts, "n": flag(F.col(value).isNotNull())}
 
 
 def interpolate(cumulative: Column, total: Column, edges: list[float], q: float) -> Column:
@@ -89,7 +89,7 @@ def histogram_quantile(
     step: int | None = None, by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Quantiles per window from fixed buckets: (by..., w_start, n, one column per prob)."""
-    sums = windowed_sums(log, _buckets(value, edges), size, step, by)
+    sums = windowed_sums(log, bucket_flags(value, edges), size, step, by)
     cumulative = F.array(*[F.col(f"_b{i}") for i in range(len(edges))])
     return sums.select(
         *by, "w_start", "n", *[interpolate(cumulative, F.col("n"), edges, q).alias(name) for name, q in probs.items()]
@@ -110,7 +110,7 @@ def score_quantiles(log: DataFrame, size: int = 300, step: int = 60) -> DataFram
 
 
 def _share(log: DataFrame, condition: Column, name: str, size: int, step: int | None) -> DataFrame:
-    sums = windowed_sums(log, {"n": F.lit(1), "hits": _flag(condition)}, size, step)
+    sums = windowed_sums(log, {"n": F.lit(1), "hits": flag(condition)}, size, step)
     seconds = F.lit(float(size))
     rate = (F.col("hits") / seconds) / F.greatest(F.col("n") / seconds, F.lit(RATE_FLOOR))
     return sums.select("w_start", "n", "hits", rate.alias(name))

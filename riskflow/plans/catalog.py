@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +13,14 @@ from riskflow.functions import (
     age_mid, charlson, hash_bucket, icd9_group, lace_flag, lace_risk, n_med_changes, n_meds_active,
     register_sql_functions, specialty_group, total_visits, with_lace,
 )
-from riskflow.operators import cohort, drift, evaluation, features, gate, monitoring, quality, retrain
-from riskflow.operators import scoring, telemetry
+from riskflow.operators import cohort, drift, evaluation, features, gate, models, monitoring, quality
+from riskflow.operators import retrain, scoring, telemetry
 from riskflow.operators.ranking import exact_quantiles, histogram
-from riskflow.params import Params
-from riskflow.session import stage
-from riskflow.sources import datagen, derived
+from riskflow.params import Experiment, Params
+from riskflow.plans import jobs
+from riskflow.session import shared_dir, stage
+from riskflow.sources import datagen, derived, read_prediction_log, sinks
+from riskflow.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -608,3 +611,93 @@ def sustained_alerts(spark, d):
 @query
 def slo_report(spark, d):
     return telemetry.slo_report(derived.request_log(spark, d), PARAMS)
+
+
+# ---- models ------------------------------------------------------------------------------------
+
+# Few and shallow trees: the catalogue shows the path, not the best model.
+SMALL = Params(experiments=(
+    Experiment("logreg_balanced", "logreg", {"C": 1.0, "balanced": True, "max_iter": 20}),
+    Experiment("gbt_calibrated", "gbt", {"step": 0.1, "max_iter": 3, "max_depth": 3, "calibrate": True}),
+))
+
+
+def _parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    rows = stage(_labelled(spark, d))
+    return {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
+
+
+@query
+def experiments(spark, d):
+    """Rule baseline and fitted models on the validation split."""
+    return jobs.train(_parts(spark, d), SMALL).comparison.drop("seq")
+
+
+@query
+def batch_scores(spark, d):
+    """Fit on the training split, score every test encounter, decide at the validation threshold."""
+    parts = _parts(spark, d)
+    feature_model, vectors = models.fit_features(parts["train"])
+    model = models.fit(SMALL.experiments[0], feature_model, vectors, SMALL)
+    limit = scoring.fit_threshold(scoring.score(parts["val"], model), SMALL.top_k_frac)
+    return scoring.decide(scoring.score(parts["test"], model), limit.scalar(), "v1")
+
+
+# ---- streams -----------------------------------------------------------------------------------
+
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/riskflow-stream-{uuid.uuid4().hex}"
+
+
+@query
+def stream_label_join(spark, d):
+    """The logs written as JSON, joined as two streams, then reduced to the last label."""
+    run = _run_dir(spark)
+    sinks.append_log(derived.prediction_log(spark, d), f"{run}/predictions")
+    sinks.append_log(derived.label_log(spark, d), f"{run}/labels")
+    joined = streams.join_labels(
+        streams.stream_predictions(spark, f"{run}/predictions"), streams.stream_labels(spark, f"{run}/labels")
+    )
+    writer = joined.writeStream.format("parquet").option("path", f"{run}/joined")
+    writer.option("checkpointLocation", f"{run}/check").trigger(availableNow=True).start().awaitTermination()
+    rows = streams.last_label(spark.read.parquet(f"{run}/joined"))
+    return rows.select("request_id", "encounter_id", r6("score").alias("score"), "model_version", "readmitted_30d")
+
+
+@query
+def stream_quarantine(spark, d):
+    """Requests as a text stream, routed to accepted and quarantined tables."""
+    run = _run_dir(spark)
+    derived.request_lines(spark, d).select("line").write.text(f"{run}/requests")
+    streams.validate_stream(
+        streams.stream_requests(spark, f"{run}/requests"), f"{run}/accepted", f"{run}/rejected", f"{run}/check"
+    ).awaitTermination()
+    reasons = F.explode(F.transform("violations", lambda v: F.concat_ws(":", v["column"], v["check"], v["value"])))
+    rejected = spark.read.parquet(f"{run}/rejected").select(reasons.alias("reason")).groupBy("reason").count()
+    accepted = spark.read.parquet(f"{run}/accepted").agg(F.count("*").alias("count"))
+    return rejected.unionByName(accepted.withColumn("reason", F.lit("accepted"))).withColumnRenamed("count", "n")
+
+
+@query
+def stream_scores(spark, d):
+    """Requests checked, scored by the rule index and logged by one stream; the log read back."""
+    run = _run_dir(spark)
+    derived.request_lines(spark, d).select("line").write.text(f"{run}/requests")
+    streams.score_stream(
+        streams.stream_requests(spark, f"{run}/requests"), models.LaceModel(), 10 / 19, "lace", f"{run}/log",
+        f"{run}/check", now=F.lit(SNAPSHOT_TIME).cast("timestamp"),
+    ).awaitTermination()
+    rows = monitoring.flatten_predictions(read_prediction_log(spark, f"{run}/log"))
+    return rows.select("encounter_id", r6("score").alias("score"), "model_version")
+
+
+@query
+def stream_telemetry(spark, d):
+    """Sliding windows over the request log as a stream, in update mode."""
+    run = _run_dir(spark)
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    windows = streams.telemetry(derived.request_log_of(events))
+    streams.telemetry_sink(windows, f"{run}/windows", f"{run}/check").awaitTermination()
+    return _rounded(streams.latest_windows(spark, f"{run}/windows"), "p50", "p95")

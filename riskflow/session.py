@@ -17,6 +17,8 @@ def local_session(cpus: str = "8", app: str = "riskflow", **conf: str) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         # Small test tables would otherwise be merged into one or two tasks.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Wide projections compile to methods the JVM would only interpret; this splits them instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("RISKFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
