@@ -167,7 +167,7 @@ def validation_issues(df: DataFrame, params: Params = Params(), min_rows: int |
     )
     absent = spark.createDataFrame(
         [("schema", c, "column_in_dataframe", 1, None, None) for c in missing_columns(df, C.DATASET_RULES)],
-        schema.schema,
+        "type string, column string, check string, n_failures bigint, examples array<string>, value double",
     )
     return schema.unionByName(dataset).unionByName(absent)
 

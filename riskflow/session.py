@@ -19,6 +19,9 @@ def local_session(cpus: str = "8", app: str = "riskflow", **conf: str) -> SparkS
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # Wide projections compile to methods the JVM would only interpret; this splits them instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Recording the Python call site of every column costs more than small queries take.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("RISKFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
