@@ -25,6 +25,7 @@ def gate_rules(spark: SparkSession, params: Params = Params()) -> DataFrame:
         ("score_time_max", "score_seconds_per_million_rows", "<=",
          params.max_score_seconds_per_million_rows, None, False),
     ]
+    rows = [(check, metric, op, float(limit), *rest) for check, metric, op, limit, *rest in rows]
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 

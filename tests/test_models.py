@@ -20,7 +20,11 @@ from riskflow.streaming import streams
 
 LOGREG = Experiment("logreg", "logreg", {"C": 1.0, "balanced": True, "max_iter": 50})
 CALIBRATED = Experiment("calibrated", "gbt", {"step": 0.1, "max_iter": 3, "max_depth": 3, "calibrate": True})
-NOW = F.lit("2024-06-01 00:00:00").cast("timestamp")
+
+
+def now():
+    return F.lit("2024-06-01 00:00:00").cast("timestamp")
+
 
 
 @pytest.mark.parametrize("code,group", [
@@ -122,12 +126,12 @@ def test_no_train_serve_skew_and_saved_model(spark, training, splits, tmp_path):
 def test_gate(spark, training, splits, tmp_path):
     alerts = str(tmp_path / "alerts")
     ops = jobs.operational_metrics(spark, training.model, splits["test"], str(tmp_path / "m"))
-    result = jobs.gate_model(training, splits["test"], "v1", NOW, champion=training.model,
+    result = jobs.gate_model(training, splits["test"], "v1", now(), champion=training.model,
                              params=Params(min_pr_auc=0.01, min_gain_over_baseline=-1, max_fairness_gap=1.0),
                              operational=ops, alert_path=alerts).first()
     checks = {c["check"]: c["passed"] for c in result["checks"]}
     assert result["status"] == "approved" and len(checks) == 7 and all(checks.values())
-    strict = jobs.gate_model(training, splits["test"], "v2", NOW, params=Params(min_pr_auc=0.99), alert_path=alerts).first()
+    strict = jobs.gate_model(training, splits["test"], "v2", now(), params=Params(min_pr_auc=0.99), alert_path=alerts).first()
     assert strict["status"] == "rejected" and "not_worse_than_champion" not in {c["check"] for c in strict["checks"]}
     assert spark.read.json(alerts).select("title").first()[0] == "MODEL v2 REJECTED BY GATE"
 
@@ -141,8 +145,8 @@ def test_gate_fails_without_a_required_metric(spark):
 def production(spark, rows, model, tmp_path, name):
     """Logs of a cohort scored by a model, with labels 30 days later."""
     log, labels = str(tmp_path / f"{name}-pred"), str(tmp_path / f"{name}-labels")
-    scoring.score_and_log(rows, model, 0.5, "v1", NOW, log)
-    append_log(rows.select((NOW + F.expr("interval 30 days")).alias("ts"), "encounter_id",
+    scoring.score_and_log(rows, model, 0.5, "v1", now(), log)
+    append_log(rows.select((now() + F.expr("interval 30 days")).alias("ts"), "encounter_id",
                            (F.col(C.TARGET) == 1).alias("readmitted_30d")), labels)
     return read_prediction_log(spark, log), read_label_log(spark, labels)
 
@@ -158,7 +162,7 @@ def test_monitoring_and_retraining(spark, training, splits, tmp_path):
     def run(name):
         rows = stage(datagen.shift_cohort(datagen.resample(splits["test"], 1.5, 7), name, 7))
         log, labels = production(spark, rows, model, tmp_path, name)
-        snap = jobs.monitor(train_rows, reference, log, labels, NOW, "v1", history_path=history, alert_path=alerts,
+        snap = jobs.monitor(train_rows, reference, log, labels, now(), "v1", history_path=history, alert_path=alerts,
                             reference_profile=spark.read.parquet(profile_path))
         return log, labels, snap
 
@@ -181,19 +185,19 @@ def test_monitoring_and_retraining(spark, training, splits, tmp_path):
         one = part.withColumn("split", F.lit(name))
         table = one if table is None else table.unionByName(one)
     few = Params(experiments=(LOGREG,), min_labels=10**9)
-    waiting = jobs.retrain_model(snap, table, log, labels, NOW, few, alert_path=alerts)
+    waiting = jobs.retrain_model(snap, table, log, labels, now(), few, alert_path=alerts)
     assert (waiting.retrained, waiting.reason) == (False, "awaiting_labels")
-    done = jobs.retrain_model(snap, table, log, labels, NOW, Params(experiments=(LOGREG,)))
+    done = jobs.retrain_model(snap, table, log, labels, now(), Params(experiments=(LOGREG,)))
     assert done.retrained and done.reason == "concept_drift"
     assert done.table.count() == table.count() + log.count()
     calm = spark.range(1).select(F.lit(False).alias("retrain_recommended"))
-    assert not jobs.retrain_model(calm, table, log, labels, NOW).retrained
+    assert not jobs.retrain_model(calm, table, log, labels, now()).retrained
 
 
 def test_too_few_predictions(spark, training, splits, tmp_path):
     log, labels = production(spark, splits["test"].limit(20), training.models["logreg"], tmp_path, "few")
     reference = scoring.score(splits["test"], training.models["logreg"], keep=("encounter_id", C.TARGET))
-    snap = jobs.monitor(splits["train"], reference, log, labels, NOW).first()
+    snap = jobs.monitor(splits["train"], reference, log, labels, now()).first()
     assert snap["status"] == "insufficient_data" and not snap["retrain_recommended"]
 
 
