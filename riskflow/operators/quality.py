@@ -212,7 +212,8 @@ def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
         F.lit(None).cast("string").alias("column"), F.lit("json").alias("check"), F.col(line).alias("value")
     ))
     checked = F.when(F.col("_broken"), broken).otherwise(violations(rows, C.REQUEST_RULES, whole_floats=True))
-    return rows.withColumn("violations", checked).drop("_broken")
+    # Callers filter on the violations and read them: both must see one computation.
+    return compute_once(rows, {"violations": checked}).drop("_broken")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

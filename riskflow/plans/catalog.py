@@ -459,9 +459,9 @@ def _reference_scored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _live(spark: SparkSession, d: str) -> DataFrame:
-    preds = monitoring.flatten_predictions(derived.prediction_log(spark, d)).select(
+    preds = stage(monitoring.flatten_predictions(derived.prediction_log(spark, d)).select(
         "request_id", "ts", "encounter_id", "score", "model_version"
-    )
+    ))
     return monitoring.attach_labels(preds, derived.label_log(spark, d))
 
 

@@ -7,14 +7,17 @@ or with ``split_part`` for other engines, so a check in another engine starts fr
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import contract as C
 from riskflow.functions import hash_bucket, with_lace
 from riskflow.functions.clinical import LACE_FLAG_AT, LACE_MAX
-from riskflow.operators.history import most_visits, visit_sequence
+from riskflow.operators.history import visit_sequence
+from riskflow.session import shared_dir
 
 PERIOD_CUT = "1999-01-01"
 RETRAIN_CUT = "2000-01-01"
@@ -100,10 +103,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_MOST_VISITS: dict[tuple[str, str], int] = {}
-
-
-def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encounter_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One encounter per order: 48 contract columns and ``discharge_ts``."""
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"),
@@ -120,17 +120,33 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
         )
     )
-    # The tables do not change, so the busiest patient is looked up once per session.
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _MOST_VISITS:
-        _MOST_VISITS[known] = most_visits(orders, "c")
-    visits = visit_sequence(orders, "c", "ts", "k", largest=_MOST_VISITS[known]).join(customers, "c").join(lines, "k", "left")
+    visits = visit_sequence(orders, "c", "ts", "k").join(customers, "c").join(lines, "k", "left")
     zeros = {c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("n_lines", "qty", "n_ret")}
     return visits.withColumns(zeros).select(
         *[F.expr(sql).alias(name) for name, sql in encounter_sql().items()]
     )
 
 
+_TABLES: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+
+
+def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounter table: the view, written to the shared folder once per session and source.
+
+    Operators start from a stored encounter table, so this is one, with columns to prune and filters
+    to push down. All encounters are in it.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        view = encounter_view(spark, sf_dir)
+        path = f"{shared_dir(spark)}/riskflow-encounters-{uuid.uuid4().hex}"
+        view.write.parquet(path)
+        _TABLES[key] = (path, view.schema)
+    path, schema = _TABLES[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def faulty_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The encounter table as text, with known faults: bad values, nulls and repeated ids."""
     planted = {c: f"case when {when} then {value.format(text='string')} else cast(`{c}` as string) end"
