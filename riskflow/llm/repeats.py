@@ -14,7 +14,8 @@ least such name is the window's sign:
 
 1. count in how many documents each sign occurs, and tell every document which of its signs occur elsewhere;
 2. for windows with a shared sign only, find the smallest ``doc_id`` among equal windows, compared by sign and by a hash of
-   all their words (128 bits together);
+   all their words (128 bits together): first for whole runs of windows with one sign, then window by window among runs
+   that differ;
 3. remove the words under windows that also start in a smaller ``doc_id``.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm import store
-from riskflow.llm.text import Words, blocks, covered, mix, windows, words
+from riskflow.llm.text import Words, blocks, mix, windows, words
 
 WINDOW = 50
 RUN_CAP = 2
@@ -118,9 +119,8 @@ def shared_signs(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     return own.join(twice, "sign").groupBy("row").agg(F.collect_set("sign").alias("signs"))
 
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Per document (by ``row``) that loses words: first words of its windows that also start in a smaller ``doc_id``."""
-    shared = store.keep(shared_signs(docs, size), "shared-signs")
+def _runs(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
+    """Runs of consecutive windows with one shared sign: the sign, a hash of the run's words, place and window hashes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,18 +130,54 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
                 doc = found.doc[at] if len(at) else at
                 lists = part.column("signs")
                 own = mix(lists.flatten().to_numpy().view(np.uint64) ^ np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-                hit = np.flatnonzero(np.isin(mix(sign ^ doc.astype(np.uint64) * _U(0x9E3779B97F4A7C15)), own))
-                row, ids = part.column("row").to_numpy(), part.column("doc_id")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sign[hit].view(np.int64)), pa.array(value[hit].view(np.int64)), pa.array(row[doc[hit]]), ids.take(pa.array(doc[hit])), pa.array(at[hit] - found.first[doc[hit]], pa.int32())],
-                    names=["sign", "value", "row", "doc_id", "at"],
-                )
+                head = np.ones(len(sign), bool)
+                head[1:] = (sign[1:] != sign[:-1]) | (doc[1:] != doc[:-1])
+                head = np.flatnonzero(head)
+                n = np.diff(np.append(head, len(sign)))
+                place = (np.arange(len(sign)) - np.repeat(head, n)).astype(np.uint64)
+                whole = np.add.reduceat(mix(value + place * _U(0xC2B2AE3D27D4EB4F)), head) if len(head) else value
+                hit = np.isin(mix(sign[head] ^ doc[head].astype(np.uint64) * _U(0x9E3779B97F4A7C15)), own)
+                values = pa.LargeListArray.from_arrays(pa.array(np.append(head, len(sign)), pa.int64()), pa.array(value.view(np.int64))).filter(pa.array(hit)).cast(pa.list_(pa.int64()))
+                head, n, whole = head[hit], n[hit], whole[hit]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(sign[head].view(np.int64)), pa.array(whole.view(np.int64)), pa.array(n, pa.int32()), pa.array(part.column("row").to_numpy()[doc[head]]),
+                    part.column("doc_id").take(pa.array(doc[head])), pa.array(at[head] - found.first[doc[head]], pa.int32()), values,
+                ], names=["sign", "whole", "n", "row", "doc_id", "at", "values"])
+
+    own = _keyed(docs).join(shared, "row").select("row", "doc_id", "text", "signs")
+    return own.mapInArrow(rows, "sign bigint, whole bigint, n int, row bigint, doc_id bigint, at int, values array<bigint>")
 
-    own = _keyed(docs).join(shared, "row").select("row", "doc_id", "text", "signs").mapInArrow(rows, "sign bigint, value bigint, row bigint, doc_id bigint, at int")
-    own = store.keep(own, "windows")
-    first = own.groupBy("sign", "value").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
-    later = own.join(first, ["sign", "value"]).filter(F.col("first") < F.col("doc_id"))
-    return later.groupBy("row").agg(F.collect_set("at").alias("starts"))
+
+def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """Per document (by ``row``) that loses words: its windows that also start in a smaller ``doc_id``, as ranges.
+
+    Consecutive windows with one sign form a run. Of equal runs, those after the smallest ``doc_id`` are repeats as a
+    whole. Only the windows of the first of each kind of run are then compared one by one, where a sign has several kinds:
+    for every window there, the smallest document that has it is the first of one of these runs.
+    """
+    shared = store.keep(shared_signs(docs, size), "shared-signs")
+    runs = store.keep(_runs(docs, shared, size), "runs")
+    store.remove(docs.sparkSession, [shared])
+    kinds = runs.groupBy("sign", "whole", "n").agg(F.min("doc_id").alias("first")).filter("first IS NOT NULL")
+    kinds = store.keep(kinds, "kinds")
+    several = kinds.groupBy("sign").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("sign")
+    firsts = runs.join(kinds.withColumnRenamed("first", "doc_id"), ["sign", "whole", "n", "doc_id"]).join(several, "sign")
+    firsts = store.keep(firsts.select("sign", "doc_id", "row", "at", F.posexplode("values").alias("k", "value")), "first-windows")
+    least = firsts.groupBy("sign", "value").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
+    one = firsts.join(least, ["sign", "value"]).filter(F.col("first") < F.col("doc_id")).select("row", (F.col("at") + F.col("k")).alias("at"), F.lit(1).alias("n"))
+    whole = runs.join(kinds, ["sign", "whole", "n"]).filter(F.col("first") < F.col("doc_id")).select("row", "at", "n")
+    out = store.keep(whole.unionByName(one).groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("ranges")), "repeats")
+    store.remove(docs.sparkSession, [runs, kinds, firsts])
+    return out
+
+
+def _under(n: int, ranges: pa.StructArray, size: int) -> np.ndarray:
+    """Which of ``n`` words lie under the windows of the ranges."""
+    edge = np.zeros(n + 1, np.int64)
+    at, count = (ranges.field(k).to_numpy().astype(np.int64) for k in ("at", "n"))
+    np.add.at(edge, at, 1)
+    np.subtract.at(edge, at + count - 1 + size, 1)
+    return np.cumsum(edge)[:n] > 0
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -154,21 +190,21 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """
     store.prepare(docs.sparkSession)
     _check(size)
-    starts = store.keep(repeated_windows(docs, size), "repeats")
+    ranges = repeated_windows(docs, size)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, n, gone, sha = [], [], [], []
-            for value, lost in zip(batch.column("text"), batch.column("starts")):
+            for value, lost in zip(batch.column("text"), batch.column("ranges")):
                 own = value.as_buffer().to_pybytes().split() if value.is_valid else []
                 n.append(len(own))
                 if lost.is_valid:
-                    out = covered(len(own), lost.values.to_numpy().astype(np.int64), size)
+                    out = _under(len(own), lost.values, size)
                     own = [w for w, x in zip(own, out.tolist()) if not x]
                 gone.append(n[-1] - len(own))
                 text.append(b" ".join(own))
                 sha.append(hashlib.sha256(text[-1]).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha)], names=["doc_id", "text", "n_words", "n_removed", "kept_sha256"])
 
-    joined = _keyed(docs).join(starts, "row", "left").select("doc_id", "text", "starts")
+    joined = _keyed(docs).join(ranges, "row", "left").select("doc_id", "text", "ranges")
     return joined.mapInArrow(rows, "doc_id bigint, text string, n_words bigint, n_removed bigint, kept_sha256 string")
