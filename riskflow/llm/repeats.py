@@ -10,7 +10,7 @@ name and no dictionary has to be shuffled between rounds. Which names are shared
 Spans are capped (``CAPS``: words in a run, then words in a pair, by round). A round can spoil at most ``cap - 1`` words at
 either end of an equal passage (the runs: ``cap``), together ``MARGIN``. So each symbol that lies inside a window but for
 ``MARGIN`` words at either end is found in every equal window, and since spans are at most the last cap there is one. The
-least such name is the window's sign:
+symbol with the least name, taken with the ``MARGIN`` words before and after it, is the window's sign:
 
 1. count in how many documents each sign occurs, and tell every document which of its signs occur elsewhere;
 2. for windows with a shared sign only, find the smallest ``doc_id`` among equal windows, compared by sign and by a hash of
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm import store
-from riskflow.llm.text import Words, blocks, mix, windows, words
+from riskflow.llm.text import Words, blocks, hash_ranges, mix, windows, words
 
 WINDOW = 50
 RUN_CAP = 2
@@ -77,14 +77,20 @@ def signs(found: Words, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.
     lo = np.searchsorted(first, at + MARGIN)
     hi = np.searchsorted(first + span, at + size - MARGIN, side="right")  # symbols lo to hi - 1 lie inside
     n = hi - lo
-    least, low, out = name, 1, np.empty(len(at), np.uint64)
+    least, low, chosen = np.arange(len(name)), 1, np.empty(len(at), np.int64)
     while True:  # the least of a range is that of two overlapping ranges whose length is a power of two
         now = np.flatnonzero((n >= low) & (n < 2 * low))
-        out[now] = np.minimum(least[lo[now]], least[hi[now] - low])
+        chosen[now] = _lesser(name, least[lo[now]], least[hi[now] - low])
         if (n < 2 * low).all():
             break
-        least, low = np.minimum(least[:-low], least[low:]), 2 * low
-    return out, value, at
+        least, low = _lesser(name, least[:-low], least[low:]), 2 * low
+    begin, end = first[chosen] - MARGIN, first[chosen] + span[chosen] + MARGIN
+    return mix(name[chosen] ^ hash_ranges(found, begin, end)), value, at
+
+
+def _lesser(name: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The symbol with the smaller name; of equal names the first."""
+    return np.where(name[b] < name[a], b, a)
 
 
 def _check(size: int) -> None:

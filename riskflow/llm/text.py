@@ -171,6 +171,13 @@ def windows(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(total[at]), at
 
 
+def hash_ranges(found: Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words of each range."""
+    sums = np.zeros(len(found.hash) + 1, np.uint64)
+    np.cumsum(found.hash * _WORD_POWERS.upto(len(found.hash)), out=sums[1:])
+    return mix((sums[end] - sums[begin]) * _WORD_INVERSE.upto(len(found.hash) + 1)[begin])
+
+
 def covered(n: int, start: np.ndarray, size: int) -> np.ndarray:
     """Which of ``n`` words lie in a window of ``size`` words from one of ``start``."""
     edge = np.zeros(n + size + 1, np.int64)
