@@ -1,23 +1,20 @@
 """Groups of near-equal documents: an exact Jaccard join on word shingles by token-combination prefixes.
 
-Shingles are ordered by their hash, the same order everywhere. Two sets that meet the threshold differ in at most ``slack``
-shingles of either, so a long enough prefix of both must share several. The prefix of a set is cut where, with its shingles
-dealt into buckets, the shingles beyond the first of each bucket are more than ``slack``: then a near-equal set shares two
-shingles of one bucket, whichever of the two prefixes is shorter. So it is enough to index
-
-* each single rare shingle of the prefix (found in at most ``rare`` prefixes), and
-* each combination of two frequent shingles of one bucket.
-
-The number of buckets follows the size class of a set (a power of two), so that a bucket of the prefix has about four
-shingles and the combinations grow in proportion to the set. Sets near the lower end of their class are indexed for the
-class below too. Shingles found in one prefix only index nothing.
-
-In a linked pair, the set with the shorter prefix shares all of it but ``slack`` shingles; such sets are called strong here,
-and only candidates with a strong member are looked at. This leaves out documents that share a passage but are not alike.
-
-Equal sets are one node. For each index key, every member is verified against the key's best member first, so a group of
-copies costs one comparison a member; then, over keys whose members are not all in one component yet, all remaining pairs of
-different components are verified. Links between different components are thus never missed, whatever the size of a group.
+Two sets that meet the threshold differ in at most ``slack`` shingles of either. Four steps use this:
+
+1. Of the first 2 * slack + 2 shingles of a set by hash, near-equal sets share slack + 2 (of the smaller prefix). Sets with
+   fewer shingles there that any other set's prefix has cannot link and are left out. Only this step sees all documents.
+2. Equal sets become one node. Whole sets of the remaining nodes are counted; a node with more than ``slack`` shingles of
+   its own cannot link either.
+3. Shingles are ordered by ascending count. The prefix of a set is cut where its rare shingles, plus its frequent shingles
+   beyond the first of each bucket, are more than the slack that is left: then a near-equal set shares a rare shingle or two
+   frequent shingles of one bucket, whichever of the two prefixes is shorter. So the index has each single rare shingle of
+   the prefix (count of at most ``rare``) and each combination of two frequent shingles of a bucket. The number of buckets
+   follows the size class of a set (a power of two), so that combinations grow in proportion to the set; sets near the
+   lower end of their class are indexed for the class below too.
+4. For each index key, every member is verified against the key's best member, so that a group of near copies costs one
+   comparison a member. Then, over keys whose members are not all in one component yet, all remaining pairs of different
+   components are verified. Links between different components are thus never missed, whatever the size of a group.
 """
 
 from __future__ import annotations
@@ -58,95 +55,109 @@ def _size_class(n: int) -> int:
     return n.bit_length() - 1
 
 
+def _slack(n, percent: int):
+    return n * (100 - percent) // 100
+
+
 def _buckets(size_class: int, percent: int) -> int:
-    """Buckets of a size class, so that a prefix has about ``IN_BUCKET`` shingles in each."""
+    """Buckets of a size class, so that a prefix has about ``IN_BUCKET`` frequent shingles in each."""
     prefix = 1.5 * (1 << size_class) * (100 - percent) / 100 * IN_BUCKET / (IN_BUCKET - 1)
     return max(1, round(prefix / IN_BUCKET))
 
 
-def _prefix(ordered: np.ndarray, size_class: int, percent: int) -> int:
-    """Length of the prefix: more than ``slack`` shingles beyond the first of each bucket."""
-    n = len(ordered)
-    need = n * (100 - percent) // 100 + 1
-    seen = np.zeros(_buckets(size_class, percent), np.int64)
-    bucket = (ordered & _U(0xFFFFFFFF)) % _U(len(seen))
-    _, first = np.unique(bucket, return_index=True)
-    more = np.ones(n, bool)
-    more[first] = False
-    beyond = np.flatnonzero(more)
-    return int(beyond[need - 1]) + 1 if len(beyond) >= need else n
+def _digest(own: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell sets apart, as two signed 64-bit values."""
+    one, two = mix(own), mix(own ^ _U(0xA5A5A5A5A5A5A5A5))
+    return tuple(int(x) for x in np.array([np.add.reduce(one, dtype=np.uint64), np.add.reduce(two, dtype=np.uint64)], np.uint64).view(np.int64))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    spare = F.xxhash64("text").bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
+    own = F.col("doc_id").cast("long")
+    return docs.select(own.alias("doc_id"), F.coalesce(own, spare).alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """One row per document: number of shingles, a 128-bit digest of the set, and the prefix."""
+    """One row per document: number of shingles, digest of the set, and its first shingles by hash."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch):
-                out = []
-                for own in shingle_sets(words(part.column("text"), lower=True), size):
-                    n = len(own)
-                    d1 = int(np.add.reduce(mix(own), dtype=np.uint64)) if n else 0
-                    d2 = int(np.add.reduce(mix(own ^ _U(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)) if n else 0
-                    size_class, upper, lower = _size_class(n) if n else 0, 0, 0
-                    if n > 1:
-                        upper = _prefix(own, size_class, percent)
-                        if 100 * ((1 << size_class) - 1) >= percent * n:
-                            lower = _prefix(own, size_class - 1, percent)
-                    out.append((n, d1, d2, size_class, upper, lower, own[: max(upper, lower)].view(np.int64)))
-                n, d1, d2, c, m, low, prefix = zip(*out)
+                own = list(shingle_sets(words(part.column("text"), lower=True), size))
+                d1, d2 = zip(*map(_digest, own))
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("rid"), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)),
-                    pa.array(c, pa.int32()), pa.array(m, pa.int32()), pa.array(low, pa.int32()), pa.array(prefix, pa.list_(pa.int64())),
-                ], names=["doc_id", "rid", "n", "d1", "d2", "size_class", "m", "low", "prefix"])
+                    part.column("doc_id"), part.column("rid"), pa.array([len(x) for x in own], pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                    pa.array([x[: 2 * _slack(len(x), percent) + 2].view(np.int64) for x in own], pa.list_(pa.int64())),
+                ], names=["doc_id", "rid", "n", "d1", "d2", "prefix"])
 
-    schema = "doc_id bigint, rid bigint, n bigint, d1 bigint, d2 bigint, size_class int, m int, low int, prefix array<bigint>"
-    return _keyed(docs).mapInArrow(rows, schema)
+    return _keyed(docs).mapInArrow(rows, "doc_id bigint, rid bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    spare = F.xxhash64("text").bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
-    own = F.col("doc_id").cast("long")
-    return docs.select(own.alias("doc_id"), F.coalesce(own, spare).alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+def _full(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """Whole shingle sets of the nodes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch):
+                own = list(shingle_sets(words(part.column("text"), lower=True), size))
+                d1, d2 = zip(*map(_digest, own))
+                yield pa.RecordBatch.from_arrays([
+                    part.column("rid"), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64())),
+                ], names=["node", "d1", "d2", "shingles"])
 
+    own = _keyed(docs).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select("rid", "text")
+    own = own.mapInArrow(rows, "node bigint, d1 bigint, d2 bigint, shingles array<bigint>")
+    return own.join(nodes, ["node", "d1", "d2"])
 
-def _keys(candidates: DataFrame, percent: int, rare: int) -> DataFrame:
+
+def _keys(found: DataFrame, percent: int, rare: int) -> DataFrame:
     """Index keys of each node: rare shingles, and pairs of frequent ones in a bucket for each class."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("found")
-            cut = lists.offsets.to_numpy() if not lists.offset else lists.offsets.to_numpy()[: len(lists) + 1]
-            values = lists.values
-            at_all, token_all, df_all = (values.field(k).to_numpy() for k in ("at", "token", "df"))
-            keys, of = [], []
-            for k, (c, m, low) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("size_class", "m", "low")))):
-                at, token, df = (x[cut[k] : cut[k + 1]] for x in (at_all, token_all, df_all))
+            sizes = lists.value_lengths().to_numpy()
+            values = lists.flatten()
+            token_all, df_all = (values.field(k).to_numpy() for k in ("token", "df"))
+            keys, of, stop = [], [], np.cumsum(sizes)
+            for k, n in enumerate(batch.column("n").to_pylist()):
+                token, df = (x[stop[k] - sizes[k] : stop[k]] for x in (token_all, df_all))
                 token = token.view(np.uint64)
-                own = [token[df <= rare]]
-                for size_class, length in ((c, m), (c - 1, low)):
-                    often = np.sort(token[(df > rare) & (at < length)])
-                    if len(often) < 2:
-                        continue
-                    bucket = (often & _U(0xFFFFFFFF)) % _U(_buckets(size_class, percent))
-                    order = np.argsort(bucket, kind="stable")
-                    often, bucket = often[order], bucket[order]
+                order = np.lexsort((token, df))
+                token, often = token[order], df[order] > rare
+                need = _slack(n, percent) - (n - len(token)) + 1
+                size_class, own = _size_class(n), []
+                lower = 100 * ((1 << size_class) - 1) >= percent * n
+                for c in (size_class, size_class - 1)[: 1 + lower]:
+                    bucket = (token & _U(0xFFFFFFFF)) % _U(_buckets(c, percent))
+                    counts = np.ones(len(token), bool)
+                    high = np.flatnonzero(often)
+                    _, first = np.unique(bucket[high], return_index=True)
+                    counts[high[first]] = False
+                    enough = np.flatnonzero(counts)
+                    cut = int(enough[need - 1]) + 1 if len(enough) >= need else len(token)
+                    own.append(token[:cut][~often[:cut]])
+                    high = high[high < cut]
+                    by = np.lexsort((token[high], bucket[high]))
+                    pair_token, pair_bucket = token[high][by], bucket[high][by]
                     step = 1
-                    while step < len(often) and (pair := bucket[step:] == bucket[:-step]).any():
-                        own.append(mix(mix(often[:-step][pair]) * _U(31) + often[step:][pair] + _U(size_class)))
+                    while step < len(by) and (pair := pair_bucket[step:] == pair_bucket[:-step]).any():
+                        own.append(mix(mix(pair_token[:-step][pair]) * _U(31) + pair_token[step:][pair] + _U(c)))
                         step += 1
-                own = np.concatenate(own)
+                own = np.unique(np.concatenate(own))
                 keys.append(own.view(np.int64))
                 of.append(np.full(len(own), k))
             if keys:
                 of = pa.array(np.concatenate(of))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *(batch.column(x).take(of) for x in ("node", "n", "strong", "rank"))], names=["key", "node", "n", "strong", "rank"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *(batch.column(x).take(of) for x in ("node", "n", "s", "rank"))], names=["key", "node", "n", "s", "rank"])
 
-    return candidates.select("node", "n", "strong", "rank", "size_class", "m", "low", "found").mapInArrow(rows, "key bigint, node bigint, n bigint, strong boolean, rank int")
+    return found.select("node", "n", "s", "rank", "found").mapInArrow(rows, "key bigint, node bigint, n bigint, s int, rank int")
 
 
-def _near_size(a: str, b: str, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether two nodes can link, by their sizes ``n`` and the number of their shingles that other nodes have, ``s``."""
+    most = F.least(f"s{a}", f"s{b}")
+    return most * 100 >= (F.col(f"n{a}") + F.col(f"n{b}") - most) * percent
 
 
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -168,40 +179,41 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = R
     """
     spark = docs.sparkSession
     store.prepare(spark)
-    sets = store.keep(_sets(docs, size, percent), "sets")
-    one = sets.groupBy("rid").agg(F.max(F.struct("n", "d1", "d2")).alias("s")).select("rid", "s.n", "s.d1", "s.d2")
-    one = store.keep(one.filter("n > 0"), "one")
-    groups = store.keep(one.groupBy("n", "d1", "d2").agg(F.min("rid").alias("node")), "groups")
-    nodes = sets.join(groups.withColumnRenamed("node", "rid"), ["rid", "n", "d1", "d2"]).withColumnRenamed("rid", "node")
-    nodes = store.keep(nodes.select("node", "n", "size_class", "m", "low", "prefix"), "nodes")
-
-    tokens = nodes.select("node", F.posexplode("prefix").alias("at", "token"))
+    prefixes = store.keep(_sets(docs, size, percent), "prefixes")
+    sets = store.keep(prefixes.drop("prefix"), "sets")
+    one = sets.filter("n > 0").groupBy("rid").agg(F.max(F.struct("n", "d1", "d2")).alias("s")).select("rid", "s.*")
+    groups = one.groupBy("n", "d1", "d2").agg(F.min("rid").alias("node"))
+    groups = store.keep(groups, "groups")
+
+    tokens = prefixes.filter("n > 1").select("rid", F.explode("prefix").alias("token"))
+    several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    shared = store.keep(tokens.join(several, "token").groupBy("rid").agg(F.count("*").alias("shared")), "shared")
+    store.remove(spark, [prefixes])
+    least = F.expr(f"(n * {percent} + 99) div 100 * {100 - percent} div 100 + 2")
+    nodes = groups.join(shared.withColumnRenamed("rid", "node"), "node").filter(F.col("shared") >= least)
+    nodes = store.keep(nodes.select("node", "n", "d1", "d2"), "nodes")
+    full = store.keep(_full(docs, nodes, size).select("node", "n", "shingles"), "shingles")
+
+    tokens = full.select("node", "n", F.explode("shingles").alias("token"))
     several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    found = tokens.join(several, "token").groupBy("node").agg(F.collect_list(F.struct("at", "token", "df")).alias("found"))
-    shared = F.size(F.filter("found", lambda x: x["at"] < F.col("m")))
-    slack = F.floor(F.col("n") * (100 - percent) / 100)
-    found = found.join(nodes.drop("prefix"), "node").withColumn("strong", shared >= F.col("m") - slack)
-    found = found.withColumn("rank", F.when(F.col("strong"), 0).otherwise(1 << 20) + ((F.col("m") - shared) * 1000 / F.col("m")).cast("int"))
-    found = store.keep(found, "found")
-
-    keys = store.keep(_keys(found, percent, rare), "keys")
-    pivot = keys.groupBy("key").agg(F.count("*").alias("members"), F.max("strong").alias("any"), F.min(F.struct("rank", "node", "n")).alias("p"))
-    pivot = pivot.filter("any AND members > 1").select("key", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"))
-    star = keys.join(pivot, "key").filter((F.col("node") != F.col("p")) & _near_size("n", "p_n", percent))
+    found = tokens.join(several, "token").groupBy("node", "n").agg(F.collect_list(F.struct("token", "df")).alias("found"))
+    found = found.withColumn("s", F.size("found")).filter(F.expr(f"n - s <= n * {100 - percent} div 100"))
+    found = found.withColumn("rank", F.expr("cast((n - s) * 1000 div n AS int)"))
+    keys = store.keep(_keys(store.keep(found, "found"), percent, rare), "keys")
+
+    pivot = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("rank", "node", "n", "s")).alias("p"))
+    pivot = pivot.filter("members > 1").select("key", F.col("p.node").alias("p"), F.col("p.n").alias("n_p"), F.col("p.s").alias("s_p"))
+    star = keys.join(pivot, "key").filter((F.col("node") != F.col("p")) & _possible("", "_p", percent))
     star = store.keep(star.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "star")
-
-    strong_keys = keys.groupBy("key").agg(F.max("strong").alias("any"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("any AND lo < hi").select("key")
-    wanted = keys.join(strong_keys, "key", "left_semi").select(F.col("node").alias("rid")).distinct()
-    full = store.keep(_full(docs, wanted, one, size), "shingles")
     links = store.keep(_verified(star, full, percent), "links")
     label = components(links)
 
     labelled = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = store.keep(labelled.select("key", "node", "n", "strong", "component"), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("strong").alias("any")).filter("any AND lo < hi").select("key")
+    labelled = store.keep(labelled.select("key", "node", "n", "s", "component"), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     open_ = store.keep(labelled.join(mixed, "key", "left_semi"), "open")
-    side = lambda x: open_.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "strong", "component")))
-    rest = side("a").join(side("b"), "key").filter("component_a != component_b AND node_a < node_b AND (strong_a OR strong_b)").filter(_near_size("n_a", "n_b", percent))
+    side = lambda x: open_.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "s", "component")))
+    rest = side("a").join(side("b"), "key").filter("component_a != component_b AND node_a < node_b").filter(_possible("_a", "_b", percent))
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = store.keep(_verified(store.keep(rest, "rest"), full, percent), "links")
     label = store.keep(components(links.unionByName(more)), "components")
@@ -212,20 +224,6 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = R
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"))
 
 
-def _full(docs: DataFrame, wanted: DataFrame, one: DataFrame, size: int) -> DataFrame:
-    """Whole shingle sets of the wanted nodes."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch):
-                own = [x.view(np.int64) for x in shingle_sets(words(part.column("text"), lower=True), size)]
-                d1 = [int(np.add.reduce(mix(x.view(np.uint64)), dtype=np.uint64)) for x in own]
-                yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(own, pa.list_(pa.int64()))], names=["node", "d1", "shingles"])
-
-    texts = _keyed(docs).join(wanted, "rid", "left_semi").select("rid", "text").mapInArrow(rows, "node bigint, d1 bigint, shingles array<bigint>")
-    return texts.join(one.select(F.col("rid").alias("node"), "d1"), ["node", "d1"], "left_semi").select("node", "shingles")
-
-
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents that represent their group, the one with the smallest id, with the columns they came with.
 
