@@ -89,7 +89,8 @@ def _shingles(words: Column, size: int) -> Column:
 
 
 def _bands(shingles: Column) -> Column:
-    return F.array(*(F.array_min(F.transform(shingles, lambda h, j=j: F.xxhash64(h, F.lit(j)))) for j in range(BANDS)))
+    least = lambda j: F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(j))))
+    return F.array(*map(least, range(BANDS)))
 
 
 def _words(text: str) -> Column:

@@ -13,6 +13,8 @@ digits of bases 270 and 271.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,15 @@ PATTERNS: dict[str, str] = {
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
     "token": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
 }
+EMAIL_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
+
+
 def _keyed(key: str, *parts: Column | str) -> Column:
     """A keyed number below 2**60."""
     joined = F.concat_ws("|", F.lit(key), *(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
@@ -55,8 +63,7 @@ def _feistel(state: Column, key: str, kind: str, low: Column, high: Column, leng
         size = F.when(even, low).otherwise(high)
         shift = _keyed(key, kind, length, r, other) % size
         moved = F.when(even, s["a"]).otherwise(s["b"]) + (-shift if inverse else shift)
-        moved = F.pmod(moved, size)
-        return F.struct(F.when(even, moved).otherwise(s["a"]).alias("a"), F.when(even, s["b"]).otherwise(moved).alias("b"))
+        return _let(F.pmod(moved, size), lambda m: F.struct(F.when(even, m).otherwise(s["a"]).alias("a"), F.when(even, s["b"]).otherwise(m).alias("b")))
 
     rounds = F.array(*(F.lit(r) for r in (reversed(range(ROUNDS)) if inverse else range(ROUNDS))))
     return F.aggregate(rounds, state, one)
@@ -68,7 +75,7 @@ def digits(value: Column, key: str, kind: str, inverse: bool = False) -> Column:
     left = (n / 2).cast("int")
     state = F.struct(F.substring(value, F.lit(1), left).cast("long").alias("a"), F.substring(value, left + 1, n).cast("long").alias("b"))
     out = _feistel(state, key, kind, _power(left), _power(n - left), n, inverse)
-    return F.concat(F.lpad(out["a"].cast("string"), left, "0"), F.lpad(out["b"].cast("string"), n - left, "0"))
+    return _let(out, lambda x: F.concat(F.lpad(x["a"].cast("string"), left, "0"), F.lpad(x["b"].cast("string"), n - left, "0")))
 
 
 def _luhn_sum(value: Column) -> Column:
@@ -89,12 +96,12 @@ def luhn_valid(value: Column) -> Column:
 
 def _card(value: Column, key: str, inverse: bool) -> Column:
     new = digits(F.substring(value, F.lit(1), F.length(value) - 1), key, "card", inverse)
-    return F.concat(new, ((10 - _luhn_sum(new) % 10) % 10).cast("string"))
+    return _let(new, lambda x: F.concat(x, ((10 - _luhn_sum(x) % 10) % 10).cast("string")))
 
 
 def _mod97(value: Column) -> Column:
     """Remainder by 97 of a string of digits."""
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), F.lit(0), lambda t, k: (t * 10 + F.substring(value, k, F.lit(1)).cast("int")) % 97)
+    return F.aggregate(F.split(value, ""), F.lit(0), lambda t, c: (t * 10 + c.cast("int")) % 97)
 
 
 def _country(value: Column) -> Column:
@@ -109,15 +116,15 @@ def iban_valid(value: Column) -> Column:
 
 def _iban(value: Column, key: str, inverse: bool) -> Column:
     rest = digits(F.substring(value, F.lit(5), F.length(value)), key, "iban", inverse)
-    check = F.lit(98) - _mod97(F.concat(rest, _country(value), F.lit("00")))
-    return F.concat(F.substring(value, 1, 2), F.lpad(check.cast("string"), 2, "0"), rest)
+    check = lambda x: F.lit(98) - _mod97(F.concat(x, _country(value), F.lit("00")))
+    return _let(rest, lambda x: F.concat(F.substring(value, 1, 2), F.lpad(check(x).cast("string"), 2, "0"), x))
 
 
 def _ip(value: Column, key: str, inverse: bool) -> Column:
-    p = F.transform(F.split(value, r"\."), lambda x: x.cast("long"))
+    p = [F.get(F.split(value, r"\."), F.lit(k)).cast("long") for k in range(4)]
     state = F.struct((p[0] * 256 + p[1]).alias("a"), (p[2] * 256 + p[3]).alias("b"))
     out = _feistel(state, key, "ip", F.lit(65536).cast("long"), F.lit(65536).cast("long"), F.lit(4), inverse)
-    return F.concat_ws(".", *((x / 256).cast("int").cast("string") if top else (x % 256).cast("string") for x in (out["a"], out["b"]) for top in (True, False)))
+    return _let(out, lambda y: F.concat_ws(".", *((x / 256).cast("int").cast("string") if top else (x % 256).cast("string") for x in (y["a"], y["b"]) for top in (True, False))))
 
 
 def _day(value: Column) -> Column:
@@ -133,15 +140,17 @@ def _date(value: Column, key: str, inverse: bool) -> Column:
     n = _day_number(value)
     state = F.struct((n / BASE_B).cast("long").alias("a"), (n % BASE_B).alias("b"))
     out = _feistel(state, key, "date", F.lit(BASE_A).cast("long"), F.lit(BASE_B).cast("long"), F.lit(0), inverse)
-    day = F.date_add(F.lit(DAY_ZERO).cast("date"), (out["a"] * BASE_B + out["b"]).cast("int"))
+    day = _let(out, lambda x: F.date_add(F.lit(DAY_ZERO).cast("date"), (x["a"] * BASE_B + x["b"]).cast("int")))
     return F.when(F.substring(value, 5, 1) == "-", F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "MM/dd/yyyy"))
 
 
 def _refill(value: Column, new: Column) -> Column:
     """``value`` with its digits replaced, in order, by those of ``new``."""
-    spots = F.split(value, "")
-    put = F.transform(spots, lambda c, k: F.when(c.rlike("^[0-9]$"), F.substring(new, F.length(F.regexp_replace(F.substring(value, F.lit(1), k + 1), "[^0-9]", "")), F.lit(1))).otherwise(c))
-    return F.array_join(put, "")
+    digit = lambda c: (c >= "0") & (c <= "9")
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("used"))
+    put = lambda x: F.aggregate(F.split(value, ""), start, lambda t, c: F.struct(
+        F.concat(t["out"], F.when(digit(c), F.substring(x, t["used"] + 1, F.lit(1))).otherwise(c)).alias("out"), (t["used"] + F.when(digit(c), 1).otherwise(0)).alias("used")))["out"]
+    return _let(new, put)
 
 
 def _letters(value: Column, alphabet: str, key: str, kind: str, inverse: bool) -> Column:
@@ -153,11 +162,18 @@ def _letters(value: Column, alphabet: str, key: str, kind: str, inverse: bool) -
         move = lambda c, k: F.pmod(F.instr(F.lit(alphabet), c).cast("long") - 1 + (F.lit(-1) if inverse else F.lit(1)) * (_keyed(key, kind, n, F.lit(r), k, other) % base), F.lit(base)) + 1
         return F.array_join(F.transform(F.split(own, ""), lambda c, k: F.when(F.instr(F.lit(alphabet), c) > 0, F.substring(F.lit(alphabet), move(c, k).cast("int"), F.lit(1))).otherwise(c)), "")
 
+    def one(r: int):
+        def turn(_: Column, s: Column) -> Column:
+            a = shifted(s["a"], s["b"], r) if r % 2 == 0 else s["a"]
+            b = s["b"] if r % 2 == 0 else shifted(s["b"], s["a"], r)
+            return F.struct(a.alias("a"), b.alias("b"))
+
+        return turn
+
     parts = F.struct(F.substring(value, F.lit(1), left).alias("a"), F.substring(value, left + 1, n).alias("b"))
     for r in reversed(range(4)) if inverse else range(4):
-        # Each round stands behind an aggregate over one element, so that a result is computed once, not copied.
-        parts = F.aggregate(F.array(parts), F.struct(F.lit("").alias("a"), F.lit("").alias("b")), lambda _, s, r=r: F.struct(
-            (shifted(s["a"], s["b"], r) if r % 2 == 0 else s["a"]).alias("a"), (s["b"] if r % 2 == 0 else shifted(s["b"], s["a"], r)).alias("b")))
+        # Each round is an aggregate over one element, so that what it starts from is computed once, not copied.
+        parts = F.aggregate(F.array(parts), F.struct(F.lit("").alias("a"), F.lit("").alias("b")), one(r))
     return F.concat(parts["a"], parts["b"])
 
 
@@ -181,20 +197,24 @@ def kind_of(value: Column) -> Column:
 
 def pseudonym(value: Column, kind: Column, key: str, inverse: bool = False) -> Column:
     """The pseudonym of a value of a kind, in the value's format."""
-    bare = F.regexp_replace(value, "[^0-9]", "")
-    local = F.substring_index(value, "@", 1)
-    country = F.regexp_extract(value, r"^\+([0-9]{1,3})[ .(-]", 1)
-    rest = F.substring(bare, F.length(country) + 1, F.length(bare))
-    return (
-        F.when(kind == "email", F.concat(_letters(local, "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", key, "email", inverse), F.lit("@"), F.substring_index(value, "@", -1)))
-        .when(kind == "ip", _ip(value, key, inverse))
-        .when(kind == "date", _date(value, key, inverse))
-        .when(kind == "phone", _refill(value, F.concat(country, digits(rest, key, "phone", inverse))))
-        .when(kind == "ssn", _refill(value, digits(bare, key, "ssn", inverse)))
-        .when(kind == "iban", _iban(value, key, inverse))
-        .when(kind == "card", _refill(value, _card(bare, key, inverse)))
-        .when(kind == "token", _letters(value, "0123456789abcdef", key, "token", inverse))
-    )
+    parts = F.struct(
+        F.regexp_replace(value, "[^0-9]", "").alias("bare"), F.substring_index(value, "@", 1).alias("local"), F.regexp_extract(value, r"^\+([0-9]{1,3})[ .(-]", 1).alias("country"))
+
+    def of(x: Column) -> Column:
+        bare, country = x["bare"], x["country"]
+        rest = F.substring(bare, F.length(country) + 1, F.length(bare))
+        return (
+            F.when(kind == "email", F.concat(_letters(x["local"], EMAIL_LETTERS, key, "email", inverse), F.lit("@"), F.substring_index(value, "@", -1)))
+            .when(kind == "ip", _ip(value, key, inverse))
+            .when(kind == "date", _date(value, key, inverse))
+            .when(kind == "phone", _refill(value, F.concat(country, digits(rest, key, "phone", inverse))))
+            .when(kind == "ssn", _refill(value, digits(bare, key, "ssn", inverse)))
+            .when(kind == "iban", _iban(value, key, inverse))
+            .when(kind == "card", _refill(value, _card(bare, key, inverse)))
+            .when(kind == "token", _letters(value, "0123456789abcdef", key, "token", inverse))
+        )
+
+    return _let(parts, of)
 
 
 def pseudonymise(docs: DataFrame, key: str, inverse: bool = False) -> DataFrame:
@@ -211,7 +231,7 @@ def pseudonymise(docs: DataFrame, key: str, inverse: bool = False) -> DataFrame:
     found = found.select("doc_id", "text", F.when(F.size("values") > 0, kinds).alias("values"))
     new = F.transform("values", lambda x: F.when(x["kind"].isNull(), x["v"]).otherwise(pseudonym(x["v"], x["kind"], key, inverse)))
     between = F.split("text", ANY, -1)
-    filled = F.array_join(F.transform(between, lambda s, k: F.concat(s, F.coalesce(F.get(F.col("new"), k), F.lit("")))), "")
+    filled = F.array_join(F.zip_with(between, F.concat(F.col("new"), F.array(F.lit(""))), lambda s, m: F.concat(s, m)), "")
     found = found.select("doc_id", "text", "values", new.alias("new"))
     count = lambda kind: F.coalesce(F.size(F.filter("values", lambda x: x["kind"] == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", F.when(F.size("values") > 0, filled).otherwise(F.col("text")).alias("text"), *(

@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import ngramjoin, planes, repeats, rules
+from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, viterbi
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+#: A production run takes its key from a secret store; this one makes the query repeatable.
+PSEUDONYM_KEY = "example-key"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +30,31 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *rules.MEASURES[:5], (~rules.passes("base")).alias("base_failed"), rules.passes().alias("kept"), "failed")
 
 
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raking.sample(_documents(spark, sf_dir), power=0.5, budget=0.5)
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "source", "language", "topic", "n_tokens", "probability", "sampled")
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.token_counts(_documents(spark, sf_dir), VOCABULARY)
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.remove_lines(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pseudonym_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
 def near_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.near_groups(_documents(spark, sf_dir), size=4, percent=85)
 
@@ -38,9 +66,15 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": token_ids,
+        "op2_raked_mixture": mixture,
         "op3_quality_rules": quality_rules,
+        "op4_viterbi_counts": token_counts,
         "op5_near_groups": near_groups,
+        "op6_line_dedup": line_dedup,
+        "op7_license_scan": license_scan,
         "op8_repeated_passages": repeated_passages,
+        "op9_benchmark_leaks": benchmark_leaks,
+        "op10_pseudonyms": pseudonym_texts,
     }
 
 
