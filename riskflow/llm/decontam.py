@@ -11,8 +11,9 @@ sentence) stands in the passage word for word.
   the space keeps what tells the items apart.
 * Search: every passage of every document against all items, item blocks at a time.
 
-The vocabulary is that of the benchmark; other words count in a passage's length only. The share of a passage's length that
-lies in the vocabulary bounds its cosine, so passages under the threshold are left out before the projection, exactly.
+The vocabulary is that of the benchmark; other words count in a passage's length only. The largest weight that a word has in
+any item bounds what it can add to a cosine, so passages whose words cannot reach the threshold together are left out before
+the projection.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ from riskflow.llm import store
 from riskflow.llm.text import Words, blocks, words
 
 BUCKETS = 1 << 18
-WINDOW, STRIDE = 40, 10
+WINDOW, STRIDE = 40, 20
 RANK = 256
 FIT_DOCS = 4000
 BENCHMARK_WEIGHT = 8.0
-MIN_COSINE = 0.35
+MIN_COSINE = 0.45
 ITEM_BLOCK = 4096
 MIN_ITEM_WORDS = 5
 #: Percent of an item's words in the common subsequence: enough alone, and enough together with the answer.
@@ -54,6 +55,7 @@ class Index:
     item_ids: np.ndarray
     item_words: list[np.ndarray]
     answers: list[np.ndarray]
+    most: np.ndarray  # largest weight of each word of the vocabulary in an item
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -206,7 +208,9 @@ def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rank
     starts = found.first[:-1]
     own = [found.hash[starts[k] : found.first[k + 1]] for k in long]
     answers = [_answer(rows[k].text) for k in long]
-    return Index(hashes, idf, space, _project(r, p, value, len(long), space), np.array([rows[k].item_id for k in long]), own, answers)
+    most = np.zeros(len(hashes))
+    np.maximum.at(most, p, value)
+    return Index(hashes, idf, space, _project(r, p, value, len(long), space), np.array([rows[k].item_id for k in long]), own, answers, most)
 
 
 def _scatter(r: np.ndarray, p: np.ndarray, value: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
@@ -251,12 +255,12 @@ def _hits(found: Words, index: Index, min_cosine: float) -> list[tuple[int, int,
     doc, begin, end = passages(found)
     if not len(doc):
         return []
-    # A bound of the squared cosine from sums over words; (1 + log tf)^2 is at most 1.6 tf.
+    # Sums over words, repeated ones included: 1 + log tf is at most tf, and its square at least 0.55 tf in a window.
     inside, total = np.zeros(len(weight) + 1), np.zeros(len(weight) + 1)
-    np.cumsum(np.where(place >= 0, weight * weight, 0), out=inside[1:])
+    np.cumsum(np.where(place >= 0, weight * index.most[place], 0), out=inside[1:])
     np.cumsum(weight * weight, out=total[1:])
-    share = (inside[end] - inside[begin]) * 1.6 / np.maximum(total[end] - total[begin], 1e-30)
-    some = np.flatnonzero(share >= min_cosine**2)
+    bound = (inside[end] - inside[begin]) / np.sqrt(np.maximum(0.55 * (total[end] - total[begin]), 1e-30))
+    some = np.flatnonzero(bound >= min_cosine)
     best: dict[tuple[int, int], tuple[float, int]] = {}
     for k in range(0, len(some), 4096):
         own = some[k : k + 4096]
