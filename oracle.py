@@ -426,14 +426,15 @@ def _retrain() -> str:
     return LOGS + f""",
 labelled AS MATERIALIZED (SELECT *, cast(readmitted = '<30' AS bigint) AS target, {split_case()} AS split
     FROM enc WHERE NOT {among('discharge_disposition_id', P.exclude_discharge_ids)}),
-new_rows AS MATERIALIZED (SELECT *, CASE WHEN {bucket('encounter_id')} < {P.new_train_share}::double THEN 'train' ELSE 'test' END AS split,
-        cast(readmitted_30d AS bigint) AS target
-    FROM live WHERE ts >= timestamp '{derived.PERIOD_CUT}'
+old_rows AS MATERIALIZED (SELECT * FROM labelled WHERE discharge_ts < timestamp '{derived.RETRAIN_CUT}'),
+last_live AS (SELECT *, CASE WHEN {bucket('encounter_id')} < {P.new_train_share}::double THEN 'train' ELSE 'test' END AS hashed,
+        cast(readmitted_30d AS bigint) AS target FROM live
     QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY ts DESC, request_id DESC) = 1),
-merged AS (SELECT split, encounter_id, patient_nbr, target, age, time_in_hospital, insulin FROM labelled o
-        WHERE discharge_ts < timestamp '{derived.RETRAIN_CUT}'
-        AND NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.split = o.split AND n.encounter_id = o.encounter_id)
-    UNION ALL SELECT split, encounter_id, NULL, target, age, time_in_hospital, insulin FROM new_rows)"""
+new_rows AS MATERIALIZED (SELECT l.*, o.patient_nbr AS known, coalesce(o.split, l.hashed) AS split
+    FROM last_live l LEFT JOIN old_rows o ON o.encounter_id = l.encounter_id),
+merged AS (SELECT split, encounter_id, patient_nbr, target, age, time_in_hospital, insulin FROM old_rows o
+        WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.encounter_id = o.encounter_id)
+    UNION ALL SELECT split, encounter_id, known, target, age, time_in_hospital, insulin FROM new_rows)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -545,6 +546,9 @@ def oracle_sql() -> dict[str, str]:
 
         "raw_form": _with(_retrain(), "SELECT encounter_id, encounter_id AS patient_nbr, CASE WHEN target = 1 THEN '<30' ELSE 'NO' END AS readmitted, age, time_in_hospital FROM new_rows"),
         "retrain_dataset": _with(_retrain(), "SELECT * FROM merged"),
+        "retrain_disjoint": _with(_retrain(), """SELECT
+            (SELECT count(*) FROM (SELECT patient_nbr FROM merged WHERE patient_nbr IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS shared_patients,
+            (SELECT count(*) FROM (SELECT encounter_id FROM merged GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS shared_encounters"""),
         "retrain_summary": _with(_retrain(), "SELECT split, count(*) AS rows, round(avg(target), 4) AS pos_rate FROM merged GROUP BY split"),
 
         "request_rate": _with(REQ + "," + windows("TRUE", "w", {"n": "1"}, 60, 60, "endpoint"), "SELECT endpoint, w_start, n, round(n / 60.0::double, 6) AS per_second FROM w"),
@@ -556,7 +560,7 @@ def oracle_sql() -> dict[str, str]:
         "score_quantiles": _with(REQ + "," + bucket_quantiles(SCORED_REQ, "w", "score", SCORE_EDGES, {"p50": 0.5, "p90": 0.9}, 300, 60),
             "SELECT w_start, n, round(p50, 6) AS p50, round(p90, 6) AS p90 FROM w"),
         "follow_up_rate": _with(REQ + "," + share(SCORED_REQ, "w", "follow_up", "follow_up_rate", 300, 60), "SELECT w_start, n, hits, round(follow_up_rate, 6) AS follow_up_rate FROM w"),
-        "model_in_use": _with(REQ, "SELECT sec // 3600 * 3600 AS w_start, arg_max(model_version, ts) AS model_version FROM req GROUP BY 1"),
+        "model_in_use": _with(REQ, "SELECT sec // 3600 * 3600 AS w_start, arg_max(model_version, (ts, model_version)) AS model_version FROM req GROUP BY 1"),
         "label_counts": _with(LOGS, "SELECT cast(readmitted_30d AS bigint) AS label, epoch_us(ts) // 1000000 // 86400 * 86400 AS w_start, count(*) AS n FROM llog GROUP BY 1, 2"),
         "sustained_alerts": _with(REQ + "," + _alert_series() + f""",
             firing AS (SELECT *, w_start - 60 * row_number() OVER (PARTITION BY alert ORDER BY w_start) AS island FROM ({_ALERT_UNION}) WHERE firing)""",

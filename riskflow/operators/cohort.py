@@ -61,7 +61,9 @@ def assert_disjoint(df: DataFrame) -> None:
 
 def fingerprints(df: DataFrame) -> DataFrame:
     """Row count and an order-independent content hash per split."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns) if c != "split"])
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns) if c != "split"]
+    # xxhash64 passes over nulls, so which values are null is hashed too.
+    row_hash = F.xxhash64(*columns, F.concat(*[c.isNull().cast("int").cast("string") for c in columns]))
     return (
         df.select("split", F.col(TARGET), row_hash.alias("h")).groupBy("split").agg(
             F.count("*").alias("rows"),
@@ -74,7 +76,7 @@ def fingerprints(df: DataFrame) -> DataFrame:
 
 def lineage(df: DataFrame, params: Params = Params(), parent: str | None = None) -> DataFrame:
     """One row: the splits with their hashes, the data version, and the version it grew from."""
-    settings = json.dumps({k: v for k, v in asdict(params).items() if k in ("seed", "test_size", "val_size")})
+    settings = json.dumps({k: v for k, v in asdict(params).items() if k in ("seed", "test_size", "val_size", "exclude_discharge_ids")}, default=sorted)
     splits = F.sort_array(F.collect_list(F.struct("split", "rows", "pos_rate", "sha256")))
     return fingerprints(df).agg(splits.alias("splits")).select(
         "splits",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions import age_start
-from riskflow.operators.ranking import BROADCAST_ROWS, quantiles, running_totals, value_counts
+from riskflow.operators.ranking import quantiles, running_totals, value_counts
 from riskflow.params import Params
 from riskflow.session import stage
 
@@ -20,10 +20,6 @@ NOT_A_GROUP = ["missing", "Unknown/Invalid"]
 AGE_LIMIT = 60
 
 
-def _few(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def with_models(df: DataFrame, scores: dict[str, str]) -> DataFrame:
     """Long form of several score columns of one table: (other columns, model, score)."""
     pairs = [F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score")) for m, c in scores.items()]
@@ -100,7 +96,7 @@ def recall_precision_at_k(
     totals = totals.withColumn("k", k)
     full = F.col("cum_n") < F.col("k")
     boundary = stage(
-        curve.join(F.broadcast(totals), keys).groupBy(*keys, "n_rows", "n_pos", "k").agg(
+        curve.join(totals, keys).groupBy(*keys, "n_rows", "n_pos", "k").agg(
             F.max(F.when(~full, F.col("value"))).alias("edge"),
             F.coalesce(F.max(F.when(full, F.col("cum_n"))), F.lit(0)).alias("n_above"),
             F.coalesce(F.max(F.when(full, F.col("cum_pos"))), F.lit(0)).alias("pos_above"),
@@ -108,18 +104,18 @@ def recall_precision_at_k(
     )
     edges = boundary.select(*keys, F.col("edge").alias("score"))
     # One boundary row per model; models are named by whoever calls.
-    tied = rows.withColumn("score", F.col("score").cast("double")).join(F.broadcast(edges), [*keys, "score"])
+    tied = rows.withColumn("score", F.col("score").cast("double")).join(edges, [*keys, "score"])
     ties = stage(tied.groupBy(*keys, F.col("encounter_id").alias("value")).agg(
         F.count("*").alias("n"), F.sum(F.col("target").cast("bigint")).alias("pos")
     ))
     ranked = running_totals(ties, ["n", "pos"], tuple(keys))
     taken = (
-        ranked.join(F.broadcast(boundary), keys)
+        ranked.join(boundary, keys)
         .where(F.col("cum_n") <= F.col("k") - F.col("n_above"))
         .groupBy(*keys).agg(F.max("cum_pos").alias("pos_tied"))
     )
     tp = F.col("pos_above") + F.coalesce("pos_tied", F.lit(0))
-    return boundary.join(F.broadcast(taken), keys, "left").select(
+    return boundary.join(taken, keys, "left").select(
         *by, "k", tp.alias("true_positives"),
         (tp / F.greatest(F.col("n_pos"), F.lit(1))).alias("recall_at_k"),
         (tp / F.col("k")).alias("precision_at_k"),
@@ -155,7 +151,7 @@ def group_recall(
         counts = counts.withColumn("_all", F.lit(0))
     limits = score_threshold(counts, k_frac, tuple(keys))
     dims = [F.struct(F.lit(d).alias("dim"), v.alias("value")) for d, v in subgroups()]
-    flagged = rows.join(F.broadcast(limits), keys).select(
+    flagged = rows.join(limits, keys).select(
         *keys, (F.col("score") >= F.col("threshold")).cast("int").alias("flagged"), "target",
         F.inline(F.array(*dims)),
     )
@@ -190,7 +186,7 @@ def evaluate_wide(scored: DataFrame, by: tuple[str, ...], params: Params = Param
     topk = recall_precision_at_k(scored, params.top_k_frac, by, curve=curve)
     gaps = fairness_gap(group_recall(scored, params.top_k_frac, by, params, counts), by)
     joined = (
-        curve_metrics(curve, by).join(F.broadcast(topk), list(by)).join(F.broadcast(gaps), list(by))
+        curve_metrics(curve, by).join(topk, list(by)).join(gaps, list(by))
         .withColumnsRenamed({"max": "fairness_gap", "age60": "age_recall_gap"})
     )
     return joined.select(*by, *[F.round(m, 5).alias(m) for m in METRICS])

@@ -36,10 +36,11 @@ def latest_labels(labels: DataFrame) -> DataFrame:
     """The last outcome per encounter: (encounter_id, ts, readmitted_30d).
 
     Time and outcome are packed into one number so that the maximum per encounter stays a hash
-    aggregation, combined before the shuffle. Of two outcomes at the same instant true wins.
+    aggregation, combined before the shuffle. Of two outcomes at the same instant true wins; a label
+    without an outcome says nothing and is left out.
     """
-    known = labels.where(F.col("encounter_id").isNotNull() & F.col("ts").isNotNull())
-    packed = F.unix_micros("ts") * 2 + F.coalesce(F.col("readmitted_30d"), F.lit(False)).cast("bigint")
+    known = labels.where(F.col("encounter_id").isNotNull() & F.col("ts").isNotNull() & F.col("readmitted_30d").isNotNull())
+    packed = F.unix_micros("ts") * 2 + F.col("readmitted_30d").cast("bigint")
     last = known.groupBy("encounter_id").agg(F.max(packed).alias("p"))
     return last.select(
         "encounter_id", F.timestamp_micros(F.floor(F.col("p") / 2)).alias("ts"),

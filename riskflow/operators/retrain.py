@@ -36,23 +36,30 @@ def to_raw_form(rows: DataFrame) -> DataFrame:
     }).drop(TARGET)
 
 
-def split_new_labels(rows: DataFrame, params: Params = Params()) -> DataFrame:
-    """70 % to train, 30 % to test, by a hash of the patient (the encounter where none is known)."""
-    patient = F.col("patient_nbr") if "patient_nbr" in rows.columns else F.lit(None)
-    key = F.coalesce(patient.cast("string"), F.col("encounter_id").cast("string"))
+def split_new_labels(rows: DataFrame, old: DataFrame, params: Params = Params()) -> DataFrame:
+    """A patient of the old table stays in its split; others go 70 % to train, 30 % to test.
+
+    The patient is that of the row, else that of the encounter in the old table. New patients are split by a
+    hash of the patient (the encounter where none is known), so a patient is in one split only.
+    """
+    own = F.col("patient_nbr") if "patient_nbr" in rows.columns else F.lit(None)
+    of_encounter = old.groupBy("encounter_id").agg(F.max("patient_nbr").alias("_known"))
+    of_patient = old.where(F.col("patient_nbr").isNotNull()).groupBy("patient_nbr").agg(F.min("split").alias("_split"))
+    found = rows.withColumn("_own", own.cast("bigint")).drop("patient_nbr").join(of_encounter, "encounter_id", "left")
+    found = found.withColumn("patient_nbr", F.coalesce("_own", "_known")).drop("_own", "_known").join(of_patient, "patient_nbr", "left")
+    key = F.coalesce(F.col("patient_nbr").cast("string"), F.col("encounter_id").cast("string"))
     split = F.when(hash_bucket(key, params.seed) < params.new_train_share, "train").otherwise("test")
-    return rows.withColumn("split", split)
+    return found.withColumn("split", F.coalesce("_split", split)).drop("_split")
 
 
 def merge_labeled(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old splits plus new rows; within a split the new row of an encounter replaces the old one.
+    """Old splits plus new rows; the new row of an encounter replaces its old one in whatever split.
 
-    Both sides have one row per (split, encounter_id), so only the old rows' keys are looked up and
-    no wide row is sorted. Columns the old table does not have are dropped, absent ones are null.
+    Only the old rows' keys are looked up, and no wide row is sorted. Columns the old table does not have are dropped, absent ones are null.
     """
     kept = new.select(*[F.col(f"`{c}`") for c in old.columns if c in new.columns])
-    keys = new.select("split", "encounter_id")
-    return old.join(keys, ["split", "encounter_id"], "left_anti").select(
+    keys = new.select("encounter_id").distinct()
+    return old.join(keys, "encounter_id", "left_anti").select(
         *[F.col(f"`{c}`") for c in old.columns]
     ).unionByName(kept, allowMissingColumns=True)
 
@@ -64,4 +71,15 @@ def build_dataset_version(
     new = stage(last_per_encounter(labeled_rows(labelled)))
     if check:
         validate(to_raw_form(new).select("encounter_id", "patient_nbr", "readmitted", *INPUT_COLS), params, min_rows=1)
-    return merge_labeled(old, split_new_labels(new, params))
+    return merge_labeled(old, split_new_labels(new, old, params))
+
+
+def shared_between_splits(merged: DataFrame) -> DataFrame:
+    """One row: patients and encounters that are in more than one split; both are 0 in a sound version."""
+    def shared(key: str) -> DataFrame:
+        several = merged.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("split").alias("a"), F.max("split").alias("b"))
+        return several.where("a < b").select(F.lit(key).alias("key"))
+
+    both = shared("patient_nbr").unionByName(shared("encounter_id"))
+    count = lambda key: F.count(F.when(F.col("key") == key, 1))
+    return both.agg(count("patient_nbr").alias("shared_patients"), count("encounter_id").alias("shared_encounters"))

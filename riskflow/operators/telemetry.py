@@ -129,9 +129,9 @@ def follow_up_rate(log: DataFrame, size: int = 300, step: int | None = 60) -> Da
 
 
 def model_in_use(log: DataFrame, size: int = 3600) -> DataFrame:
-    """The model version of the last request in each window."""
+    """The model version of the last request in each window; of several at one instant the greatest name."""
     return log.groupBy(step_start("ts", size).alias("w_start")).agg(
-        F.max_by("model_version", "ts").alias("model_version")
+        F.max_by("model_version", F.struct("ts", "model_version")).alias("model_version")
     )
 
 

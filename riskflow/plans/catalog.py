@@ -532,7 +532,6 @@ def _old_splits(spark: SparkSession, d: str) -> DataFrame:
 
 def _new_labelled(spark: SparkSession, d: str) -> DataFrame:
     log = derived.prediction_log(spark, d)
-    log = log.where(F.col("ts") >= F.lit(derived.PERIOD_CUT).cast("timestamp"))
     return monitoring.attach_labels(monitoring.flatten_predictions(log), derived.label_log(spark, d))
 
 
@@ -554,6 +553,12 @@ def retrain_summary(spark, d):
     return cohort.split_summary(merged)
 
 
+@query
+def retrain_disjoint(spark, d):
+    merged = retrain.build_dataset_version(_old_splits(spark, d), _new_labelled(spark, d), PARAMS, check=False)
+    return retrain.shared_between_splits(merged)
+
+
 # ---- telemetry ---------------------------------------------------------------------------------
 
 @query

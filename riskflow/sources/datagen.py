@@ -54,13 +54,12 @@ def _even(u: Column, values: list) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (F.floor(u * len(values)) + 1).cast("int"))
 
 
-def poisson(u: Column, mean: float, most: int = 40) -> Column:
-    """Inverse of the Poisson distribution function, cut at ``most``."""
-    term, total, steps = math.exp(-mean), 0.0, []
-    for k in range(most):
-        total += term
+def poisson(u: Column, mean: float) -> Column:
+    """Inverse of the Poisson distribution function, to where double precision ends."""
+    total, steps = 0.0, []
+    for k in range(int(mean + 12 * math.sqrt(mean)) + 40):
+        total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) if mean > 0 else float(k == 0)
         steps.append(total)
-        term *= mean / (k + 1)
     return F.size(F.filter(F.array(*map(F.lit, steps)), lambda s: u >= s)).cast("bigint")
 
 
@@ -121,7 +120,7 @@ def generate_encounters(spark: SparkSession, n: int, seed: int = 42, partitions:
 
 def resample(df: DataFrame, fraction: float, seed: int = 7) -> DataFrame:
     """Sample with replacement: each row comes Poisson(fraction) times, as an encounter of its own."""
-    copies = poisson(hash_uniform("encounter_id", "copies", seed), fraction, most=int(10 * fraction) + 40)
+    copies = poisson(hash_uniform("encounter_id", "copies", seed), fraction)
     drawn = df.withColumn("_copies", copies).where(F.col("_copies") > 0)
     drawn = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     new_id = F.pmod(F.xxhash64("encounter_id", "_copy", F.lit(seed)), F.lit(2**62)) + 1

@@ -109,6 +109,9 @@ def last_label(joined: DataFrame) -> DataFrame:
     """Batch step over the joined output: the last label of each prediction."""
     last = F.max_by(F.struct("encounter_id", "score", "model_version", "readmitted_30d"),
                     F.struct("labelled_at", "readmitted_30d"))
+    # An unknown outcome never hides a known one.
+    last = F.coalesce(F.max_by(F.when(F.col("readmitted_30d").isNotNull(), F.struct("encounter_id", "score", "model_version", "readmitted_30d")),
+                               F.when(F.col("readmitted_30d").isNotNull(), F.struct("labelled_at", "readmitted_30d"))), last)
     return joined.groupBy("request_id").agg(last.alias("r")).select("request_id", "r.*")
 
 
