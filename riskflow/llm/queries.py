@@ -90,10 +90,10 @@ again AS (SELECT doc_id, count(*) AS n FROM hit GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts),
 full_lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM lines
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
-m AS (SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+m AS (SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
   coalesce(again.n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines,
-  len(list_filter(w, x -> regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]')))::BIGINT AS n_letter_words,
+  len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]')))::BIGINT AS n_letter_words,
   length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::BIGINT AS n_letters, length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper
   FROM words LEFT JOIN full_lines ON words.doc_id = full_lines.doc_id LEFT JOIN again ON words.doc_id = again.doc_id),
 f AS (SELECT *, ((n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
