@@ -168,12 +168,6 @@ def _gram_times(docs: DataFrame, hashes: np.ndarray, idf: np.ndarray, matrix: np
     return out
 
 
-def _sample(docs: DataFrame, most: int, n: int) -> DataFrame:
-    """About ``most`` documents, chosen by a hash of their text."""
-    share = min(1.0, most / max(n, 1))
-    return docs.select("text").filter((F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1))) < int(share * (1 << 30)))
-
-
 def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rank: int = RANK, fit_docs: int = FIT_DOCS) -> Index | None:
     """Fit the space and place the items in it. None without any item of ``MIN_ITEM_WORDS`` words."""
     store.prepare(spark)
@@ -193,7 +187,7 @@ def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rank
     rng = np.random.default_rng(17)
     width = min(rank + 16, len(hashes))
     basis = rng.standard_normal((len(hashes), width)).astype(np.float32)
-    sample = _sample(docs, fit_docs, int(counts[-1])) if fit_docs else None
+    sample = store.sample_texts(docs, fit_docs, int(counts[-1])) if fit_docs else None
     dense = np.zeros((len(long), len(hashes)), np.float32) if len(long) * len(hashes) < 50_000_000 else None
     if dense is not None:
         dense[r, p] = value
@@ -204,6 +198,7 @@ def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rank
 
     for _ in range(2):  # a sketch and one power iteration
         basis = np.linalg.qr(gram(basis))[0].astype(np.float32)
+    store.remove(spark, [sample] if sample is not None else [])
     space = np.ascontiguousarray(basis[:, :rank])
     starts = found.first[:-1]
     own = [found.hash[starts[k] : found.first[k + 1]] for k in long]

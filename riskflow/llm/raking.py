@@ -41,8 +41,7 @@ def fit_topics(docs: DataFrame, topics: int = TOPICS, fit_docs: int = FIT_DOCS)
     """Topic centres by k-means over a sample of about ``fit_docs`` documents, chosen by a hash of their text."""
     store.prepare(docs.sparkSession)
     some = docs.select("text").filter("text IS NOT NULL")
-    share = min(1.0, fit_docs / max(some.count(), 1))
-    some = some.filter(F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1)) < int(share * (1 << 30)))
+    some = store.sample_texts(some, fit_docs, some.count())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,13 +149,16 @@ def rake(table: DataFrame, power: float = 0.5, budget: float = 0.5, rounds: int
     sources = wide.withColumn("w", F.zip_with("c", product_, lambda x, y: x * y)).select("source", (F.col("goal") / F.aggregate("w", F.lit(0.0), lambda x, y: x + y)).alias("f"))
     weighted = table.join(sources, "source").withColumn("weight", F.col("f") * _factor(lang, "language") * _factor(top, "topic")).drop("f")
     weighted = store.keep(weighted, "weights")
-    wanted, low, high = budget * whole, 0.0, 1.0
-    got = lambda s: float(weighted.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * s))).first()[0])
-    while got(high) < wanted * (1 - 1e-6) and high < 1e9:
-        high *= 2
-    for _ in range(24):
-        middle = (low + high) / 2
-        low, high = (middle, high) if got(middle) < wanted else (low, middle)
+    wanted = budget * whole
+
+    def got(scales: list[float]) -> list[float]:
+        return list(weighted.agg(*(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * s)).alias(f"s{k}") for k, s in enumerate(scales))).first())
+
+    steps = [0.0, *(2.0**k for k in range(31))]
+    for _ in range(6):  # each pass tries 32 scales and keeps the interval in which the budget is met
+        k = next((k for k, x in enumerate(got(steps)) if k and x >= wanted * (1 - 1e-9)), len(steps) - 1)
+        low, high = steps[k - 1], steps[k]
+        steps = [low + (high - low) * j / 31 for j in range(32)]
     return weighted.withColumn("probability", F.round(F.least(F.lit(1.0), F.col("weight") * high), 6)), Rake(lang, top, high, done, worst)
 
 

@@ -7,10 +7,13 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.session import shared_dir
 
 BATCH_ROWS = 1000
+#: Samples are bounded, and so is the number of tasks that read them.
+SAMPLE_TASKS = 8
 
 
 def prepare(spark: SparkSession) -> None:
@@ -38,6 +41,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def sample_texts(docs: DataFrame, most: int, n: int) -> DataFrame:
+    """About ``most`` of ``n`` texts at most, chosen by a hash of the text; copies count once, however many there are."""
+    share = min(1.0, most / max(n, 1))
+    chosen = F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1)) < int(share * (1 << 30))
+    return keep(docs.select("text").filter(chosen).dropDuplicates(["text"]).coalesce(SAMPLE_TASKS), "sample")
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps, which it does once their handles are collected."""
     gc.collect()
