@@ -19,6 +19,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.llm import store
+
 SHINGLE = 5
 CONTAINMENT = 80
 BANDS = 14
@@ -113,7 +115,8 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, bool]] = TEMPLATES) ->
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     telling = sorted({w for text, _ in templates.values() for w in telling_words(template_words(text))})
     some = own.filter(_any(F.contains, lower, telling))
-    parsed = some.select("doc_id", F.xxhash64("text").alias("tie"), _words("text").alias("words")).filter(F.size("words") > 0)
+    # Read once for every length class: texts are searched and split once, and the classes read only what has a telling word.
+    parsed = store.keep(some.select("doc_id", F.xxhash64("text").alias("tie"), _words("text").alias("words")).filter(F.size("words") > 0), "license-words")
     found = None
     for number, (window, step, members) in enumerate(length_classes(templates)):
         local = sorted({w for words in members.values() for w in telling_words(words)})
