@@ -27,6 +27,8 @@ from riskflow.llm import store
 
 KEYS = 3
 MIN_WORDS = 8
+#: Bound on the lines that are joined by broadcast: as many can share a 1/FREQUENT part of all shared occurrences each.
+FREQUENT = 10_000
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -115,10 +117,19 @@ def _line_table(docs: DataFrame) -> DataFrame:
 
 
 def overlaps(table: DataFrame, keys: int = KEYS) -> DataFrame:
-    """Pairs (row, earlier document) that share one of the row's rarest lines."""
+    """Pairs (row, earlier document) that share one of the row's rarest lines.
+
+    A line with a 1/``FREQUENT`` part of all shared occurrences or more is frequent. At most ``FREQUENT`` lines can be, so
+    they are broadcast, and a line that a third of the documents hold is not gathered in one task.
+    """
     line = table.select("row", "doc_id", F.explode(F.array_distinct(F.filter("lines", lambda x: x >= 0))).alias("line"))
     held = line.groupBy("line").agg(F.count("*").alias("df"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
-    shared = line.join(held, "line")
+    held = store.keep(held, "shared-lines")
+    most = (held.agg(F.sum("df")).first()[0] or 0) / FREQUENT
+    often, seldom = held.filter(F.col("df") >= most), held.filter(F.col("df") < most)
+    marked = line.join(F.broadcast(often), "line", "left")
+    rest = marked.filter("df IS NULL").select("line", "row", "doc_id").join(seldom, "line")
+    shared = marked.filter("df IS NOT NULL").unionByName(rest)
     rarest = F.slice(F.array_sort(F.collect_list(F.struct("df", "line", "first"))), 1, keys)
     partners = shared.groupBy("row", "doc_id").agg(rarest.alias("r")).select("row", "doc_id", F.explode("r.first").alias("first"))
     return partners.filter("first < doc_id").select("row", "first").distinct()
