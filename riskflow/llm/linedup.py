@@ -24,11 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm import store
+from riskflow.operators.joins import join_unique
 
 KEYS = 3
 MIN_WORDS = 8
 #: Bound on the lines that are joined by broadcast: as many can share a 1/FREQUENT part of all shared occurrences each.
 FREQUENT = 10_000
+#: Partners of one earlier document beyond which the join with its lines is salted.
+HOT_PARTNERS = 500
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -156,7 +159,7 @@ def _deletions(table: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
 
     # Of rows with one doc_id and different texts, the one with the greatest line list stands for the document.
     theirs = table.groupBy("doc_id").agg(F.max("lines").alias("theirs")).withColumnRenamed("doc_id", "first")
-    both = pairs.join(theirs, "first").join(table.select("row", "lines", "words"), "row")
+    both = join_unique(pairs, theirs, "first", F.col("row"), hot_rows=HOT_PARTNERS).join(table.select("row", "lines", "words"), "row")
     found = both.select("row", "lines", "words", "theirs").mapInArrow(rows, "row bigint, gone array<int>").filter(F.size("gone") > 0)
     return found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
