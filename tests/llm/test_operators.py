@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, viterbi
+from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, store, viterbi
 from riskflow.llm.components import components
 from riskflow.llm.queries import TOKENIZER, VOCABULARY
 from riskflow.llm.text import words
@@ -193,6 +193,23 @@ def test_line_dedup(spark, docs, none):
     assert linedup.remove_lines(docs).count() == len(ROWS) and linedup.remove_lines(none).count() == 0
 
 
+def test_line_dedup_of_frequent_lines_and_documents(spark, monkeypatch):
+    lines = [f"line number {k} has eight words in it" for k in range(6)]
+    rows = [(k, "\n".join([f"own {k}", *lines[k % 3 :], f"end {k}"])) for k in range(1, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    read = lambda: Counter((r.doc_id, r.text, r.n_removed) for r in linedup.remove_lines(docs).collect())
+    plain = read()
+    monkeypatch.setattr(linedup, "HOT_PARTNERS", 3)
+    monkeypatch.setattr(linedup, "FREQUENT", 5)
+    assert read() == plain and sum(n for *_, n in plain) > 0
+
+
+def test_samples_take_a_text_once(spark):
+    rows = spark.range(3000).selectExpr("IF(id < 1500, 'same text', concat('text ', id)) AS text")
+    assert store.sample_texts(rows, 3000, 3000).count() == 1501
+    assert store.sample_texts(rows, 300, 3000).count() < 300
+
+
 def test_licenses(spark, docs, none):
     mit = licenses.TEMPLATES["MIT/grant"][0]
     rows = [(1, "Foo bar.\nReleased under the MIT License."), (2, "x " * 5000 + mit + " y" * 50), (3, None), (4, ""), (5, "released licensed nothing"), (6, "x " + mit.replace("copy", "kopy") + " z " * 20)]
