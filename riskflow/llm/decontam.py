@@ -1,19 +1,18 @@
-"""Benchmark decontamination by latent semantic retrieval.
+"""Benchmark decontamination by retrieval of covered TF-IDF weight.
 
-Texts are cut into overlapping passages. A passage is a TF-IDF vector over hashed words; a randomised singular value
-decomposition of the passage matrix gives a space of ``rank`` dimensions in which passages are searched by cosine. A hit is
-checked on the words: the longest common subsequence with the benchmark item, and whether the item's answer (its last
-sentence) stands in the passage word for word.
+An item is a TF-IDF vector of unit length over hashed words. Texts are cut into overlapping windows, and a window scores the
+cosine of the item with that part of it whose words stand in the window: 1 for a copy, whatever else stands around it. A hit is
+checked on the words: the longest common subsequence with the item, and whether the item's answer (its last sentence) stands
+there word for word.
 
 * Document frequencies: all documents, in hashed buckets, summed by Spark (at most ``BUCKETS`` rows).
-* Decomposition: the benchmark's passages and a sample of documents' passages bounded by ``fit_docs``. Spark applies the
-  matrix to the sketch and sums the parts; the driver holds vocabulary times rank numbers. Benchmark rows get a weight, so that
-  the space keeps what tells the items apart.
-* Search: every passage of every document against all items, item blocks at a time.
-
-The vocabulary is that of the benchmark; other words count in a passage's length only. The largest weight that a word has in
-any item bounds what it can add to a cosine, so passages whose words cannot reach the threshold together are left out before
-the projection.
+* Windows: items are classed by length, ``STRIDE`` words and its doubles; a class has windows of twice that length, half
+  overlapping, so that a copy lies in one window as a whole.
+* Search: every window of every document against all items of the class, by lists of the items that hold a word. An item's most
+  frequent words are left out of the lists up to ``UNLISTED`` of its weight, which is added to every sum as a bound; pairs that can
+  reach the threshold are then scored with all words. Nothing is projected or sampled, so no copy is lost however many
+  items there are.
+* Check: every window that reaches the threshold, and the best checked match of a document and item is kept.
 """
 
 from __future__ import annotations
@@ -33,29 +32,42 @@ from riskflow.llm.text import Words, blocks, words
 
 BUCKETS = 1 << 18
 WINDOW, STRIDE = 40, 20
-RANK = 256
-FIT_DOCS = 4000
-BENCHMARK_WEIGHT = 8.0
 MIN_COSINE = 0.45
-ITEM_BLOCK = 4096
+#: Share of an item's squared weight whose words have no list.
+UNLISTED = 0.1
+#: Cells (window, item) that are summed at once.
+CELLS = 1_000_000
 MIN_ITEM_WORDS = 5
 #: Percent of an item's words in the common subsequence: enough alone, and enough together with the answer.
 LCS_ALONE, LCS_WITH_ANSWER = 70, 50
 _U = np.uint64
 
 
+@dataclass
+class Level:
+    """The items of one class of length, and for each word of the vocabulary the items that list it."""
+
+    double: int  # windows have WINDOW << double words
+    items: np.ndarray
+    starts: np.ndarray  # of each word's list, and the end
+    listed: np.ndarray  # place in ``items``
+    share: np.ndarray  # of the item's squared weight
+    rest: np.ndarray  # share of each item that is not listed
+
+
 @dataclass
 class Index:
-    """What every task needs: the vocabulary, its weights, the space, and the items in it. Grows with the benchmark only."""
+    """What every task needs: the vocabulary and the items. Grows with the benchmark only."""
 
     hashes: np.ndarray  # of the vocabulary, ascending
-    idf: np.ndarray  # by bucket
-    space: np.ndarray  # vocabulary x rank
-    items: np.ndarray  # item x rank, unit length in TF-IDF
+    first: np.ndarray  # of each item's distinct words, and the end
+    place: np.ndarray  # in the vocabulary
+    times: np.ndarray  # how often the item has the word
+    share: np.ndarray  # of the item's squared weight
     item_ids: np.ndarray
     item_words: list[np.ndarray]
     answers: list[np.ndarray]
-    most: np.ndarray  # largest weight of each word of the vocabulary in an item
+    levels: list[Level]
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -99,123 +111,56 @@ def _table(key: bytes, bits: int) -> np.ndarray:
     return known
 
 
-def passages(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, first word and end of every passage: windows every ``STRIDE`` words, the last one at the document's end."""
+def passages(found: Words, window: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first word and end of every window: every ``stride`` words, the last one at the document's end."""
     n = found.n
-    count = np.where(n > WINDOW, -(-(n - WINDOW) // STRIDE) + 1, (n > 0).astype(np.int64))
+    count = np.where(n > window, -(-(n - window) // stride) + 1, (n > 0).astype(np.int64))
     doc = np.repeat(np.arange(len(n)), count)
     k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-    first = np.minimum(k * STRIDE, np.maximum(n[doc] - WINDOW, 0)) + found.first[:-1][doc]
-    return doc, first, np.minimum(first + WINDOW, found.first[1:][doc])
+    first = np.minimum(k * stride, np.maximum(n[doc] - window, 0)) + found.first[:-1][doc]
+    return doc, first, np.minimum(first + window, found.first[1:][doc])
 
 
-def _vectors(place: np.ndarray, weight: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse rows of ranges of words: row, place, weight of each distinct word with a place, and the rows' squared length."""
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after another, and the range of each."""
     size = end - begin
-    row = np.repeat(np.arange(len(begin)), size)
-    at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    p, w = place[at], weight[at]
-    inside = p >= 0
-    key, where, tf = np.unique(row[inside] * (1 << 32) + p[inside], return_index=True, return_counts=True)
-    value = (1 + np.log(tf)) * w[inside][where]
-    r = (key >> 32).astype(np.int64)
-    length = np.bincount(r, value * value, minlength=len(begin)) + np.bincount(row[~inside], (w * w)[~inside], minlength=len(begin))
-    return r, (key & 0xFFFFFFFF).astype(np.int64), value, length
-
-
-def _unit(r: np.ndarray, value: np.ndarray, length: np.ndarray) -> np.ndarray:
-    return value / np.sqrt(np.maximum(length, 1e-30))[r]
-
-
-def _project(r: np.ndarray, p: np.ndarray, value: np.ndarray, n: int, matrix: np.ndarray) -> np.ndarray:
-    """Sparse rows times a dense matrix."""
-    out = np.zeros((n, matrix.shape[1]), np.float32)
-    for k in range(0, len(r), 50_000):  # rows may continue in the next part
-        rows, head = np.unique(r[k : k + 50_000], return_index=True)
-        out[rows] += np.add.reduceat(matrix[p[k : k + 50_000]] * value[k : k + 50_000, None].astype(np.float32), head)
-    return out
+    of = np.repeat(np.arange(len(begin)), size)
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum())), of
 
 
-def _gram_times(docs: DataFrame, hashes: np.ndarray, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """Passage matrix of ``docs``, transposed, times itself, times ``matrix``; parts are summed by Spark."""
-    shared = docs.sparkSession.sparkContext.broadcast((hashes, idf, matrix))
-    width = matrix.shape[1]
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, idf, matrix = shared.value
-        total = np.zeros(matrix.shape)
-        for batch in batches:
-            for part in blocks(batch):
-                found = words(part.column("text"), lower=True)
-                _, begin, end = passages(found)
-                r, p, value, length = _vectors(_places(found.hash, hashes), idf[_bucket(found.hash)], begin, end)
-                value = _unit(r, value, length)
-                y = _project(r, p, value, len(begin), matrix)
-                order = np.argsort(p, kind="stable")
-                for k in range(0, len(order), 50_000):
-                    own = order[k : k + 50_000]
-                    at, head = np.unique(p[own], return_index=True)
-                    total[at] += np.add.reduceat(y[r[own]] * value[own, None], head)
-        used = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(list(total[used]), pa.list_(pa.float64()))], names=["at", "v"])
-
-    parts = docs.select("text").mapInArrow(rows, "at bigint, v array<double>")
-    sums = parts.groupBy("at").agg(F.array(*(F.sum(F.col("v")[k]) for k in range(width))).alias("v"))
-    out = np.zeros(matrix.shape)
-    for row in sums.toLocalIterator():
-        out[row["at"]] = row["v"]
-    shared.destroy()
-    return out
-
-
-def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rank: int = RANK, fit_docs: int = FIT_DOCS) -> Index | None:
-    """Fit the space and place the items in it. None without any item of ``MIN_ITEM_WORDS`` words."""
+def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Index | None:
+    """Weigh the items' words and list them. None without any item of ``MIN_ITEM_WORDS`` words."""
     store.prepare(spark)
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id", "text").collect()
-    texts = pa.array([r.text for r in rows], pa.string())
-    found = words(texts, lower=True)
+    found = words(pa.array([r.text for r in rows], pa.string()), lower=True)
     long = np.flatnonzero(found.n >= MIN_ITEM_WORDS) if len(rows) else []
     if not len(long):
         return None
-    hashes = np.unique(found.hash)
     counts = document_frequencies(docs)
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
-    begin, end = found.first[:-1][long], found.first[1:][long]
-    place, weight = _places(found.hash, hashes), idf[_bucket(found.hash)]
-    r, p, value, length = _vectors(place, weight, begin, end)
-    value = _unit(r, value, length)
-    rng = np.random.default_rng(17)
-    width = min(rank + 16, len(hashes))
-    basis = rng.standard_normal((len(hashes), width)).astype(np.float32)
-    sample = store.sample_texts(docs, fit_docs, int(counts[-1])) if fit_docs else None
-    dense = np.zeros((len(long), len(hashes)), np.float32) if len(long) * len(hashes) < 50_000_000 else None
-    if dense is not None:
-        dense[r, p] = value
-
-    def gram(x: np.ndarray) -> np.ndarray:
-        own = dense.T @ (dense @ x) if dense is not None else _scatter(r, p, value, _project(r, p, value, len(long), x), len(hashes))
-        return BENCHMARK_WEIGHT**2 * own + (_gram_times(sample, hashes, idf, x) if sample is not None else 0)
-
-    for _ in range(2):  # a sketch and one power iteration
-        basis = np.linalg.qr(gram(basis))[0].astype(np.float32)
-    store.remove(spark, [sample] if sample is not None else [])
-    space = np.ascontiguousarray(basis[:, :rank])
-    starts = found.first[:-1]
-    own = [found.hash[starts[k] : found.first[k + 1]] for k in long]
-    answers = [_answer(rows[k].text) for k in long]
-    most = np.zeros(len(hashes))
-    np.maximum.at(most, p, value)
-    return Index(hashes, idf, space, _project(r, p, value, len(long), space), np.array([rows[k].item_id for k in long]), own, answers, most)
-
-
-def _scatter(r: np.ndarray, p: np.ndarray, value: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros((n, y.shape[1]), np.float32)
-    order = np.argsort(p, kind="stable")
-    for k in range(0, len(order), 50_000):
-        own = order[k : k + 50_000]
-        at, head = np.unique(p[own], return_index=True)
-        out[at] += np.add.reduceat(y[r[own]] * value[own, None].astype(np.float32), head)
-    return out
+    own = [found.hash[found.first[k] : found.first[k + 1]] for k in long]
+    hashes = np.unique(np.concatenate(own))
+    size = np.array([len(x) for x in own])
+    key, times = np.unique(np.repeat(np.arange(len(own)), size) * len(hashes) + np.searchsorted(hashes, np.concatenate(own)), return_counts=True)
+    item, place = key // len(hashes), key % len(hashes)
+    square = ((1 + np.log(times)) * idf[_bucket(hashes[place])]) ** 2
+    share = square / np.bincount(item, square)[item]
+    first = np.searchsorted(item, np.arange(len(own) + 1))
+    # Within an item, the most frequent words first: what they weigh together stays under UNLISTED.
+    order = np.lexsort((-counts[_bucket(hashes[place])], item))
+    total = np.append(0, np.cumsum(share[order]))
+    unlisted = np.zeros(len(key), bool)
+    unlisted[order] = total[1:] - total[first[:-1]][item] < UNLISTED
+    rest = np.bincount(item[unlisted], share[unlisted], minlength=len(own))
+    double = np.ceil(np.log2(np.maximum(size / STRIDE, 1))).astype(np.int64)
+    levels = []
+    for d in np.unique(double).tolist():
+        items = np.flatnonzero(double == d)
+        some = np.flatnonzero((double[item] == d) & ~unlisted)
+        some = some[np.argsort(place[some], kind="stable")]
+        starts = np.searchsorted(place[some], np.arange(len(hashes) + 1))
+        levels.append(Level(d, items, starts, np.searchsorted(items, item[some]), share[some], rest[items]))
+    return Index(hashes, first, place, times, share, np.array([rows[k].item_id for k in long]), own, [_answer(rows[k].text) for k in long], levels)
 
 
 def _answer(text: str) -> np.ndarray:
@@ -226,12 +171,18 @@ def _answer(text: str) -> np.ndarray:
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence."""
-    best = np.zeros(len(b) + 1, np.int64)
-    for x in a:
-        step = np.where(b == x, best[:-1] + 1, 0)
-        best[1:] = np.maximum(best[1:], np.maximum.accumulate(step))
-    return int(best[-1])
+    """Length of the longest common subsequence; one bit for each element of ``a``."""
+    places: dict[int, int] = {}
+    for k, x in enumerate(a.tolist()):
+        places[x] = places.get(x, 0) | 1 << k
+    full = (1 << len(a)) - 1
+    left = full
+    for x in b.tolist():
+        at = places.get(x)
+        if at:
+            both = left & at
+            left = (left + both | left - both) & full
+    return len(a) - left.bit_count()
 
 
 def _contains(own: np.ndarray, part: np.ndarray) -> bool:
@@ -240,40 +191,74 @@ def _contains(own: np.ndarray, part: np.ndarray) -> bool:
     return bool((np.lib.stride_tricks.sliding_window_view(own, len(part)) == part).all(axis=1).any())
 
 
+def _candidates(place: np.ndarray, begin: np.ndarray, end: np.ndarray, level: Level, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows and items (places in ``level.items``) whose listed words and bound reach ``least``, some at a time."""
+    size = np.diff(level.starts)
+    at = np.flatnonzero((place >= 0) & (size[place] > 0))
+    own, width, n = place[at], len(size), len(level.items)
+    lo, hi = np.searchsorted(at, begin), np.searchsorted(at, end)
+    step = max(1, min(CELLS // n, 4096 >> min(level.double, 12)))
+    for k in range(0, len(begin), step):
+        spots, row = _ranges(lo[k : k + step], hi[k : k + step])
+        key = np.unique(row * width + own[spots])
+        where, of = _ranges(level.starts[key % width], level.starts[key % width + 1])
+        cell = (key // width)[of] * n + level.listed[where]
+        if not len(cell):
+            continue
+        if 16 * len(cell) < step * n:
+            cell, back = np.unique(cell, return_inverse=True)
+            total = np.bincount(back, level.share[where])
+        else:
+            total = np.bincount(cell, level.share[where])
+            cell = np.flatnonzero(total)
+            total = total[cell]
+        cell = cell[total + level.rest[cell % n] >= least]
+        yield k + cell // n, cell % n
+
+
+def _inside(spots: np.ndarray, n: int, place: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether a word stands in a range of words; ``spots`` is place * n + position of all words, ascending."""
+    at = np.searchsorted(spots, place * n + begin)
+    return spots[np.minimum(at, len(spots) - 1)] - place * n < np.where(at < len(spots), end, -1)
+
+
 def _hits(found: Words, index: Index, min_cosine: float) -> list[tuple[int, int, float, int, bool, int]]:
-    """(document, item, cosine, common words, answer found, first word) of the best passage for each item of a document."""
+    """(document, item, cosine, common words, answer found, first word) of the best match of each item in a document."""
     known = _table(index.hashes.tobytes(), 20)[(found.hash >> _U(44)).astype(np.int64)]
     place = np.full(len(found.hash), -1, np.int64)
     at = np.flatnonzero(known)
     place[at] = _places(found.hash[at], index.hashes)
-    weight = index.idf[_bucket(found.hash)]
-    doc, begin, end = passages(found)
-    if not len(doc):
+    at, n = np.flatnonzero(place >= 0), len(place) + 1
+    if not len(at):
         return []
-    # Sums over words, repeated ones included: 1 + log tf is at most tf, and its square at least 0.55 tf in a window.
-    inside, total = np.zeros(len(weight) + 1), np.zeros(len(weight) + 1)
-    np.cumsum(np.where(place >= 0, weight * index.most[place], 0), out=inside[1:])
-    np.cumsum(weight * weight, out=total[1:])
-    bound = (inside[end] - inside[begin]) / np.sqrt(np.maximum(0.55 * (total[end] - total[begin]), 1e-30))
-    some = np.flatnonzero(bound >= min_cosine)
-    best: dict[tuple[int, int], tuple[float, int]] = {}
-    for k in range(0, len(some), 4096):
-        own = some[k : k + 4096]
-        r, p, value, length = _vectors(place, weight, begin[own], end[own])
-        y = _project(r, p, _unit(r, value, length), len(own), index.space)
-        for j in range(0, len(index.items), ITEM_BLOCK):
-            cosine = y @ index.items[j : j + ITEM_BLOCK].T
-            for a, b in zip(*np.nonzero(cosine >= min_cosine)):
-                key, c = (int(doc[own[a]]), int(j + b)), float(cosine[a, b])
-                if c > best.get(key, (-1.0, 0))[0]:
-                    best[key] = (c, int(begin[own[a]]))
-    out = []
-    for (d, item), (c, at) in sorted(best.items()):
-        reach = len(index.item_words[item])
-        lo, hi = max(found.first[d], at - reach), min(found.first[d + 1], at + WINDOW + reach)
-        near = found.hash[lo:hi]
-        out.append((d, item, c, common_subsequence(index.item_words[item], near), _contains(near, index.answers[item]), int(at - found.first[d])))
-    return out
+    spots = np.sort(place[at] * n + at)
+    least = min_cosine * min_cosine - 1e-9
+    best: dict[tuple[int, int], tuple] = {}
+    for level in index.levels:
+        doc, begin, end = passages(found, WINDOW << level.double, STRIDE << level.double)
+        for window, item in _candidates(place, begin, end, level, least):
+            item = level.items[item]
+            for k in range(0, len(item), 20_000):
+                w, i = window[k : k + 20_000], item[k : k + 20_000]
+                each, of = _ranges(index.first[i], index.first[i + 1])
+                share = np.bincount(of, index.share[each] * _inside(spots, n, index.place[each], begin[w][of], end[w][of]), minlength=len(i))
+                some = np.flatnonzero(share >= least)
+                w, i, share = w[some], i[some], share[some]
+                size = np.array([len(index.item_words[x]) for x in i], np.int64)
+                lo, hi = np.maximum(found.first[doc[w]], begin[w] - size), np.minimum(found.first[doc[w] + 1], end[w] + size)
+                each, of = _ranges(index.first[i], index.first[i + 1])
+                most = np.bincount(of, index.times[each] * _inside(spots, n, index.place[each], lo[of], hi[of]), minlength=len(i))
+                for x in np.flatnonzero(100 * most >= LCS_WITH_ANSWER * size).tolist():
+                    own, near = index.item_words[i[x]], found.hash[lo[x] : hi[x]]
+                    common = common_subsequence(own, near)
+                    if 100 * common < LCS_WITH_ANSWER * len(own):
+                        continue
+                    answer = _contains(near, index.answers[i[x]])
+                    if answer or 100 * common >= LCS_ALONE * len(own):
+                        d = int(doc[w[x]])
+                        new = (common, answer, min(1.0, float(np.sqrt(share[x]))), -int(begin[w[x]] - found.first[d]))
+                        best[d, int(i[x])] = max(new, best.get((d, int(i[x])), new))
+    return [(d, item, cosine, common, answer, -at) for (d, item), (common, answer, cosine, at) in sorted(best.items())]
 
 
 _MATCH = "array<struct<item_id:bigint,cosine:double,common_words:bigint,item_words:bigint,answer:boolean,at:bigint>>"
@@ -282,9 +267,9 @@ _MATCH = "array<struct<item_id:bigint,cosine:double,common_words:bigint,item_wor
 def mark(docs: DataFrame, index: Index | None, carry: list[str], min_cosine: float = MIN_COSINE) -> DataFrame:
     """Every document with ``matches``: the benchmark items it contains. Carried columns keep their values.
 
-    A match has a latent cosine of ``min_cosine`` or more in some passage, and around it either ``LCS_ALONE`` percent of the
-    item's words as a common subsequence, or ``LCS_WITH_ANSWER`` percent and the item's answer word for word. Words are
-    compared with A-Z in lower case. Null and empty texts match nothing; repeated rows match alike; items with fewer than
+    A match has a cosine of ``min_cosine`` or more between the item and what a window covers of it, and around the window (one
+    length of the item to either side) either ``LCS_ALONE`` percent of the item's words as a common subsequence, or
+    ``LCS_WITH_ANSWER`` percent and the item's answer word for word. Words are compared with A-Z in lower case. Null and empty texts match nothing; repeated rows match alike; items with fewer than
     ``MIN_ITEM_WORDS`` words, or without id or text, are not searched; an empty benchmark matches nothing.
     """
     spark = docs.sparkSession
@@ -305,24 +290,22 @@ def mark(docs: DataFrame, index: Index | None, carry: list[str], min_cosine: flo
             for part in blocks(batch, text):
                 matches: list[list[dict]] = [[] for _ in range(part.num_rows)]
                 for d, item, cosine, common, answer, at in _hits(words(part.column(text), lower=True), index, min_cosine) if index else []:
-                    n = len(index.item_words[item])
-                    if 100 * common >= LCS_ALONE * n or answer and 100 * common >= LCS_WITH_ANSWER * n:
-                        matches[d].append({"item_id": int(index.item_ids[item]), "cosine": cosine, "common_words": common, "item_words": n, "answer": answer, "at": at})
+                    matches[d].append({"item_id": int(index.item_ids[item]), "cosine": cosine, "common_words": common, "item_words": len(index.item_words[item]), "answer": answer, "at": at})
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(matches, kind)], names=[*names, out])
 
     return own.mapInArrow(rows, schema)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item found in it."""
-    index = build_index(docs.sparkSession, docs, benchmark, **settings)
+    index = build_index(docs.sparkSession, docs, benchmark)
     found = mark(docs, index, ["doc_id"]).select("doc_id", F.explode("matches").alias("m"))
     return found.select("doc_id", "m.item_id", F.round("m.cosine", 4).alias("cosine"), "m.common_words", "m.item_words", "m.answer", "m.at")
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a match, with the columns they came with."""
-    index = build_index(docs.sparkSession, docs, benchmark, **settings)
+    index = build_index(docs.sparkSession, docs, benchmark)
     columns = docs.columns
     if "matches" in columns:
         inner = docs.select(F.struct(*(F.col(c) for c in columns)).alias("row"), "text")

@@ -269,6 +269,29 @@ def test_leaks(spark, docs, none):
     assert decontam.keep_clean(docs, bench.limit(0)).count() == len(ROWS)
 
 
+def quotes(spark, sizes, seed):
+    """Items cut from the texts of sf0.001, one of each size in turn, each put in lower case (A-Z) into a text of other words."""
+    low = lambda text: re.sub("[A-Z]+", lambda m: m[0].lower(), text)
+    pool = [w for r in some_texts(spark, 1000).collect() for w in split(r.text)]
+    rng = np.random.default_rng(seed)
+    items = [" ".join(pool[k : k + n]) for n, k in zip(sizes, rng.integers(0, len(pool) - max(sizes), len(sizes)).tolist())]
+    around = lambda: " ".join(pool[int(k)] for k in rng.integers(0, len(pool), 90))
+    texts = [f"{around()} rare{k} {low(v)} {around()}" for k, v in enumerate(items)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), texts, items
+
+
+def check_quotes(docs, bench, texts, items):
+    held = [" " + " ".join(split(t.lower())) + " " for t in texts]
+    want = {(d, k) for k, v in enumerate(items) for d, t in enumerate(held) if " " + " ".join(split(v.lower())) + " " in t}
+    rows = decontam.leaks(docs, bench).collect()
+    assert len(want) >= len(items) and want <= {(r.doc_id, r.item_id) for r in rows}
+    assert all(r.common_words == r.item_words for r in rows if (r.doc_id, r.item_id) in want)
+
+
+def test_leaks_of_many_items(spark):
+    check_quotes(*quotes(spark, [30] * 1200, 1))
+
+
 def test_common_subsequence():
     assert decontam.common_subsequence(np.array([1, 2, 3, 4]), np.array([2, 9, 3, 1, 4])) == 3
 
