@@ -288,6 +288,13 @@ def check_quotes(docs, bench, texts, items):
     assert all(r.common_words == r.item_words for r in rows if (r.doc_id, r.item_id) in want)
 
 
+@pytest.mark.parametrize("n_docs", [0, 5000])
+def test_leaks_of_short_and_long_items(spark, n_docs):
+    docs, bench, texts, items = quotes(spark, [5, 7, 10, 20, 21, 41, 100, 300, 500] * 20, 2)
+    more = spark.range(n_docs).selectExpr("id + 100000 AS doc_id", "concat('other ', id) AS text")
+    check_quotes(docs.unionByName(more), bench, texts, items)
+
+
 def test_leaks_of_many_items(spark):
     check_quotes(*quotes(spark, [30] * 1200, 1))
 
