@@ -295,6 +295,15 @@ def test_leaks_of_short_and_long_items(spark, n_docs):
     check_quotes(docs.unionByName(more), bench, texts, items)
 
 
+def test_leaks_checks_every_window(spark):
+    item = " ".join(f"w{k}" for k in range(38))
+    mixed, other = " ".join(reversed(split(item))), " ".join(f"o{k}" for k in range(300))
+    texts = [f"{mixed} {other} {item} {other}", f"{other} {mixed}", " ".join(split(item)[:19]) + f" {other} u v w x {item}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontam.leaks(docs, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.common_words, r.cosine) for r in rows} == {(0, 38, 1.0), (2, 38, 1.0)}
+
+
 def test_leaks_of_many_items(spark):
     check_quotes(*quotes(spark, [30] * 1200, 1))
 
