@@ -1,12 +1,12 @@
-"""Line deduplication by pairwise alignment: shared rare lines find overlapping documents, patience diff aligns them.
+"""Line deduplication by pairwise alignment: shared runs of lines find overlapping documents, patience diff aligns them.
 
-1. Lines (cut at newline, compared without white space at the ends; lines without a word are left out) are hashed and counted
-   by documents. A document's keys are its ``keys`` rarest lines among those that others hold too, so that a group of
-   thousands of copies is found by its own lines, and a line of boilerplate finds nothing where rarer ones exist.
-2. A key leads to the smallest ``doc_id`` that holds the line. This gives at most ``keys`` partners for each document, all
-   earlier ones, and one row for each holder of a frequent line.
+1. Lines (cut at newline, compared without white space at the ends; lines without a word are left out) are hashed. From every line
+   on, the shortest run of lines with ``min_words`` words or more is a key; every block that can be deleted begins with one.
+2. A key leads to the smallest ``doc_id`` that holds the run. All of them that are earlier are a document's partners, however
+   many; later documents change nothing.
 3. The line hashes of both documents are aligned by patience diff: lines that occur once in both, in the longest increasing
-   order, then the equal lines next to them, then the gaps in between in the same way.
+   order, then the equal lines next to them, then the gaps in between in the same way; a gap without a line that occurs once in
+   both by the longest common subsequence.
 4. Blocks of aligned lines with ``min_words`` words or more are deleted from the later document.
 
 Every deleted line stands in an earlier document, and the earliest holder of a line never loses it.
@@ -15,6 +15,7 @@ Every deleted line stands in an earlier document, and the earliest holder of a l
 from __future__ import annotations
 
 import hashlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -26,12 +27,13 @@ from pyspark.sql import functions as F
 from riskflow.llm import store
 from riskflow.operators.joins import join_unique
 
-KEYS = 3
 MIN_WORDS = 8
-#: Bound on the lines that are joined by broadcast: as many can share a 1/FREQUENT part of all shared occurrences each.
+#: Bound on the runs that are joined by broadcast: as many can share a 1/FREQUENT part of all shared occurrences each.
 FREQUENT = 10_000
 #: Partners of one earlier document beyond which the join with its lines is salted.
 HOT_PARTNERS = 500
+#: Bits of the table of a longest common subsequence; a larger one is cut in halves.
+TABLE_BITS = 1 << 30
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -50,6 +52,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
             continue
         anchors = _increasing(_once(a, a0, a1, b, b0, b1))
         if not anchors:
+            out += [(a0 + x, b0 + y) for x, y in _common(a[a0:a1], b[b0:b1])]
             continue
         ends = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
         out += anchors
@@ -89,6 +92,69 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _table(a: list[int], b: list[int]) -> Iterator[int]:
+    """After each item of ``a``: bit k is 0 where item k of ``b`` lengthens the longest common subsequence."""
+    places: dict[int, int] = {}
+    for k, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << k
+    full = left = (1 << len(b)) - 1
+    for x in a:
+        both = left & places.get(x, 0)
+        left = (left + both | left - both) & full
+        yield left
+
+
+def _common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence."""
+    in_a, in_b = set(a), set(b)
+    at_a, at_b = [k for k, x in enumerate(a) if x in in_b], [k for k, x in enumerate(b) if x in in_a]
+    a, b = [a[k] for k in at_a], [b[k] for k in at_b]
+    out: list[tuple[int, int]] = []
+    if len(a) > 1 and len(a) * len(b) > TABLE_BITS:
+        half = len(a) // 2
+        head, tail = 0, 0
+        for head in _table(a[:half], b):
+            pass
+        for tail in _table(a[half:][::-1], b[::-1]):
+            pass
+        # Where to cut b: longest of the first half up to there and of the second half from there.
+        best = now = len(b) - tail.bit_count()
+        cut = 0
+        ahead, behind = f"{head:0{len(b)}b}"[::-1], f"{tail:0{len(b)}b}"
+        for k in range(len(b)):
+            now += (ahead[k] == "0") - (behind[k] == "0")
+            if now > best:
+                best, cut = now, k + 1
+        out = _common(a[:half], b[:cut]) + [(half + x, cut + y) for x, y in _common(a[half:], b[cut:])]
+    elif a:
+        table, x, y = list(_table(a, b)), len(a), len(b)
+        while x and y:
+            if a[x - 1] == b[y - 1]:
+                x, y = x - 1, y - 1
+                out.append((x, y))
+            elif table[x - 1] >> (y - 1) & 1:
+                y -= 1
+            else:
+                x -= 1
+        out.reverse()
+    return [(at_a[x], at_b[y]) for x, y in out]
+
+
+def _runs(hashes: list[int], counts: list[int], min_words: int) -> list[int]:
+    """Hash of the shortest run of ``min_words`` words or more from each line with a word, without repeats."""
+    own = [(x, n) for x, n in zip(hashes, counts) if x >= 0]
+    raw = array("q", [x for x, _ in own]).tobytes()
+    found, end, total = [], 0, 0
+    for k, (_, n) in enumerate(own):
+        while end < len(own) and total < min_words:
+            total, end = total + own[end][1], end + 1
+        if total < min_words:
+            break
+        found.append(xxhash.xxh64_intdigest(raw[8 * k : 8 * end]) >> 1)
+        total -= n
+    return list(dict.fromkeys(found))
+
+
 def _lines(text: bytes) -> list[bytes]:
     return text.split(b"\n")
 
@@ -104,38 +170,37 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return own.withColumn("row", F.xxhash64(F.lit(11), F.coalesce("doc_id", F.lit(-1)), "text"))
 
 
-def _line_table(docs: DataFrame) -> DataFrame:
-    """Line hashes and word counts of every document with an id."""
+def _line_table(docs: DataFrame, min_words: int) -> DataFrame:
+    """Line hashes, word counts and run hashes of every document with an id."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, counts = [], []
+            hashes, counts, runs = [], [], []
             for value in batch.column("text"):
                 lines = _lines(value.as_buffer().to_pybytes())
                 hashes.append([_hash(x) for x in lines])
                 counts.append([len(x.split()) for x in lines])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))], names=["row", "doc_id", "lines", "words"])
+                runs.append(_runs(hashes[-1], counts[-1], min_words))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())), pa.array(runs, pa.list_(pa.int64()))], names=["row", "doc_id", "lines", "words", "runs"])
 
-    return _keyed(docs).filter("doc_id IS NOT NULL").mapInArrow(rows, "row bigint, doc_id bigint, lines array<bigint>, words array<int>")
+    return _keyed(docs).filter("doc_id IS NOT NULL").mapInArrow(rows, "row bigint, doc_id bigint, lines array<bigint>, words array<int>, runs array<bigint>")
 
 
-def overlaps(table: DataFrame, keys: int = KEYS) -> DataFrame:
-    """Pairs (row, earlier document) that share one of the row's rarest lines.
+def overlaps(table: DataFrame) -> DataFrame:
+    """Pairs (row, earlier document) such that the document is the first holder of one of the row's runs.
 
-    A line with a 1/``FREQUENT`` part of all shared occurrences or more is frequent. At most ``FREQUENT`` lines can be, so
-    they are broadcast, and a line that a third of the documents hold is not gathered in one task.
+    A run with a 1/``FREQUENT`` part of all shared occurrences or more is frequent. At most ``FREQUENT`` runs can be, so
+    they are broadcast, and a run that a third of the documents hold is not gathered in one task.
     """
-    line = table.select("row", "doc_id", F.explode(F.array_distinct(F.filter("lines", lambda x: x >= 0))).alias("line"))
-    held = line.groupBy("line").agg(F.count("*").alias("df"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
-    held = store.keep(held, "shared-lines")
+    run = table.select("row", "doc_id", F.explode("runs").alias("run"))
+    held = run.groupBy("run").agg(F.count("*").alias("df"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
+    held = store.keep(held, "shared-runs")
     most = (held.agg(F.sum("df")).first()[0] or 0) / FREQUENT
     often, seldom = held.filter(F.col("df") >= most), held.filter(F.col("df") < most)
-    marked = line.join(F.broadcast(often), "line", "left")
-    rest = marked.filter("df IS NULL").select("line", "row", "doc_id").join(seldom, "line")
+    marked = run.join(F.broadcast(often), "run", "left")
+    rest = marked.filter("df IS NULL").select("run", "row", "doc_id").join(seldom, "run")
     shared = marked.filter("df IS NOT NULL").unionByName(rest)
-    rarest = F.slice(F.array_sort(F.collect_list(F.struct("df", "line", "first"))), 1, keys)
-    partners = shared.groupBy("row", "doc_id").agg(rarest.alias("r")).select("row", "doc_id", F.explode("r.first").alias("first"))
-    return partners.filter("first < doc_id").select("row", "first").distinct()
+    return shared.filter("first < doc_id").select("row", "first").distinct()
 
 
 def _deletions(table: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
@@ -164,15 +229,15 @@ def _deletions(table: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
     return found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
-def remove_lines(docs: DataFrame, keys: int = KEYS, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every document with the lines that remain: doc_id, text, n_lines (with a word), n_removed, kept_sha256.
 
     Null and empty texts have no lines and come back empty. Repeated rows share their id, so neither is the later one; both
     are returned alike. A document without an id is returned whole and takes no lines from others. Other columns are not read.
     """
     store.prepare(docs.sparkSession)
-    table = store.keep(_line_table(docs).dropDuplicates(["row"]), "lines")
-    pairs = store.keep(overlaps(table, keys), "overlaps")
+    table = store.keep(_line_table(docs, min_words).dropDuplicates(["row"]), "lines")
+    pairs = store.keep(overlaps(table), "overlaps")
     gone = store.keep(_deletions(table, pairs, min_words), "deletions")
     store.remove(docs.sparkSession, [table, pairs])
 
@@ -189,5 +254,6 @@ def remove_lines(docs: DataFrame, keys: int = KEYS, min_words: int = MIN_WORDS)
                 sha.append(hashlib.sha256(text[-1]).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha)], names=["doc_id", "text", "n_lines", "n_removed", "kept_sha256"])
 
-    joined = _keyed(docs).join(gone, "row", "left").select("doc_id", "text", "gone")
+    # One plan at all sizes: the texts are shuffled whether or not the deletions would fit a broadcast.
+    joined = _keyed(docs).join(gone.hint("merge"), "row", "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(rows, "doc_id bigint, text string, n_lines bigint, n_removed bigint, kept_sha256 string")

@@ -204,6 +204,50 @@ def test_line_dedup_of_frequent_lines_and_documents(spark, monkeypatch):
     assert read() == plain and sum(n for *_, n in plain) > 0
 
 
+def brute_lines(rows):
+    """Lines that remain when every block of eight words or more that an earlier document has is deleted."""
+    out = {}
+    for doc, text in rows:
+        lines, gone = text.split("\n"), set()
+        for first, other in rows:
+            theirs = other.split("\n")
+            for x in range(len(lines) if first < doc else 0):
+                for y in range(len(theirs)):
+                    n = 0
+                    while x + n < len(lines) and y + n < len(theirs) and lines[x + n] == theirs[y + n]:
+                        n += 1
+                    if sum(len(v.split()) for v in lines[x : x + n]) >= 8:
+                        gone |= set(range(x, x + n))
+        out[doc] = "\n".join(v for k, v in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_line_dedup_of_many_sources(spark):
+    rng = np.random.default_rng(5)
+    block = [[f"block {k} line {j}" + " more" * (k % 3) for j in range(2 + k % 4)] for k in range(60)]
+    rows = []
+    for doc in range(1, 70):
+        chosen = sorted(rng.choice(60, 1 + doc % 9, replace=False).tolist())
+        rows.append((doc, "\n".join(v for k in chosen for v in [f"own {doc} {k}", *block[k]])))
+    # Document 500 is the first holder of three rarer lines than those of the block it takes from document 3.
+    own = [f"rare line {k} of document five hundred has words" for k in range(3)]
+    rows += [(500, "\n".join([*own, "x", *rows[2][1].split("\n")[1:]])), (900, "\n".join(own))]
+    got = {r.doc_id: r.text for r in linedup.remove_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_lines(rows) and got[500] == "\n".join([*own, "x"])
+
+
+@pytest.mark.parametrize("bits", [1 << 30, 20])
+def test_patience_without_single_lines(monkeypatch, bits):
+    assert linedup.patience([1, 2, 1, 2], [5, 1, 2, 1, 2, 6]) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    monkeypatch.setattr(linedup, "TABLE_BITS", bits)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = rng.integers(0, 4, rng.integers(0, 20)).tolist(), rng.integers(0, 5, rng.integers(0, 20)).tolist()
+        found = linedup._common(a, b)
+        assert all(a[x] == b[y] for x, y in found) and all(x < u and y < v for (x, y), (u, v) in zip(found, found[1:]))
+        assert len(found) == decontam.common_subsequence(np.array(a), np.array(b))
+
+
 def test_samples_take_a_text_once(spark):
     rows = spark.range(3000).selectExpr("IF(id < 1500, 'same text', concat('text ', id)) AS text")
     assert store.sample_texts(rows, 3000, 3000).count() == 1501
