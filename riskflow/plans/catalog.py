@@ -16,7 +16,7 @@ from riskflow.functions import (
 from riskflow.operators import cohort, drift, evaluation, features, gate, models, monitoring, quality
 from riskflow.operators import retrain, scoring, telemetry
 from riskflow.operators.ranking import exact_quantiles, histogram
-from riskflow.params import Experiment, Params
+from riskflow.params import Params
 from riskflow.plans import jobs
 from riskflow.session import shared_dir, stage
 from riskflow.sources import datagen, derived, read_prediction_log, sinks
@@ -620,13 +620,6 @@ def slo_report(spark, d):
 
 # ---- models ------------------------------------------------------------------------------------
 
-# Few and shallow trees: the catalogue shows the path, not the best model.
-SMALL = Params(experiments=(
-    Experiment("logreg_balanced", "logreg", {"C": 1.0, "balanced": True, "max_iter": 20}),
-    Experiment("gbt_calibrated", "gbt", {"step": 0.1, "max_iter": 3, "max_depth": 3, "calibrate": True}),
-))
-
-
 def _parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     rows = stage(_labelled(spark, d))
     return {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
@@ -634,18 +627,16 @@ def _parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 @query
 def experiments(spark, d):
-    """Rule baseline and fitted models on the validation split."""
-    return jobs.train(_parts(spark, d), SMALL).comparison.drop("seq")
+    """Rule baseline and the four default experiments on the validation split."""
+    return jobs.train(_parts(spark, d), PARAMS).comparison.drop("seq")
 
 
 @query
 def batch_scores(spark, d):
-    """Fit on the training split, score every test encounter, decide at the validation threshold."""
+    """Fit the four default experiments, score every test encounter with the best, decide at the validation threshold."""
     parts = _parts(spark, d)
-    feature_model, vectors = models.fit_features(parts["train"])
-    model = models.fit(SMALL.experiments[0], feature_model, vectors, SMALL)
-    limit = scoring.fit_threshold(scoring.score(parts["val"], model), SMALL.top_k_frac)
-    return scoring.decide(scoring.score(parts["test"], model), limit.scalar(), "v1")
+    training = jobs.train(parts, PARAMS)
+    return scoring.decide(scoring.score(parts["test"], training.model), F.lit(training.threshold), "v1")
 
 
 # ---- streams -----------------------------------------------------------------------------------

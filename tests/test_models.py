@@ -11,8 +11,8 @@ from riskflow import contract as C
 from riskflow.functions import charlson, icd9_group, lace_score, register_sql_functions, with_lace
 from riskflow.operators import cohort, drift, evaluation, features, gate, models, monitoring, quality, scoring
 from riskflow.operators import telemetry
-from riskflow.params import Experiment, Params
-from riskflow.plans import jobs
+from riskflow.params import DEFAULT_EXPERIMENTS, Experiment, Params
+from riskflow.plans import catalog, jobs
 from riskflow.session import stage
 from riskflow.sources import datagen, read_label_log, read_prediction_log
 from riskflow.sources.sinks import append_log
@@ -93,6 +93,20 @@ def training(splits):
     return jobs.train(splits, Params(experiments=(LOGREG, CALIBRATED)))
 
 
+def test_catalogue_runs_the_default_experiments(spark, sf_dir, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def train(splits, params=Params()):
+        raise Asked(params.experiments)
+
+    monkeypatch.setattr(jobs, "train", train)
+    for query in (catalog.experiments, catalog.batch_scores):
+        with pytest.raises(Asked) as asked:
+            query(spark, sf_dir)
+        assert asked.value.args == (DEFAULT_EXPERIMENTS,)
+
+
 def test_models_beat_the_rule(training):
     pr = {r["model"]: r["pr_auc"] for r in training.comparison.collect()}
     assert pr["logreg"] > pr["baseline_lace"] and training.best in ("logreg", "calibrated")
