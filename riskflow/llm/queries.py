@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, viterbi
+from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, subvectors, viterbi
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,6 +63,10 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_documents(spark, sf_dir), size=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subvectors.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, seed="1", dims=64, scale=64)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": token_ids,
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_passages": repeated_passages,
         "op9_benchmark_leaks": benchmark_leaks,
         "op10_pseudonyms": pseudonym_texts,
+        "op13_centroid_clusters": centroid_clusters,
     }
 
 
@@ -104,5 +109,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+
+def _centroid_sql(k: int = 16, rounds: int = 3) -> str:
+    """The rounds of op13 one after another: every vector against every centroid, then sums by component."""
+    steps = [f"""
+q AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256(concat('1:', vec_id)), q) - 1 AS c, q AS m FROM q QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} AS (SELECT r, vec_id, q, c, list_sum(list_transform(list_zip(q, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM q, c{i}),
+a{i} AS (SELECT r, vec_id, q, c, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT c, unnest(q) AS x, unnest(generate_series(1, 64)) AS i FROM a{i}) GROUP BY c, i),
+m{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM s{i} GROUP BY c),
+c{i + 1} AS (SELECT c{i}.c, coalesce(m{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN m{i} ON c{i}.c = m{i}.c)""")
+    return f"""
+WITH {",".join(steps)}
+SELECT vec_id, a{rounds}.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a{rounds}.c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON a{rounds}.c = c{rounds}.c"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_SQL}
+    return {"op3_quality_rules": QUALITY_SQL, "op13_centroid_clusters": _centroid_sql()}
