@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, subvectors, viterbi
+from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, subvectors, turns, viterbi
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,6 +63,10 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_documents(spark, sf_dir), size=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def repaired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subvectors.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, seed="1", dims=64, scale=64)
 
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_passages": repeated_passages,
         "op9_benchmark_leaks": benchmark_leaks,
         "op10_pseudonyms": pseudonym_texts,
+        "op12_repaired_turns": repaired_turns,
         "op13_centroid_clusters": centroid_clusters,
     }
 
