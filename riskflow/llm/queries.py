@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, subvectors, turns, viterbi
+from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, subvectors, turns, viterbi, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,6 +63,13 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_documents(spark, sf_dir), size=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def capture_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no capture times: pages were captured in the order of their ids, one each second."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = warc.archive_pages(pages, F.timestamp_seconds(F.pmod(F.col("page_id"), F.lit(1 << 31))))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def repaired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -83,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_passages": repeated_passages,
         "op9_benchmark_leaks": benchmark_leaks,
         "op10_pseudonyms": pseudonym_texts,
+        "op11_capture_histories": capture_histories,
         "op12_repaired_turns": repaired_turns,
         "op13_centroid_clusters": centroid_clusters,
     }
@@ -138,5 +146,15 @@ SELECT vec_id, a{rounds}.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PAR
 FROM a{rounds} JOIN c{rounds} ON a{rounds}.c = c{rounds}.c"""
 
 
+CAPTURE_SQL = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+n AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+  row_number() OVER (PARTITION BY sha256(payload) ORDER BY page_id NULLS LAST, url NULLS LAST) AS k,
+  first_value(page_id) OVER (PARTITION BY sha256(payload) ORDER BY page_id NULLS LAST, url NULLS LAST) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 OR payload_bytes < 100 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 AND payload_bytes >= 100 THEN first END AS refers_to FROM n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_SQL, "op13_centroid_clusters": _centroid_sql()}
+    return {"op3_quality_rules": QUALITY_SQL, "op11_capture_histories": CAPTURE_SQL, "op13_centroid_clusters": _centroid_sql()}
