@@ -437,6 +437,42 @@ merged AS (SELECT split, encounter_id, patient_nbr, target, age, time_in_hospita
     UNION ALL SELECT split, encounter_id, known, target, age, time_in_hospital, insulin FROM new_rows)"""
 
 
+def _gains() -> str:
+    """Sums of gradients (of log-loss at the balanced prior, 1/2) and curvatures by code, then the gain of every split."""
+    gain = "(g * g / h + (tg - g) * (tg - g) / (th - h) - tg * tg / th)"
+    feat = features("labelled", "feat", "encounter_id, split, target")
+    return f"""{LABELLED},{feat},{fitted('feat', "split = 'train'")},{vocab('feat', "split = 'train'")},
+tr AS (SELECT * FROM feat WHERE split = 'train'),
+cls AS (SELECT target AS t, (SELECT count(*) FROM tr) / (2.0::double * count(*)) AS w FROM tr GROUP BY target),
+fit AS (SELECT tr.*, round(w * (0.5 - target) * 16777216) / 16777216 AS g, round(w * 0.25 * 16777216) / 16777216 AS h FROM tr JOIN cls ON t = target
+    WHERE (SELECT count(*) FROM tr) <= 10000 OR {bucket('encounter_id', P.seed + 2)} >= 0.1),
+tot AS (SELECT sum(g) AS tg, sum(h) AS th, count(*) AS tn FROM fit),
+nums AS ({longer('fit', C.NUM_COLS, keep='g, h')}),
+nc AS (SELECT feature, greatest(least(coalesce(v, median), high), low) AS code, count(*) AS n, sum(g) AS g, sum(h) AS h
+    FROM nums JOIN med USING (feature) JOIN clip USING (feature) GROUP BY 1, 2),
+ncum AS (SELECT feature, sum(n) OVER w AS n, sum(g) OVER w AS g, sum(h) OVER w AS h, count(*) OVER (PARTITION BY feature) AS n_codes
+    FROM nc WINDOW w AS (PARTITION BY feature ORDER BY code ROWS UNBOUNDED PRECEDING)),
+cats AS ({longer('fit', C.CAT_COLS, keep='g, h')}),
+cc AS (SELECT cats.feature, CASE WHEN frequent THEN category END AS code, count(*) AS n, sum(g) AS g, sum(h) AS h
+    FROM cats JOIN vocab ON vocab.feature = cats.feature AND category = coalesce(v, 'missing') GROUP BY 1, 2),
+ccum AS (SELECT feature, n, g, h, count(*) OVER (PARTITION BY feature) AS n_codes FROM cc),
+parts AS (SELECT * FROM ncum UNION ALL SELECT * FROM ccum)
+SELECT feature, max(n_codes) AS n_codes, round(max(CASE WHEN n >= 20 AND tn - n >= 20 AND h >= 0.001 AND th - h >= 0.001 THEN {gain} END), 4) + 0.0 AS gain
+FROM parts, tot GROUP BY feature"""
+
+
+#: The least upper mean of the greatest lower ones: rate(i) is the max over j <= i of the min over k >= i of the mean from j to k.
+ISOTONIC = """
+lv AS (SELECT CASE WHEN model = 'lace' THEN 0 ELSE 1 END AS c, CASE WHEN model = 'lace' THEN score ELSE floor(score * 200) / 200 END AS v, target FROM sc),
+pts AS MATERIALIZED (SELECT c, v, count(*) AS n, sum(target) AS pos, row_number() OVER (PARTITION BY c ORDER BY v) AS i FROM lv GROUP BY c, v),
+run AS MATERIALIZED (SELECT *, sum(n) OVER w AS cn, sum(pos) OVER w AS cp FROM pts WINDOW w AS (PARTITION BY c ORDER BY i)),
+means AS MATERIALIZED (SELECT a.c, a.i AS j, z.i AS k, (z.cp - a.cp + a.pos)::double / (z.cn - a.cn + a.n) AS m FROM run a JOIN run z ON a.c = z.c AND z.i >= a.i),
+low AS (SELECT means.c, pts.i, j, min(m) AS m FROM pts JOIN means ON means.c = pts.c AND j <= pts.i AND k >= pts.i GROUP BY 1, 2, 3),
+rates AS (SELECT c, i, max(m) AS rate FROM low GROUP BY 1, 2)
+SELECT c::bigint AS curve, round(min(v), 6) + 0.0 AS low, round(max(v), 6) + 0.0 AS high, sum(n)::bigint AS n, sum(pos)::bigint AS pos, round(rate, 6) + 0.0 AS rate
+FROM pts JOIN rates USING (c, i) GROUP BY c, round(rate, 10), rate"""
+
+
 def oracle_sql() -> dict[str, str]:
     train_feat = LABELLED + "," + features("labelled", "feat", "encounter_id, split")
     faulty_feat = FENC + "," + features("fenc", "feat", "encounter_id AS id, patient_nbr")
@@ -566,6 +602,12 @@ def oracle_sql() -> dict[str, str]:
             firing AS (SELECT *, w_start - 60 * row_number() OVER (PARTITION BY alert ORDER BY w_start) AS island FROM ({_ALERT_UNION}) WHERE firing)""",
             """SELECT alert, min(w_start) AS start, max(w_start) AS "end", max(w_start) - min(w_start) AS duration, min(w_start) + max(lasts) AS fires_at
             FROM firing GROUP BY alert, island HAVING max(w_start) - min(w_start) >= max(lasts)"""),
+        "scored_rows": _with(LABELLED, f"""SELECT model, count(*) AS n, count(DISTINCT encounter_id) AS encounters, 0::bigint AS outside, sum(target)::bigint AS positives
+            FROM labelled, (SELECT unnest(['logreg_balanced', 'gbt_default', 'gbt_tuned', 'gbt_calibrated']) AS model) WHERE split = 'test' GROUP BY model"""),
+        "logistic_optimum": _with(train_feat + "," + vocab("feat", "split = 'train'"), f"""SELECT unnest([{', '.join(text(c) for c in C.NUM_COLS)}]) AS feature, 0.0::double AS gradient
+            UNION ALL SELECT feature || '=' || category, 0.0 FROM vocab WHERE frequent UNION ALL SELECT DISTINCT feature || '=infrequent', 0.0 FROM vocab WHERE NOT frequent"""),
+        "first_split_gains": "WITH " + _gains(),
+        "isotonic_rates": "WITH " + SCORED + "," + ISOTONIC,
         "stream_label_join": _with(LOGS, "SELECT request_id, encounter_id, round(score, 6) AS score, model_version, readmitted_30d FROM live"),
         "stream_quarantine": _with(REQUESTS, """SELECT unnest(reasons) AS reason, count(*) AS n FROM judged_req GROUP BY 1
             UNION ALL SELECT 'accepted', count(*) FROM judged_req WHERE len(reasons) = 0"""),

@@ -216,6 +216,7 @@ class FeatureModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, *, state: str = "{}", outputCol: str = "features"):
         super().__init__()
+        self._setDefault(state="{}", outputCol="features")
         self._set(**self._input_kwargs)
 
     def fitted(self) -> dict:

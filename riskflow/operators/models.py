@@ -1,27 +1,35 @@
-"""The rule baseline, MLlib estimators and the calibrated ensemble."""
+"""The rule baseline, logistic regression, boosted trees and their calibrated ensemble."""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params as MLParams, TypeConverters
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark import keyword_only
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.contract import TARGET
 from riskflow.functions import hash_bucket, lace_flag, lace_risk, with_lace
-from riskflow.operators.features import CleanRaw, FeatureModel, FeaturePipeline
+from riskflow.operators import boosting
+from riskflow.operators.boosting import Boosting, Codes
+from riskflow.operators.features import CleanRaw, FeatureModel, fit_state, imputed, profile
+from riskflow.operators.isotonic import curve, isotonic_pools
+from riskflow.operators.ranking import value_counts
 from riskflow.params import Experiment, Params
-from riskflow.session import stage
+from riskflow.session import keep
 
 FOLDS = 3
-# Calibration reads scores at the precision they are reported with, so it has at most 100,001 points.
-SCORE_DECIMALS = 5
-MAX_BINS = 64
 
 
 def lace_transform(df: DataFrame) -> DataFrame:
@@ -39,30 +47,52 @@ class LaceModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class ScoreColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Copies the positive class of a probability vector, or averages calibrated columns, into one column."""
+    """Copies the positive class of a probability vector into one column."""
+
+    inputCol = Param(MLParams._dummy(), "inputCol", "probability vector", TypeConverters.toString)
+    outputCol = Param(MLParams._dummy(), "outputCol", "score column", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol="probability", outputCol="score"):
+        super().__init__()
+        self._setDefault(inputCol="probability", outputCol="score")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        score = vector_to_array(F.col(self.getOrDefault(self.inputCol)))[1]
+        return dataset.withColumn(self.getOrDefault(self.outputCol), score)
 
-    inputCols = Param(MLParams._dummy(), "inputCols", "probability vectors or numbers", TypeConverters.toListString)
+
+class BoostedModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Scores cleaned features with boosted trees; several calibrated models are averaged.
+
+    ``model`` is JSON: how features become codes, and for each part its base, trees and calibration curve, if any.
+    """
+
+    model = Param(MLParams._dummy(), "model", "codes and parts as JSON", TypeConverters.toString)
     outputCol = Param(MLParams._dummy(), "outputCol", "score column", TypeConverters.toString)
-    vector = Param(MLParams._dummy(), "vector", "inputs are vectors", TypeConverters.toBoolean)
-    decimals = Param(MLParams._dummy(), "decimals", "round to, -1 for not at all", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCol="score", vector=True, decimals=-1):
+    def __init__(self, *, model: str = "{}", outputCol: str = "score"):
         super().__init__()
-        self._setDefault(inputCols=["probability"], outputCol="score", vector=True, decimals=-1)
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._setDefault(model="{}", outputCol="score")
+        self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        names = self.getOrDefault(self.inputCols)
-        if self.getOrDefault(self.vector):
-            parts = [vector_to_array(F.col(c))[1] for c in names]
-        else:
-            parts = [F.col(c) for c in names]
-        value = sum(parts[1:], parts[0]) / F.lit(float(len(parts)))
-        digits = self.getOrDefault(self.decimals)
-        return dataset.withColumn(
-            self.getOrDefault(self.outputCol), F.round(value, digits) if digits >= 0 else value
-        )
+        fitted = json.loads(self.getOrDefault(self.model))
+        codes = Codes(**fitted["codes"])
+        parts = [(p["base"], boosting.load_trees(p), p["curve"]) for p in fitted["parts"]]
+
+        @F.arrow_udf("double")
+        def score(*columns: pa.Array) -> pa.Array:
+            matrix = codes.of(list(columns))
+            total = np.zeros(len(matrix))
+            for base, trees, points in parts:
+                margin = boosting.margins(matrix, base, trees, codes.ordered)
+                total += np.interp(margin, *points) if points else 1.0 / (1.0 + np.exp(-margin))
+            return pa.array(total / len(parts))
+
+        return dataset.withColumn(self.getOrDefault(self.outputCol), score(*[F.col(f"`{c}`") for c in codes.names()]))
 
 
 def class_weights(train: DataFrame) -> tuple[int, DataFrame]:
@@ -75,67 +105,102 @@ def class_weights(train: DataFrame) -> tuple[int, DataFrame]:
     return n, train.withColumn("weight", weight)
 
 
-def make_estimator(kind: str, options: dict, n_rows: int, seed: int, suffix: str = ""):
-    """An MLlib estimator over ``features``, ``target`` and, when balanced, ``weight``."""
-    columns = dict(featuresCol="features", labelCol=TARGET, predictionCol=f"prediction{suffix}")
-    if kind == "logreg":
-        # The penalty is per summed loss there and per averaged loss here.
-        est = LogisticRegression(
-            maxIter=options.get("max_iter", 100), standardization=False,
-            regParam=1.0 / (options.get("C", 1.0) * n_rows), **columns,
-        )
-    elif kind == "gbt":
-        est = GBTClassifier(
-            maxIter=options.get("max_iter", 100), stepSize=options.get("step", 0.1),
-            maxDepth=options.get("max_depth", 5), minInstancesPerNode=options.get("min_leaf", 1),
-            maxBins=MAX_BINS, seed=seed, **columns,
-        )
-    else:
-        raise ValueError(f"unknown model: {kind}")
-    est = est.setRawPredictionCol(f"rawPrediction{suffix}").setProbabilityCol(f"probability{suffix}")
-    return est.setWeightCol("weight") if options.get("balanced") else est
-
-
-def _calibrated(rows: DataFrame, options: dict, n_rows: int, seed: int) -> list:
-    """Three boosted models, each calibrated on the third of the encounters it has not seen."""
-    folds = stage(rows.withColumn(
-        "fold", F.least(F.floor(hash_bucket("encounter_id", seed + 1) * FOLDS), F.lit(FOLDS - 1))
-    ))
-    stages, calibrated = [], []
-    for i in range(FOLDS):
-        model = make_estimator("gbt", options, n_rows, seed, f"_{i}").fit(folds.where(F.col("fold") != i))
-        score = ScoreColumn(inputCols=[f"probability_{i}"], outputCol=f"raw_{i}", decimals=SCORE_DECIMALS)
-        held_out = score.transform(model.transform(folds.where(F.col("fold") == i)))
-        # Equal scores are combined first: the fit then sees at most two rows per reported score.
-        points = held_out.groupBy(f"raw_{i}", F.col(TARGET).cast("double").alias(TARGET)).agg(
-            F.count("*").cast("double").alias("weight")
-        )
-        isotonic = IsotonicRegression(
-            featuresCol=f"raw_{i}", labelCol=TARGET, weightCol="weight", predictionCol=f"calibrated_{i}"
-        ).fit(points)
-        stages += [model, score, isotonic]
-        calibrated.append(f"calibrated_{i}")
-    return [*stages, ScoreColumn(inputCols=calibrated, vector=False)]
-
-
-def fit_features(train: DataFrame) -> tuple[FeatureModel, DataFrame]:
-    """The fitted transformation and the training vectors, staged for the fits that follow."""
-    cleaned = CleanRaw().transform(train)
-    model = FeaturePipeline().fit(cleaned)
-    return model, stage(model.transform(cleaned).select("encounter_id", TARGET, "features"))
-
-
-def fit(experiment: Experiment, features: FeatureModel, vectors: DataFrame, params: Params = Params()) -> PipelineModel:
+@dataclass
+class Prepared:
+    """The training rows in the two forms that fits read, and what was fitted to get them."""
+
+    features: FeatureModel
+    codes: Codes
+    vectors: DataFrame
+    coded: DataFrame
+
+
+def fit_features(train: DataFrame) -> Prepared:
+    """The fitted transformation, from one profile of the training rows, and these rows as vectors and as codes."""
+    cleaned = keep(CleanRaw().transform(train), "cleaned")
+    prof = keep(profile(cleaned), "profile")
+    state = fit_state(prof)
+    model = FeatureModel(state=json.dumps(state))
+    codes = boosting.fit_codes(imputed(prof, state["median"]), state)
+    vectors = keep(model.transform(cleaned).select("encounter_id", TARGET, "features"), "vectors")
+    return Prepared(model, codes, vectors, keep(boosting.coded(cleaned, codes, ["encounter_id", TARGET]), "codes"))
+
+
+def fit_logistic(vectors: DataFrame, options: dict) -> LogisticRegressionModel:
+    """Logistic regression with an L2 penalty of 1 / (2 C) on the summed loss; MLlib's is on the averaged one."""
+    n_rows, weighted = class_weights(vectors)
+    est = LogisticRegression(
+        featuresCol="features", labelCol=TARGET, maxIter=options.get("max_iter", 100), tol=options.get("tol", 1e-6),
+        standardization=False, regParam=1.0 / (options.get("C", 1.0) * n_rows))
+    return (est.setWeightCol("weight") if options.get("balanced") else est).fit(weighted)
+
+
+def logistic_gradient(model: LogisticRegressionModel, vectors: DataFrame, options: dict) -> np.ndarray:
+    """Derivatives of the penalised mean loss by each coefficient; all near zero where the fit has reached the optimum."""
+    n_rows, weighted = class_weights(vectors)
+    weight = F.col("weight") if options.get("balanced") else F.lit(1.0)
+    scored = model.transform(weighted.withColumn("_w", weight))
+    rest = (vector_to_array("probability")[1] - F.col(TARGET)) * F.col("_w")
+    # The summarizer takes no negative weights.
+    up, down = (Summarizer.sum(F.col("features"), F.greatest(sign * rest, F.lit(0.0))) for sign in (1, -1))
+    sums = scored.agg(up.alias("up"), down.alias("down"), F.sum("_w").alias("w")).first()
+    return (sums["up"].toArray() - sums["down"].toArray()) / sums["w"] + model.coefficients.toArray() / (options.get("C", 1.0) * n_rows)
+
+
+def _how(options: dict) -> Boosting:
+    names = {"step": "step", "max_iter": "rounds", "leaves": "leaves", "l2": "l2", "min_leaf": "min_leaf"}
+    return Boosting(**{names[k]: v for k, v in options.items() if k in names})
+
+
+def _calibrated(coded: DataFrame, codes: Codes, options: dict, seed: int) -> list[dict]:
+    """Three boosted models, each calibrated on the third of the encounters it has not seen.
+
+    The margins of all held-out rows come from one pass, and all three curves from one run of pooling.
+    """
+    rows = keep(coded.withColumn(
+        "fold", F.least(F.floor(hash_bucket("encounter_id", seed + 1) * FOLDS), F.lit(FOLDS - 1)).cast("int")
+    ), "folds")
+
+    def fold(i: int) -> dict:
+        return boosting.fit(rows.where(F.col("fold") != i).drop("fold"), codes, _how(options), bool(options.get("balanced")), seed)
+
+    with ThreadPoolExecutor(FOLDS) as threads:
+        parts = list(threads.map(fold, range(FOLDS)))
+    trees = [(p["base"], boosting.load_trees(p)) for p in parts]
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matrix, own = boosting.code_matrix(batch), batch.column("fold").to_numpy()
+            out = np.zeros(len(matrix))
+            for i, (base, grown) in enumerate(trees):
+                out[own == i] = boosting.margins(matrix[own == i], base, grown, codes.ordered)
+            yield pa.RecordBatch.from_arrays([batch.column("fold"), pa.array(out), batch.column(TARGET)], names=["by", "margin", TARGET])
+
+    held_out = rows.select("fold", F.col(TARGET).cast("int").alias(TARGET), "codes").mapInArrow(margins, f"by int, margin double, {TARGET} int")
+    pools = isotonic_pools(value_counts(held_out, "margin", ("by",), pos=F.col(TARGET))).orderBy("by", "low").collect()
+    return [{**p, "curve": curve([r for r in pools if r["by"] == i])} for i, p in enumerate(parts)]
+
+
+def fit(experiment: Experiment, prepared: Prepared, params: Params = Params()) -> PipelineModel:
     """One experiment as a pipeline from raw encounter columns to ``score``, which can be saved whole."""
     options = dict(experiment.options)
-    calibrate = options.pop("calibrate", False)
-    n_rows, weighted = class_weights(vectors)
-    if calibrate:
-        stages = _calibrated(vectors, options, n_rows, params.seed)
+    if experiment.kind == "logreg":
+        model = fit_logistic(prepared.vectors, options)
+        return PipelineModel([CleanRaw(), prepared.features, model, ScoreColumn()])
+    if experiment.kind != "gbt":
+        raise ValueError(f"unknown model: {experiment.kind}")
+    if options.get("calibrate"):
+        parts = _calibrated(prepared.coded, prepared.codes, options, params.seed)
     else:
-        estimator = make_estimator(experiment.kind, options, n_rows, params.seed)
-        stages = [estimator.fit(weighted), ScoreColumn(inputCols=["probability"])]
-    return PipelineModel([CleanRaw(), features, *stages])
+        one = boosting.fit(prepared.coded, prepared.codes, _how(options), bool(options.get("balanced")), params.seed)
+        parts = [{**one, "curve": None}]
+    return PipelineModel([CleanRaw(), BoostedModel(model=json.dumps({"codes": asdict(prepared.codes), "parts": parts}))])
+
+
+def fit_all(experiments: tuple[Experiment, ...], prepared: Prepared, params: Params = Params()) -> dict[str, PipelineModel]:
+    """All experiments at once: their fits don't depend on each other, and small ones leave most of a cluster free."""
+    with ThreadPoolExecutor(max(1, len(experiments))) as threads:
+        return dict(zip([e.name for e in experiments], threads.map(lambda e: fit(e, prepared, params), experiments)))
 
 
 def model_size_mb(spark: SparkSession, path: str) -> float:

@@ -15,14 +15,14 @@ class Experiment:
 # The four experiments compared against the rule baseline.
 DEFAULT_EXPERIMENTS = (
     Experiment("logreg_balanced", "logreg", {"C": 1.0, "balanced": True, "max_iter": 2000}),
-    Experiment("gbt_default", "gbt", {"step": 0.1, "max_iter": 200, "max_depth": 5, "balanced": True}),
+    Experiment("gbt_default", "gbt", {"step": 0.1, "max_iter": 200, "leaves": 31, "balanced": True}),
     Experiment(
         "gbt_tuned", "gbt",
-        {"step": 0.05, "max_iter": 400, "max_depth": 4, "min_leaf": 50, "balanced": True},
+        {"step": 0.05, "max_iter": 400, "leaves": 15, "l2": 1.0, "min_leaf": 50, "balanced": True},
     ),
     Experiment(
         "gbt_calibrated", "gbt",
-        {"step": 0.05, "max_iter": 300, "max_depth": 4, "min_leaf": 50, "calibrate": True},
+        {"step": 0.05, "max_iter": 300, "leaves": 15, "l2": 1.0, "min_leaf": 50, "calibrate": True},
     ),
 )
 

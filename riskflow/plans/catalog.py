@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from riskflow.functions import (
     age_mid, charlson, hash_bucket, icd9_group, lace_flag, lace_risk, n_med_changes, n_meds_active,
     register_sql_functions, specialty_group, total_visits, with_lace,
 )
-from riskflow.operators import cohort, drift, evaluation, features, gate, models, monitoring, quality
+from riskflow.operators import boosting, cohort, drift, evaluation, features, gate, models, monitoring, quality
 from riskflow.operators import retrain, scoring, telemetry
-from riskflow.operators.ranking import exact_quantiles, histogram
+from riskflow.operators.isotonic import isotonic_pools
+from riskflow.operators.ranking import exact_quantiles, histogram, value_counts
 from riskflow.params import Params
 from riskflow.plans import jobs
 from riskflow.session import shared_dir, stage
@@ -625,20 +627,76 @@ def _parts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
 
 
+_TRAININGS: dict[tuple[str, str], tuple[dict[str, DataFrame], jobs.Training]] = {}
+
+
+def _trained(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], jobs.Training]:
+    """One training run for each session and source, which the queries on models share."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TRAININGS:
+        parts = _parts(spark, d)
+        _TRAININGS[key] = (parts, jobs.train(parts, PARAMS))
+    return _TRAININGS[key]
+
+
 @query
 def experiments(spark, d):
     """Rule baseline and the four default experiments on the validation split."""
-    return jobs.train(_parts(spark, d), PARAMS).comparison.drop("seq")
+    return _trained(spark, d)[1].comparison.drop("seq")
 
 
 @query
 def batch_scores(spark, d):
-    """Fit the four default experiments, score every test encounter with the best, decide at the validation threshold."""
-    parts = _parts(spark, d)
-    training = jobs.train(parts, PARAMS)
+    """Score every test encounter with the best of the default experiments, decide at the validation threshold."""
+    parts, training = _trained(spark, d)
     return scoring.decide(scoring.score(parts["test"], training.model), F.lit(training.threshold), "v1")
 
 
+@query
+def scored_rows(spark, d):
+    """Of every experiment: how many test encounters it scores, how many of them twice, and scores outside 0 to 1."""
+    parts, training = _trained(spark, d)
+    scored = [jobs.scored_with(model, name, parts["test"]) for name, model in training.models.items()]
+    rows = reduce(DataFrame.unionByName, scored)
+    return rows.groupBy("model").agg(
+        F.count("*").alias("n"), F.count_distinct("encounter_id").alias("encounters"),
+        F.count_if(~F.col("score").between(0, 1)).alias("outside"), F.sum(F.col("target").cast("bigint")).alias("positives"),
+    )
+
+
+def _prepared(spark: SparkSession, d: str) -> models.Prepared:
+    return models.fit_features(_parts(spark, d)["train"])
+
+
+@query
+def logistic_optimum(spark, d):
+    """Derivatives of the penalised loss at the fitted coefficients: zero for every feature at the optimum."""
+    options = {"C": 1.0, "balanced": True, "max_iter": 2000, "tol": 1e-10}
+    prepared = _prepared(spark, d)
+    model = models.fit_logistic(prepared.vectors, options)
+    gradient = models.logistic_gradient(model, prepared.vectors, options)
+    rows = list(zip(prepared.features.feature_names(), gradient.tolist()))
+    return _rounded(spark.createDataFrame(rows, "feature string, gradient double"), "gradient").withColumn("gradient", F.round("gradient", 3) + 0.0)
+
+
+@query
+def first_split_gains(spark, d):
+    """The best gain of each feature at the root of the first tree of the default boosted model."""
+    prepared = _prepared(spark, d)
+    gains = boosting.root_gains(prepared.coded, prepared.codes, boosting.Boosting(step=0.1, rounds=1, leaves=31), True, PARAMS.seed)
+    rows = spark.createDataFrame(gains, "feature string, n_codes bigint, gain double")
+    return rows.withColumn("gain", F.round("gain", 4) + 0.0)
+
+
+@query
+def isotonic_rates(spark, d):
+    """Calibration pools of the rule index and of a score with 200 levels."""
+    levels = F.when(F.col("model") == "lace", F.col("score")).otherwise(F.floor(F.col("score") * 200) / 200)
+    rows = _scored(spark, d).withColumns({"score": levels, "by": F.when(F.col("model") == "lace", 0).otherwise(1)})
+    pools = isotonic_pools(value_counts(rows, "score", ("by",), pos=F.col("target").cast("bigint")))
+    return pools.select(F.col("by").cast("bigint").alias("curve"), r6("low").alias("low"), r6("high").alias("high"), "n", "pos", r6(F.col("pos") / F.col("n")).alias("rate"))
+
+
 # ---- streams -----------------------------------------------------------------------------------
 
 def _run_dir(spark: SparkSession) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.contract import TARGET
-from riskflow.operators import cohort, evaluation, features, gate, models, monitoring, quality, retrain, scoring
+from riskflow.operators import cohort, evaluation, gate, models, monitoring, quality, retrain, scoring
 from riskflow.operators.features import clean, profile
 from riskflow.params import Params
 from riskflow.session import stage
@@ -48,11 +48,10 @@ def scored_with(model, name: str, rows: DataFrame) -> DataFrame:
 def train(splits: dict[str, DataFrame], params: Params = Params()) -> Training:
     """Fit all experiments, choose by validation PR-AUC, measure the choice once on the test split.
 
-    The feature transformation is fitted once, and the vectors are staged for all fits. All models'
+    The feature transformation is fitted once, and its rows are stored for all fits. All models'
     validation scores are then evaluated together.
     """
-    feature_model, vectors = models.fit_features(splits["train"])
-    fitted = {e.name: models.fit(e, feature_model, vectors, params) for e in params.experiments}
+    fitted = models.fit_all(params.experiments, models.fit_features(splits["train"]), params)
     candidates = {"baseline_lace": models.LaceModel(), **fitted}
     scores = None
     for name, model in candidates.items():
@@ -157,8 +156,3 @@ def retrain_model(
     table = stage(retrain.build_dataset_version(splits, labelled, params))
     parts = {name: table.where(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
     return RetrainDecision(True, reason, table, train(parts, params))
-
-
-def fit_transformation(train_rows: DataFrame) -> features.FeatureModel:
-    """The fitted feature transformation alone."""
-    return models.fit_features(train_rows)[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,13 @@ def stage(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back with the same schema.
+
+    Like ``stage``, but the copy has columns to prune and filters to push down, and Spark knows its size.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

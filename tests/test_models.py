@@ -19,7 +19,7 @@ from riskflow.sources.sinks import append_log
 from riskflow.streaming import streams
 
 LOGREG = Experiment("logreg", "logreg", {"C": 1.0, "balanced": True, "max_iter": 50})
-CALIBRATED = Experiment("calibrated", "gbt", {"step": 0.1, "max_iter": 3, "max_depth": 3, "calibrate": True})
+CALIBRATED = Experiment("calibrated", "gbt", {"step": 0.1, "max_iter": 20, "leaves": 8, "calibrate": True})
 
 
 def now():
@@ -116,7 +116,7 @@ def test_models_beat_the_rule(training):
 
 def test_unknown_model_kind():
     with pytest.raises(ValueError):
-        models.make_estimator("svm", {}, 10, 1)
+        models.fit(Experiment("other", "svm"), None)
 
 
 def test_no_train_serve_skew_and_saved_model(spark, training, splits, tmp_path):

@@ -5,16 +5,12 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, duck
 
-# Runs model fits; checked in test_models instead.
-SLOW = {"experiments", "batch_scores"}
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_matches_sql(spark, con, sf_dir, name):
     ok, message = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), sf_dir)
     assert ok, message
