@@ -5,6 +5,7 @@ Only the definition of the test views, the data contract and fixed tables are sh
 
 from __future__ import annotations
 
+import json
 import math
 
 from riskflow import contract as C
@@ -422,16 +423,41 @@ def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+def fingerprint(table: str, out: str, columns: list[str], by: str = "") -> str:
+    """Rows and sums modulo 2^64 of both halves of the md5 of each row's text, columns in order of their names."""
+    cells = []
+    for c in sorted(columns):
+        value = f"epoch_us({q(c)})" if c == "discharge_ts" else q(c)
+        cells.append(f"coalesce(length(cast({value} AS varchar)) || ':' || cast({value} AS varchar), '~')")
+    half = lambda at: f"cast(sum(('0x' || substr(h, {at}, 16))::ubigint::hugeint) % 18446744073709551616::hugeint AS varchar)"
+    keys = by + ", " if by else ""
+    rate = ", round(avg(target), 4) AS pos_rate" if by else ""
+    return f"""{out} AS MATERIALIZED (SELECT {keys}rows{', pos_rate' if by else ''}, sha256(rows || '|' || low || '|' || high) AS sha256 FROM (
+    SELECT {keys}count(*) AS rows, {half(1)} AS low, {half(17)} AS high{rate}
+    FROM (SELECT {keys}{'target, ' if by else ''}md5({" || ';' || ".join(cells)}) AS h FROM {table}) {'GROUP BY ' + by if by else ''}))"""
+
+
+_SETTINGS = json.dumps({"exclude_discharge_ids": list(P.exclude_discharge_ids), "seed": P.seed, "test_size": P.test_size, "val_size": P.val_size})
+_VERSION_COLS = [c for c in derived.ENCOUNTER_SQL if c not in ("readmitted", "discharge_ts")] + ["target"]
+_TABLE_COLS = [c for c in derived.ENCOUNTER_SQL if c != "readmitted"] + ["target"]
+
+
+def version_of(prints: str, raw: str = "''") -> str:
+    """The data version from the splits' hashes."""
+    return f"(SELECT substr(sha256({raw} || '|' || {text(_SETTINGS)} || '|' || string_agg(split || ':' || sha256, '|' ORDER BY split)), 1, 12) FROM {prints})"
+
+
 def _retrain() -> str:
     return LOGS + f""",
 labelled AS MATERIALIZED (SELECT *, cast(readmitted = '<30' AS bigint) AS target, {split_case()} AS split
     FROM enc WHERE NOT {among('discharge_disposition_id', P.exclude_discharge_ids)}),
 old_rows AS MATERIALIZED (SELECT * FROM labelled WHERE discharge_ts < timestamp '{derived.RETRAIN_CUT}'),
-last_live AS (SELECT *, CASE WHEN {bucket('encounter_id')} < {P.new_train_share}::double THEN 'train' ELSE 'test' END AS hashed,
-        cast(readmitted_30d AS bigint) AS target FROM live
+last_live AS (SELECT live.*, enc.patient_nbr AS known, cast(readmitted_30d AS bigint) AS target
+    FROM live JOIN (SELECT encounter_id AS eid, patient_nbr FROM enc) enc ON eid = live.encounter_id
     QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY ts DESC, request_id DESC) = 1),
-new_rows AS MATERIALIZED (SELECT l.*, o.patient_nbr AS known, coalesce(o.split, l.hashed) AS split
-    FROM last_live l LEFT JOIN old_rows o ON o.encounter_id = l.encounter_id),
+old_patients AS (SELECT DISTINCT patient_nbr AS p, split FROM old_rows),
+new_rows AS MATERIALIZED (SELECT l.*, coalesce(split, CASE WHEN {bucket('known')} < {P.new_train_share}::double THEN 'train' ELSE 'test' END) AS split
+    FROM last_live l LEFT JOIN old_patients ON p = known),
 merged AS (SELECT split, encounter_id, patient_nbr, target, age, time_in_hospital, insulin FROM old_rows o
         WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.encounter_id = o.encounter_id)
     UNION ALL SELECT split, encounter_id, known, target, age, time_in_hospital, insulin FROM new_rows)"""
@@ -487,6 +513,9 @@ def oracle_sql() -> dict[str, str]:
             (SELECT count(*) FROM (SELECT patient_nbr FROM labelled GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS shared_patients
             FROM labelled GROUP BY 1"""),
 
+        "data_version": _with(LABELLED + "," + fingerprint("enc", "raw_print", list(derived.ENCOUNTER_SQL)) + "," + fingerprint("labelled", "prints", _TABLE_COLS, "split"),
+            f"SELECT raw_print.sha256 AS raw_sha256, {version_of('prints', '(SELECT sha256 FROM raw_print)')} AS data_version, split, prints.rows AS rows, pos_rate, prints.sha256 AS sha256 FROM prints, raw_print"),
+
         "missing_rates": _with(FENC, f'SELECT col AS "column", round(rate, 6) AS missing_rate FROM ({_MISSING})'),
         "label_rate": _with(FENC, "SELECT round(avg(CASE WHEN readmitted = '<30' THEN 1.0::double ELSE 0 END), 6) AS label_rate FROM fenc"),
         "violation_report": _with(CELLS, """SELECT col AS "column", chk AS "check", count(*) AS n_failures,
@@ -497,6 +526,14 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'missing_rate', col, round(rate, 6), rate <= {P.max_missing_rate} FROM ({_MISSING})
             UNION ALL SELECT 'label_rate', NULL, round(avg(r), 6), avg(r) BETWEEN {P.min_label_rate} AND {P.max_label_rate}
             FROM (SELECT CASE WHEN readmitted = '<30' THEN 1.0::double ELSE 0 END AS r FROM fenc)"""),
+        "dq_report": _with(CELLS + f""",
+            found AS (SELECT 'schema' AS type, col, chk, count(*) AS n, NULL::double AS value FROM cells WHERE chk IS NOT NULL GROUP BY 2, 3
+                UNION ALL SELECT 'dataset', NULL, 'min_rows', NULL, count(*)::double FROM fenc HAVING count(*) < {P.min_rows}
+                UNION ALL SELECT 'dataset', col, 'missing_rate', NULL, round(rate, 6) FROM ({_MISSING}) WHERE rate > {P.max_missing_rate}
+                UNION ALL SELECT 'dataset', NULL, 'label_rate', NULL, round(avg(r), 6) FROM (SELECT CASE WHEN readmitted = '<30' THEN 1.0::double ELSE 0 END AS r FROM fenc)
+                    HAVING avg(r) NOT BETWEEN {P.min_label_rate} AND {P.max_label_rate})""",
+            """SELECT (SELECT count(*) FROM fenc) AS n_rows, (SELECT count(*) FROM found) AS n_issues, FALSE AS passed, type, col AS "column", chk AS "check",
+                n AS n_failures, value, 1::bigint AS alerts FROM found"""),
         "quarantine": _with(REQUESTS, """SELECT encounter_id AS source_id, len(reasons)::bigint AS n_violations, array_to_string(reasons, '|') AS reasons
             FROM judged_req WHERE len(reasons) > 0"""),
         "accepted_requests": _with(REQUESTS, """SELECT encounter_id, time_in_hospital, num_medications, age,
@@ -584,7 +621,13 @@ def oracle_sql() -> dict[str, str]:
         "retrain_dataset": _with(_retrain(), "SELECT * FROM merged"),
         "retrain_disjoint": _with(_retrain(), """SELECT
             (SELECT count(*) FROM (SELECT patient_nbr FROM merged WHERE patient_nbr IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS shared_patients,
-            (SELECT count(*) FROM (SELECT encounter_id FROM merged GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS shared_encounters"""),
+            (SELECT count(*) FROM (SELECT encounter_id FROM merged GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS shared_encounters, 0::bigint AS rows_without_patient"""),
+        "retrain_lineage": _with(_retrain() + f""",
+            wide AS (SELECT {', '.join(q(c) for c in _VERSION_COLS)}, split FROM old_rows o WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.encounter_id = o.encounter_id)
+                UNION ALL SELECT {', '.join('known' if c == 'patient_nbr' else q(c) for c in _VERSION_COLS)}, split FROM new_rows),
+            {fingerprint('old_rows', 'print1', _VERSION_COLS, 'split')}, {fingerprint('wide', 'print2', _VERSION_COLS, 'split')},
+            ids AS (SELECT {version_of('print1')} AS v1, {version_of('print2')} AS v2)""",
+            "SELECT 1::bigint AS number, NULL::varchar AS parent_data_version, v1 AS data_version, print1.* FROM print1, ids UNION ALL SELECT 2, v1, v2, print2.* FROM print2, ids"),
         "retrain_summary": _with(_retrain(), "SELECT split, count(*) AS rows, round(avg(target), 4) AS pos_rate FROM merged GROUP BY split"),
 
         "request_rate": _with(REQ + "," + windows("TRUE", "w", {"n": "1"}, 60, 60, "endpoint"), "SELECT endpoint, w_start, n, round(n / 60.0::double, 6) AS per_second FROM w"),

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
 import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.contract import TARGET
+from riskflow.functions import fingerprint as content
 from riskflow.functions import hash_bucket
 from riskflow.params import Params
 
@@ -60,28 +59,22 @@ def assert_disjoint(df: DataFrame) -> None:
 
 
 def fingerprints(df: DataFrame) -> DataFrame:
-    """Row count and an order-independent content hash per split."""
-    columns = [F.col(f"`{c}`") for c in sorted(df.columns) if c != "split"]
-    # xxhash64 passes over nulls, so which values are null is hashed too.
-    row_hash = F.xxhash64(*columns, F.concat(*[c.isNull().cast("int").cast("string") for c in columns]))
-    return (
-        df.select("split", F.col(TARGET), row_hash.alias("h")).groupBy("split").agg(
-            F.count("*").alias("rows"),
-            F.round(F.avg(F.col(TARGET).cast("double")), 4).alias("pos_rate"),
-            F.bit_xor("h").alias("x"), F.sum(F.pmod(F.col("h"), F.lit(2**31)).cast("decimal(20,0)")).alias("s"),
-        )
-        .select("split", "rows", "pos_rate", F.sha2(F.concat_ws("|", "rows", "x", "s"), 256).alias("sha256"))
-    )
+    """(split, rows, pos_rate, sha256): an order-independent content hash per split, which adds up over appends."""
+    rate = F.round(F.avg(F.col(TARGET).cast("double")), 4)
+    return content.fingerprints(df, ("split",), pos_rate=rate).select("split", "rows", "pos_rate", content.digest().alias("sha256"))
 
 
-def lineage(df: DataFrame, params: Params = Params(), parent: str | None = None) -> DataFrame:
-    """One row: the splits with their hashes, the data version, and the version it grew from."""
-    settings = json.dumps({k: v for k, v in asdict(params).items() if k in ("seed", "test_size", "val_size", "exclude_discharge_ids")}, default=sorted)
+def settings(params: Params = Params()) -> str:
+    """What else decides on a version: how rows are chosen and split."""
+    names = ("exclude_discharge_ids", "seed", "test_size", "val_size")
+    return json.dumps({n: getattr(params, n) for n in names})
+
+
+def lineage(df: DataFrame, params: Params = Params(), parent: str | None = None, raw: DataFrame | None = None) -> DataFrame:
+    """One row: the splits with their hashes, the hash of the raw table, the data version, and the version it grew from."""
     splits = F.sort_array(F.collect_list(F.struct("split", "rows", "pos_rate", "sha256")))
-    return fingerprints(df).agg(splits.alias("splits")).select(
-        "splits",
-        F.substring(
-            F.sha2(F.concat_ws("|", F.transform("splits", lambda s: s["sha256"]), F.lit(settings)), 256), 1, 12
-        ).alias("data_version"),
-        F.lit(parent).cast("string").alias("parent_data_version"),
-    )
+    source = content.fingerprints(raw).select(content.digest().alias("h")).scalar() if raw is not None else F.lit(None)
+    row = fingerprints(df).agg(splits.alias("splits")).withColumn("raw_sha256", source.cast("string"))
+    hashes = F.transform("splits", lambda s: F.concat_ws(":", s["split"], s["sha256"]))
+    version = F.sha2(F.concat_ws("|", F.coalesce("raw_sha256", F.lit("")), F.lit(settings(params)), hashes), 256)
+    return row.select("splits", "raw_sha256", F.substring(version, 1, 12).alias("data_version"), F.lit(parent).cast("string").alias("parent_data_version"))

@@ -184,6 +184,27 @@ def validate(
     return report
 
 
+REPORT_SCHEMA = (
+    "n_rows bigint, n_issues bigint, passed boolean, "
+    "issues array<struct<type:string,column:string,check:string,n_failures:bigint,examples:array<string>,value:double>>"
+)
+
+
+def report_rows(report: ValidationReport) -> DataFrame:
+    """The report as one row: n_rows, n_issues, passed and the issues."""
+    issue = F.struct("type", "column", "check", "n_failures", "examples", "value")
+    return report.issues.agg(F.sort_array(F.collect_list(issue)).alias("issues")).select(
+        F.lit(report.n_rows).cast("bigint").alias("n_rows"), F.lit(report.n_issues).cast("bigint").alias("n_issues"),
+        F.lit(report.passed).alias("passed"), "issues",
+    )
+
+
+def describe(issues: DataFrame, most: int = 10) -> str:
+    """The first issues in words, for an error message."""
+    rows = issues.orderBy("type", "column", "check").limit(most).collect()
+    return "; ".join(f"{r['column'] or 'table'}: {r['check']}" + (f" ({r['n_failures']} rows)" if r["n_failures"] else "") for r in rows)
+
+
 def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
     """Request fields as text, defaults filled in, with ``violations``; other columns pass through.
 

@@ -36,14 +36,18 @@ def to_raw_form(rows: DataFrame) -> DataFrame:
     }).drop(TARGET)
 
 
-def split_new_labels(rows: DataFrame, old: DataFrame, params: Params = Params()) -> DataFrame:
+def split_new_labels(rows: DataFrame, old: DataFrame, params: Params = Params(), patients: DataFrame | None = None) -> DataFrame:
     """A patient of the old table stays in its split; others go 70 % to train, 30 % to test.
 
-    The patient is that of the row, else that of the encounter in the old table. New patients are split by a
-    hash of the patient (the encounter where none is known), so a patient is in one split only.
+    The patient is that of the row, else that of the encounter in the old table or in ``patients`` (encounter_id,
+    patient_nbr), which scoring requests don't carry. New patients are split by a hash of the patient, so a patient is in
+    one split only. A row without any known patient is split by its encounter; ``shared_between_splits`` counts these.
     """
     own = F.col("patient_nbr") if "patient_nbr" in rows.columns else F.lit(None)
-    of_encounter = old.groupBy("encounter_id").agg(F.max("patient_nbr").alias("_known"))
+    known = old.select("encounter_id", "patient_nbr")
+    if patients is not None:
+        known = known.unionByName(patients.select("encounter_id", "patient_nbr").join(rows.select("encounter_id").distinct(), "encounter_id", "left_semi"))
+    of_encounter = known.groupBy("encounter_id").agg(F.max("patient_nbr").alias("_known"))
     of_patient = old.where(F.col("patient_nbr").isNotNull()).groupBy("patient_nbr").agg(F.min("split").alias("_split"))
     found = rows.withColumn("_own", own.cast("bigint")).drop("patient_nbr").join(of_encounter, "encounter_id", "left")
     found = found.withColumn("patient_nbr", F.coalesce("_own", "_known")).drop("_own", "_known").join(of_patient, "patient_nbr", "left")
@@ -65,21 +69,24 @@ def merge_labeled(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def build_dataset_version(
-    old: DataFrame, labelled: DataFrame, params: Params = Params(), check: bool = True
+    old: DataFrame, labelled: DataFrame, params: Params = Params(), check: bool = True, patients: DataFrame | None = None
 ) -> DataFrame:
     """The merged table (``old`` has a ``split`` column); invalid new rows raise before anything is merged."""
     new = stage(last_per_encounter(labeled_rows(labelled)))
     if check:
         validate(to_raw_form(new).select("encounter_id", "patient_nbr", "readmitted", *INPUT_COLS), params, min_rows=1)
-    return merge_labeled(old, split_new_labels(new, old, params))
+    return merge_labeled(old, split_new_labels(new, old, params, patients))
 
 
 def shared_between_splits(merged: DataFrame) -> DataFrame:
-    """One row: patients and encounters that are in more than one split; both are 0 in a sound version."""
+    """One row: patients and encounters that are in more than one split, both 0 in a sound version, and the rows whose
+    patient is unknown, of which nobody can tell."""
     def shared(key: str) -> DataFrame:
         several = merged.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("split").alias("a"), F.max("split").alias("b"))
         return several.where("a < b").select(F.lit(key).alias("key"))
 
     both = shared("patient_nbr").unionByName(shared("encounter_id"))
     count = lambda key: F.count(F.when(F.col("key") == key, 1))
-    return both.agg(count("patient_nbr").alias("shared_patients"), count("encounter_id").alias("shared_encounters"))
+    unknown = merged.agg(F.count_if(F.col("patient_nbr").isNull()).alias("n")).scalar()
+    counts = both.agg(count("patient_nbr").alias("shared_patients"), count("encounter_id").alias("shared_encounters"))
+    return counts.withColumn("rows_without_patient", unknown)

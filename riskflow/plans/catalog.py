@@ -21,7 +21,7 @@ from riskflow.operators.ranking import exact_quantiles, histogram, value_counts
 from riskflow.params import Params
 from riskflow.plans import jobs
 from riskflow.session import shared_dir, stage
-from riskflow.sources import datagen, derived, read_prediction_log, sinks
+from riskflow.sources import datagen, derived, read_prediction_log, sinks, versions
 from riskflow.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,11 +112,17 @@ def split_disjoint(spark, d):
     )
 
 
+def _lineage_rows(lineage: DataFrame, *keep: str) -> DataFrame:
+    """One row for each split of each version."""
+    rows = lineage.select(*keep, "data_version", F.inline("splits"))
+    return rows.select(*keep, "data_version", "split", "rows", "pos_rate", "sha256")
+
+
 @query
 def data_version(spark, d):
-    return cohort.lineage(_labelled(spark, d), PARAMS, parent="none").select(
-        F.size("splits").alias("splits"), "data_version", "parent_data_version"
-    )
+    """Splits, their content hashes, the hash of the raw table and the version that follows from them."""
+    lineage = cohort.lineage(_labelled(spark, d), PARAMS, raw=derived.encounters(spark, d))
+    return _lineage_rows(lineage, "raw_sha256")
 
 
 # ---- data quality ------------------------------------------------------------------------------
@@ -137,6 +143,20 @@ def violation_report(spark, d):
     return report.withColumn("examples", F.array_join("examples", "|"))
 
 
+@query
+def dq_report(spark, d):
+    """The validation report and the alert as written before the error that stops a run; both read back."""
+    run = _run_dir(spark)
+    try:
+        jobs.check_table(derived.faulty_encounters(spark, d), F.lit(SNAPSHOT_TIME).cast("timestamp"), PARAMS, report_path=f"{run}/report", alert_path=f"{run}/alerts")
+        raise RuntimeError("a table with faults has passed")
+    except quality.DataValidationError:
+        report = spark.read.schema(quality.REPORT_SCHEMA).json(f"{run}/report")
+    alerts = spark.read.json(f"{run}/alerts").agg(F.count("*").alias("n")).scalar()
+    rows = report.select("n_rows", "n_issues", "passed", F.inline("issues"))
+    return rows.select("n_rows", "n_issues", "passed", "type", "column", "check", "n_failures", r6("value").alias("value"), alerts.alias("alerts"))
+
+
 @query
 def duplicate_ids(spark, d):
     return quality.duplicate_values(derived.faulty_encounters(spark, d), "encounter_id")
@@ -537,6 +557,14 @@ def _new_labelled(spark: SparkSession, d: str) -> DataFrame:
     return monitoring.attach_labels(monitoring.flatten_predictions(log), derived.label_log(spark, d))
 
 
+def _patients(spark: SparkSession, d: str) -> DataFrame:
+    return derived.encounters(spark, d).select("encounter_id", "patient_nbr")
+
+
+def _merged(spark: SparkSession, d: str, check: bool = False) -> DataFrame:
+    return retrain.build_dataset_version(_old_splits(spark, d), _new_labelled(spark, d), PARAMS, check, _patients(spark, d))
+
+
 @query
 def raw_form(spark, d):
     rows = retrain.to_raw_form(retrain.last_per_encounter(retrain.labeled_rows(_new_labelled(spark, d))))
@@ -545,20 +573,31 @@ def raw_form(spark, d):
 
 @query
 def retrain_dataset(spark, d):
-    merged = retrain.build_dataset_version(_old_splits(spark, d), _new_labelled(spark, d), PARAMS)
+    merged = _merged(spark, d, check=True)
     return merged.select("split", "encounter_id", "patient_nbr", _big("target"), "age", "time_in_hospital", "insulin")
 
 
 @query
 def retrain_summary(spark, d):
-    merged = retrain.build_dataset_version(_old_splits(spark, d), _new_labelled(spark, d), PARAMS, check=False)
-    return cohort.split_summary(merged)
+    return cohort.split_summary(_merged(spark, d))
 
 
 @query
 def retrain_disjoint(spark, d):
-    merged = retrain.build_dataset_version(_old_splits(spark, d), _new_labelled(spark, d), PARAMS, check=False)
-    return retrain.shared_between_splits(merged)
+    """No patient of the encounter table is in two splits, whatever the requests say about patients."""
+    return retrain.shared_between_splits(_merged(spark, d))
+
+
+@query
+def retrain_lineage(spark, d):
+    """Two published versions, the second from the first and the labelled log; publishing it twice changes nothing."""
+    root = _run_dir(spark)
+    versions.publish(_old_splits(spark, d), root, PARAMS)
+    for _ in range(2):
+        old = versions.read(spark, root)
+        merged = retrain.build_dataset_version(old, _new_labelled(spark, d), PARAMS, patients=_patients(spark, d))
+        versions.publish(merged.select(old.columns), root, PARAMS)
+    return _lineage_rows(versions.history(spark, root), "number", "parent_data_version")
 
 
 # ---- telemetry ---------------------------------------------------------------------------------

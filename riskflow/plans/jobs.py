@@ -13,18 +13,35 @@ from riskflow.contract import TARGET
 from riskflow.operators import cohort, evaluation, gate, models, monitoring, quality, retrain, scoring
 from riskflow.operators.features import clean, profile
 from riskflow.params import Params
-from riskflow.session import stage
-from riskflow.sources import sinks
+from riskflow.session import keep, stage
+from riskflow.sources import sinks, versions
 
 FAIRNESS_COLS = ["gender", "race", "age"]
 
 
-def prepare(raw: DataFrame, path: str, params: Params = Params()) -> DataFrame:
-    """Check, label and split the raw table; write the splits; return the lineage row."""
-    quality.validate(raw, params)
+def check_table(
+    raw: DataFrame, now: Column | None = None, params: Params = Params(), min_rows: int | None = None,
+    report_path: str | None = None, alert_path: str | None = None,
+) -> quality.ValidationReport:
+    """Check a table; write the report, then an alert where there are issues, and only then raise."""
+    report = quality.validate(raw, params, min_rows, raise_on_error=False)
+    if report_path is not None:
+        sinks.write_report(quality.report_rows(report), report_path)
+    if report.passed:
+        return report
+    if alert_path is not None:
+        sinks.append_alerts(sinks.alert_rows(quality.report_rows(report), "DATA VALIDATION FAILED", now if now is not None else F.current_timestamp()), alert_path)
+    raise quality.DataValidationError(f"{report.n_issues} data issue(s): {quality.describe(report.issues)}")
+
+
+def prepare(
+    raw: DataFrame, root: str, params: Params = Params(), now: Column | None = None,
+    report_path: str | None = None, alert_path: str | None = None,
+) -> dict:
+    """Check, label and split the raw table and publish it under ``root``; returns the manifest with its lineage."""
+    check_table(raw, now, params, None, report_path, alert_path)
     table = cohort.with_split(cohort.make_target(raw, params.exclude_discharge_ids), params)
-    sinks.write_splits(table, path)
-    return cohort.lineage(raw.sparkSession.read.parquet(path), params)
+    return versions.publish(table, root, params, raw)
 
 
 @dataclass
@@ -45,11 +62,11 @@ def scored_with(model, name: str, rows: DataFrame) -> DataFrame:
     )
 
 
-def train(splits: dict[str, DataFrame], params: Params = Params()) -> Training:
+def train(splits: dict[str, DataFrame], params: Params = Params(), report_dir: str | None = None) -> Training:
     """Fit all experiments, choose by validation PR-AUC, measure the choice once on the test split.
 
     The feature transformation is fitted once, and its rows are stored for all fits. All models'
-    validation scores are then evaluated together.
+    validation scores are then evaluated together. ``report_dir`` receives the comparison as CSV and the choice's summary.
     """
     fitted = models.fit_all(params.experiments, models.fit_features(splits["train"]), params)
     candidates = {"baseline_lace": models.LaceModel(), **fitted}
@@ -70,6 +87,10 @@ def train(splits: dict[str, DataFrame], params: Params = Params()) -> Training:
     )
     metrics = stage(evaluation.evaluate(test, ("model",), params))
     fairness = evaluation.group_recall(test.where(F.col("model") == "candidate"), params.top_k_frac, params=params)
+    if report_dir is not None:
+        sinks.write_table_csv(comparison.orderBy("seq").drop("seq"), f"{report_dir}/experiments")
+        summary = metrics.withColumns({"best": F.lit(best), "threshold": F.lit(threshold)})
+        sinks.write_report(summary, f"{report_dir}/train_summary")
     return Training(best, fitted[best], threshold, comparison, metrics, fairness, fitted)
 
 
@@ -130,29 +151,37 @@ def monitor(
 class RetrainDecision:
     retrained: bool
     reason: str | None
-    table: DataFrame | None = None
+    version: dict | None = None
     training: Training | None = None
+    gate: DataFrame | None = None
 
 
 def retrain_model(
-    snap: DataFrame, splits: DataFrame, log: DataFrame, labels: DataFrame, now: Column,
-    params: Params = Params(), force: bool = False, alert_path: str | None = None,
+    snap: DataFrame, root: str, log: DataFrame, labels: DataFrame, now: Column, params: Params = Params(), force: bool = False,
+    alert_path: str | None = None, patients: DataFrame | None = None, champion=None, report_dir: str | None = None,
 ) -> RetrainDecision:
     """Retrain when the snapshot asks for it (or ``force``) and enough labels have come in.
 
-    ``splits`` is the current table with its ``split`` column. Without enough labels the run is
-    postponed and an alert written.
+    The labelled log joins the newest version under ``root``, the result is published as the next one with that as its
+    parent, models are fitted on what was published, and the best goes through the gate (against ``champion``, scored
+    again on the new test rows). Without enough labels the run is postponed and an alert written. A run that is repeated
+    finds its version published and goes on from there.
     """
+    spark = snap.sparkSession
     row = snap.select("retrain_recommended", *(["reason"] if "reason" in snap.columns else [])).first()
     if not force and not row["retrain_recommended"]:
         return RetrainDecision(False, None)
     reason = "forced" if force else row["reason"]
-    labelled = stage(monitoring.attach_labels(monitoring.flatten_predictions(log), labels))
+    labelled = keep(monitoring.attach_labels(monitoring.flatten_predictions(log), labels), "labelled")
     if labelled.count() < params.min_labels:
         if alert_path is not None:
-            waiting = snap.sparkSession.range(1).select(F.lit(reason).alias("reason"))
+            waiting = spark.range(1).select(F.lit(reason).alias("reason"))
             sinks.append_alerts(sinks.alert_rows(waiting, "RETRAIN POSTPONED", now), alert_path)
         return RetrainDecision(False, "awaiting_labels")
-    table = stage(retrain.build_dataset_version(splits, labelled, params))
-    parts = {name: table.where(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
-    return RetrainDecision(True, reason, table, train(parts, params))
+    old = versions.read(spark, root)
+    merged = retrain.build_dataset_version(old, labelled, params, patients=patients)
+    version = versions.publish(merged.select(*[F.col(f"`{c}`") for c in old.columns]), root, params)
+    parts = versions.splits(spark, root, version["data_version"])
+    training = train(parts, params, report_dir)
+    result = gate_model(training, parts["test"], version["data_version"], now, champion, params, alert_path=alert_path)
+    return RetrainDecision(True, reason, version, training, result)

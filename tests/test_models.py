@@ -14,7 +14,7 @@ from riskflow.operators import telemetry
 from riskflow.params import DEFAULT_EXPERIMENTS, Experiment, Params
 from riskflow.plans import catalog, jobs
 from riskflow.session import stage
-from riskflow.sources import datagen, read_label_log, read_prediction_log
+from riskflow.sources import datagen, read_label_log, read_prediction_log, versions
 from riskflow.sources.sinks import append_log
 from riskflow.streaming import streams
 
@@ -200,14 +200,25 @@ def test_monitoring_and_retraining(spark, training, splits, tmp_path):
     for name, part in splits.items():
         one = part.withColumn("split", F.lit(name))
         table = one if table is None else table.unionByName(one)
+    root = str(tmp_path / "versions")
+    first = versions.publish(table, root)
     few = Params(experiments=(LOGREG,), min_labels=10**9)
-    waiting = jobs.retrain_model(snap, table, log, labels, now(), few, alert_path=alerts)
+    waiting = jobs.retrain_model(snap, root, log, labels, now(), few, alert_path=alerts)
     assert (waiting.retrained, waiting.reason) == (False, "awaiting_labels")
-    done = jobs.retrain_model(snap, table, log, labels, now(), Params(experiments=(LOGREG,)))
-    assert done.retrained and done.reason == "concept_drift"
-    assert done.table.count() == table.count() + log.count()
+    one = Params(experiments=(LOGREG,))
+    for _ in range(2):  # a repeated run finds its version published
+        done = jobs.retrain_model(snap, root, log, labels, now(), one, alert_path=alerts, champion=model, report_dir=str(tmp_path / "reports"))
+        assert done.retrained and done.reason == "concept_drift"
+        assert done.version["parent_data_version"] == first["data_version"] and done.version["number"] == 2
+    assert versions.read(spark, root).count() == table.count() + log.count()
+    gate_row = done.gate.first()
+    assert gate_row["status"] in ("approved", "rejected") and "not_worse_than_champion" in {c["check"] for c in gate_row["checks"]}
+    assert versions.history(spark, root).count() == 2
+    written = spark.read.option("header", True).csv(str(tmp_path / "reports" / "experiments"))
+    assert [r["model"] for r in written.collect()] == ["baseline_lace", "logreg"]
+    assert {r["best"] for r in spark.read.json(str(tmp_path / "reports" / "train_summary")).collect()} == {"logreg"}
     calm = spark.range(1).select(F.lit(False).alias("retrain_recommended"))
-    assert not jobs.retrain_model(calm, table, log, labels, now()).retrained
+    assert not jobs.retrain_model(calm, root, log, labels, now()).retrained
 
 
 def test_too_few_predictions(spark, training, splits, tmp_path):
