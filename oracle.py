@@ -609,6 +609,7 @@ def oracle_sql() -> dict[str, str]:
         "label_shift": _with(LOGS + "," + concept("live", "score", "readmitted_30d"),
             "SELECT round(ref_pos_rate, 6) AS ref_pos_rate, round(live_pos_rate, 6) AS live_pos_rate, label_shift FROM concept"),
         "monitor_snapshot": _with(SNAPSHOT, "SELECT metric, round(value, 6) AS value FROM gauges"),
+        "monitor_stream": _with(SNAPSHOT, "SELECT metric, round(value, 6) AS value FROM gauges"),
         "monitor_decision": _with(SNAPSHOT, f"""SELECT 'ok' AS status, (SELECT count(*) FROM recent) AS n_production, data_drift, prediction_drift, concept_drift, label_shift,
             concept_drift OR data_drift AS retrain_recommended, CASE WHEN concept_drift THEN 'concept_drift' WHEN data_drift THEN 'data_drift' END AS reason, n_drifted FROM snap"""),
         "flag_alerts": _with(SNAPSHOT, "SELECT metric, value FROM gauges WHERE metric IN ('data_drift', 'prediction_drift', 'concept_drift') AND value = 1"),

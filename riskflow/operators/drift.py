@@ -126,11 +126,16 @@ def feature_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
 
 def psi_of_column(reference: DataFrame, current: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """PSI of one numeric column of two tables, e.g. of scores: one row (bins, psi)."""
+    return psi_of_counts(value_counts(reference, column), value_counts(current, column), bins)
+
+
+def psi_of_counts(reference: DataFrame, current: DataFrame, bins: int = BINS) -> DataFrame:
+    """PSI of two samples given as (value, n): one row (bins, psi)."""
     zero = F.lit(0).cast("bigint")
-    ref = value_counts(reference, column).select("value", F.col("n").alias("n_ref"), zero.alias("n_cur"))
-    cur = value_counts(current, column).select("value", zero.alias("n_ref"), F.col("n").alias("n_cur"))
+    ref = reference.select("value", F.col("n").alias("n_ref"), zero.alias("n_cur"))
+    cur = current.select("value", zero.alias("n_ref"), F.col("n").alias("n_cur"))
     merged = ref.unionAll(cur).groupBy("value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-    counts = stage(merged.select(F.lit(column).alias("feature"), "value", "n_ref", "n_cur"))
+    counts = stage(merged.select(F.lit("value").alias("feature"), "value", "n_ref", "n_cur"))
     # An aggregate without groups gives its one row also where a side is empty.
     return psi_numeric(counts, bins).agg(
         F.coalesce(F.max("bins"), F.lit(0)).alias("bins"), F.coalesce(F.max("psi"), F.lit(0.0)).alias("psi")

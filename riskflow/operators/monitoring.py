@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from riskflow.operators import drift
 from riskflow.operators.evaluation import curve_metrics, pr_curve, score_counts
 from riskflow.operators.features import clean, profile
 from riskflow.operators.joins import HOT_ROWS, join_unique
+from riskflow.operators.ranking import value_counts
 from riskflow.params import Params
 from riskflow.session import stage
 
@@ -54,17 +57,32 @@ def attach_labels(predictions: DataFrame, labels: DataFrame, hot_rows: int = HOT
     return join_unique(predictions, outcome, "encounter_id", F.col("request_id"), hot_rows=hot_rows)
 
 
-def load_production(
-    log: DataFrame, labels: DataFrame, window: int | None = Params().window_size
-) -> tuple[DataFrame, DataFrame]:
-    """(predictions, labelled predictions); the window is taken before the join."""
-    preds = flatten_predictions(recent(log, window))
-    return preds, attach_labels(preds, labels)
+@dataclass
+class Reference:
+    """What monitoring compares with, as value counts: ``profile`` of the training features (feature, num, cat, n) and
+    ``scores`` of the reference rows (value, n, pos). Both add up, so a new part of the reference needs no rescan."""
+
+    profile: DataFrame
+    scores: DataFrame
+
+    def plus(self, other: Reference) -> Reference:
+        profile_ = self.profile.unionByName(other.profile).groupBy("feature", "num", "cat").agg(F.sum("n").alias("n"))
+        scores = self.scores.unionByName(other.scores).groupBy("value").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+        return Reference(profile_, scores)
+
+
+def reference_of(train: DataFrame, scored: DataFrame) -> Reference:
+    """The reference of training rows and of reference rows with ``score`` and ``target``."""
+    return Reference(profile(clean(train)), score_counts(scored))
 
 
 def prediction_drift(ref_scores: DataFrame, live: DataFrame, params: Params = Params()) -> DataFrame:
     """One row (prediction_psi, prediction_drift) from two tables with a ``score`` column."""
-    psi = drift.psi_of_column(ref_scores, live, "score")
+    return prediction_drift_of_counts(value_counts(ref_scores, "score"), live, params)
+
+
+def prediction_drift_of_counts(ref_counts: DataFrame, live: DataFrame, params: Params = Params()) -> DataFrame:
+    psi = drift.psi_of_counts(ref_counts, value_counts(live, "score"))
     return psi.select(
         F.col("psi").alias("prediction_psi"), (F.col("psi") >= params.pred_psi_threshold).alias("prediction_drift")
     )
@@ -89,12 +107,17 @@ def concept_drift(reference: DataFrame, labelled: DataFrame, params: Params = Pa
     ``reference`` is (score, target), ``labelled`` is (score, readmitted_30d). The live side counts
     only with enough labels and both outcomes among them.
     """
-    live = labelled.select("score", F.col("readmitted_30d").cast("int").alias("target"))
-    both = reference.select(F.lit("ref").alias("model"), "score", "target").unionAll(
-        live.select(F.lit("live").alias("model"), "score", "target")
+    return concept_drift_of_counts(score_counts(reference), labelled, params)
+
+
+def concept_drift_of_counts(reference: DataFrame, labelled: DataFrame, params: Params = Params()) -> DataFrame:
+    """``concept_drift`` with the reference as (value, n, pos)."""
+    live = score_counts(labelled.select("score", F.col("readmitted_30d").cast("int").alias("target")))
+    both = reference.select(F.lit("ref").alias("model"), "value", "n", "pos").unionAll(
+        live.select(F.lit("live").alias("model"), "value", "n", "pos")
     )
     by = ("model",)
-    m = curve_metrics(pr_curve(stage(score_counts(both, by)), by), by)
+    m = curve_metrics(pr_curve(stage(both), by), by)
 
     def of(model: str, value: Column) -> Column:
         return F.max(F.when(F.col("model") == model, value))
@@ -173,24 +196,30 @@ def alerts(snap: DataFrame) -> DataFrame:
 
 
 def monitor(
-    train: DataFrame, reference_scored: DataFrame, log: DataFrame, labels: DataFrame, time: Column,
-    version: str | None = None, params: Params = Params(), reference_profile: DataFrame | None = None,
+    train: DataFrame | None, reference_scored: DataFrame | None, log: DataFrame, labels: DataFrame, time: Column,
+    version: str | None = None, params: Params = Params(), reference: Reference | None = None,
 ) -> DataFrame:
-    """Snapshot of the recent predictions against the training features and the reference scores.
+    """Snapshot of the recent predictions against the training features and the reference scores, or a stored ``reference``.
 
     With fewer than ``min_predictions`` predictions the snapshot says so and holds nothing else.
     """
-    preds = stage(flatten_predictions(recent(log, params.window_size)))
+    return monitor_recent(recent(log, params.window_size), labels, time, reference or reference_of(train, reference_scored), version, params)
+
+
+def monitor_recent(
+    rows: DataFrame, labels: DataFrame, time: Column, reference: Reference, version: str | None = None, params: Params = Params(),
+) -> DataFrame:
+    """``monitor`` for the log rows of one window."""
+    preds = stage(flatten_predictions(rows))
     n = preds.count()
     if n < params.min_predictions:
-        return insufficient(log.sparkSession, time, n)
-    reference = reference_profile if reference_profile is not None else profile(clean(train))
-    psi = stage(drift.psi_of_profiles(reference, profile(clean(preds))).withColumn("psi", F.round("psi", 4)))
-    reference_scored = stage(reference_scored.select("score", "target"))
+        return insufficient(rows.sparkSession, time, n)
+    psi = stage(drift.psi_of_profiles(reference.profile, profile(clean(preds))).withColumn("psi", F.round("psi", 4)))
+    scores = stage(reference.scores)
     labelled = attach_labels(preds, labels)
     return snapshot(
-        psi, prediction_drift(reference_scored, preds, params),
-        concept_drift(reference_scored, labelled, params), time, F.lit(n), version, params,
+        psi, prediction_drift_of_counts(scores, preds, params),
+        concept_drift_of_counts(scores, labelled, params), time, F.lit(n), version, params,
     )
 
 

@@ -21,7 +21,7 @@ from riskflow.operators.ranking import exact_quantiles, histogram, value_counts
 from riskflow.params import Params
 from riskflow.plans import jobs
 from riskflow.session import shared_dir, stage
-from riskflow.sources import datagen, derived, read_prediction_log, sinks, versions
+from riskflow.sources import daily, datagen, derived, read_prediction_log, sinks, versions
 from riskflow.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -757,6 +757,23 @@ def stream_label_join(spark, d):
     return rows.select("request_id", "encounter_id", r6("score").alias("score"), "model_version", "readmitted_30d")
 
 
+@query
+def monitor_stream(spark, d):
+    """Logs by month and a stored reference; a stream of arriving predictions triggers the snapshot, read back from history."""
+    run = _run_dir(spark)
+    daily.append_daily(derived.prediction_log(spark, d), f"{run}/predictions", "month")
+    daily.append_daily(derived.label_log(spark, d), f"{run}/labels", "month")
+    jobs.store_reference(_period(derived.encounters(spark, d), False), _reference_scored(spark, d), f"{run}/reference")
+
+    def cycle(session: SparkSession) -> DataFrame:
+        reference = jobs.read_reference(session, f"{run}/reference")
+        return jobs.monitor_daily(session, f"{run}/predictions", f"{run}/labels", reference, F.lit(SNAPSHOT_TIME).cast("timestamp"), "v2", PARAMS)
+
+    arriving = streams.stream_predictions(spark, f"{run}/predictions")
+    streams.monitor_stream(arriving, cycle, f"{run}/history", f"{run}/check").awaitTermination()
+    return monitoring.gauges(spark.read.parquet(f"{run}/history")).select("metric", r6("value").alias("value"))
+
+
 @query
 def stream_quarantine(spark, d):
     """Requests as a text stream, routed to accepted and quarantined tables."""

@@ -9,12 +9,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow import contract as C
 from riskflow.contract import TARGET
 from riskflow.operators import cohort, evaluation, gate, models, monitoring, quality, retrain, scoring
-from riskflow.operators.features import clean, profile
 from riskflow.params import Params
 from riskflow.session import keep, stage
-from riskflow.sources import sinks, versions
+from riskflow.sources import daily, sinks, versions
 
 FAIRNESS_COLS = ["gender", "race", "age"]
 
@@ -125,20 +125,20 @@ def gate_model(
     return result
 
 
-def store_reference_profile(train_rows: DataFrame, path: str) -> None:
-    """Value counts of the training features, which monitoring compares with."""
-    profile(clean(train_rows)).write.mode("errorifexists").parquet(path)
+def store_reference(train_rows: DataFrame, reference_scored: DataFrame, path: str) -> None:
+    """Value counts of the training features and of the reference scores, which monitoring compares with."""
+    found = monitoring.reference_of(train_rows, reference_scored)
+    found.profile.write.mode("errorifexists").parquet(f"{path}/profile")
+    found.scores.write.mode("errorifexists").parquet(f"{path}/scores")
 
 
-def monitor(
-    train_rows: DataFrame, reference_scored: DataFrame, log: DataFrame, labels: DataFrame, now: Column,
-    version: str | None = None, params: Params = Params(), reference_profile: DataFrame | None = None,
-    history_path: str | None = None, alert_path: str | None = None,
-) -> DataFrame:
-    """One monitoring cycle: the snapshot row, appended to history, with its alerts."""
-    snap = stage(monitoring.monitor(
-        train_rows, reference_scored, log, labels, now, version, params, reference_profile
-    ))
+def read_reference(spark: SparkSession, path: str) -> monitoring.Reference:
+    return monitoring.Reference(spark.read.parquet(f"{path}/profile"), spark.read.parquet(f"{path}/scores"))
+
+
+def record(snap: DataFrame, history_path: str | None, alert_path: str | None) -> DataFrame:
+    """A snapshot, appended to history with its alerts, if it has anything to say."""
+    snap = stage(snap)
     enough = "data_drift" in snap.columns
     if enough and history_path is not None:
         sinks.append_snapshot(snap, history_path)
@@ -147,6 +147,32 @@ def monitor(
     return snap
 
 
+def monitor(
+    train_rows: DataFrame | None, reference_scored: DataFrame | None, log: DataFrame, labels: DataFrame, now: Column,
+    version: str | None = None, params: Params = Params(), reference: monitoring.Reference | None = None,
+    history_path: str | None = None, alert_path: str | None = None,
+) -> DataFrame:
+    """One monitoring cycle over whole logs: the snapshot row, appended to history, with its alerts."""
+    snap = monitoring.monitor(train_rows, reference_scored, log, labels, now, version, params, reference)
+    return record(snap, history_path, alert_path)
+
+
+#: Labels are looked for from so many days before the first prediction of the window on.
+LABEL_LEAD_DAYS = 60
+
+
+def monitor_daily(
+    spark: SparkSession, log_path: str, label_path: str, reference: monitoring.Reference, now: Column, version: str | None = None,
+    params: Params = Params(), history_path: str | None = None, alert_path: str | None = None,
+) -> DataFrame:
+    """One monitoring cycle over logs by day (``sources.daily``): reads the newest days that hold the window and their labels."""
+    first = daily.first_day_of_last(spark, log_path, C.PREDICTION_LOG_SCHEMA, params.window_size)
+    log = daily.read_daily(spark, log_path, C.PREDICTION_LOG_SCHEMA, first)
+    labels = daily.read_around(spark, label_path, C.LABEL_LOG_SCHEMA, first, LABEL_LEAD_DAYS)
+    snap = monitoring.monitor_recent(monitoring.recent(log, params.window_size), labels, now, reference, version, params)
+    return record(snap, history_path, alert_path)
+
+
 @dataclass
 class RetrainDecision:
     retrained: bool

@@ -172,14 +172,13 @@ def test_monitoring_and_retraining(spark, training, splits, tmp_path):
     train_rows = splits["train"]
     reference = stage(scoring.score(splits["test"], model, keep=("encounter_id", C.TARGET)))
     history, alerts = str(tmp_path / "history"), str(tmp_path / "alerts")
-    profile_path = str(tmp_path / "profile")
-    jobs.store_reference_profile(train_rows, profile_path)
+    jobs.store_reference(train_rows, reference, str(tmp_path / "reference"))
+    counts = jobs.read_reference(spark, str(tmp_path / "reference"))
 
     def run(name):
         rows = stage(datagen.shift_cohort(datagen.resample(splits["test"], 1.5, 7), name, 7))
         log, labels = production(spark, rows, model, tmp_path, name)
-        snap = jobs.monitor(train_rows, reference, log, labels, now(), "v1", history_path=history, alert_path=alerts,
-                            reference_profile=spark.read.parquet(profile_path))
+        snap = jobs.monitor(None, None, log, labels, now(), "v1", history_path=history, alert_path=alerts, reference=counts)
         return log, labels, snap
 
     snaps = {}
