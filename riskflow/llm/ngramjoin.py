@@ -13,13 +13,19 @@ Two sets that meet the threshold differ in at most ``slack`` shingles of either.
    follows the size class of a set (a power of two), so that combinations grow in proportion to the set; sets near the
    lower end of their class are indexed for the class below too.
 4. For each index key, every member is verified against the key's best member, so that a group of near copies costs one
-   comparison a member. Then, over keys whose members are not all in one component yet, all remaining pairs of different
-   components are verified. Links between different components are thus never missed, whatever the size of a group.
+   comparison a member. In the keys whose members are not all in one component yet, members outside the component that the
+   key has most of are compared with a member of that one, another for each key, until a round links nothing new. What is
+   left are components that meet in a key without a link between them so far; pairs of their members are formed only if
+   their parity bits (below) allow a link, and verified. Links between components are thus never missed.
+
+Parity bits: every shingle of a set turns one of 512 bits over. Sets that differ in k shingles differ in at most k bits, so
+more differing bits than the threshold allows differing shingles rule a link out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +37,8 @@ from riskflow.llm.components import components
 from riskflow.llm.text import Words, blocks, mix, windows, words
 
 RARE = 24
+#: Parity bits of a set, in words of 64.
+BIT_WORDS = 8
 IN_BUCKET = 4
 #: Rows without an id get one from here on, by a hash of their text; ids of documents are smaller.
 NO_ID = 1 << 62
@@ -71,6 +79,9 @@ def _digest(own: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([np.add.reduce(one, dtype=np.uint64), np.add.reduce(two, dtype=np.uint64)], np.uint64).view(np.int64))
 
 
+_BITS = [f"bits_{k}" for k in range(BIT_WORDS)]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     spare = F.xxhash64("text").bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
     own = F.col("doc_id").cast("long")
@@ -93,8 +104,15 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return _keyed(docs).mapInArrow(rows, "doc_id bigint, rid bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
 
 
+def _parity(own: np.ndarray) -> np.ndarray:
+    """The parity bits of a set as signed words."""
+    at = own & _U(64 * BIT_WORDS - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=64 * BIT_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _full(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """Whole shingle sets of the nodes."""
+    """Whole shingle sets of the nodes, with their parity bits."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,10 +121,11 @@ def _full(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 d1, d2 = zip(*map(_digest, own))
                 yield pa.RecordBatch.from_arrays([
                     part.column("rid"), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64())),
-                ], names=["node", "d1", "d2", "shingles"])
+                    *[pa.array(x) for x in np.stack([_parity(x) for x in own]).T],
+                ], names=["node", "d1", "d2", "shingles", *_BITS])
 
     own = _keyed(docs).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select("rid", "text")
-    own = own.mapInArrow(rows, "node bigint, d1 bigint, d2 bigint, shingles array<bigint>")
+    own = own.mapInArrow(rows, "node bigint, d1 bigint, d2 bigint, shingles array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITS))
     return own.join(nodes, ["node", "d1", "d2"])
 
 
@@ -160,6 +179,31 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return most * 100 >= (F.col(f"n{a}") + F.col(f"n{b}") - most) * percent
 
 
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether the parity bits and sizes of two nodes leave room for a link."""
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"{w}{a}").bitwiseXOR(F.col(f"{w}{b}"))) for w in _BITS])
+    return apart * (100 + percent) <= (F.col(f"n{a}") + F.col(f"n{b}")) * (100 - percent)
+
+
+def _closer(labelled: DataFrame, full: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+    """Links of members of open keys with a member of the component their key has most of, another one for each key."""
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("p"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("members", "component", F.col("p.node").alias("p"))).alias("m")).select("key", F.col("m.component").alias("main"), F.col("m.p").alias("p"))
+    pairs = labelled.join(most, "key").filter(F.col("component") != F.col("main")).select("node", "p").distinct()
+    own = full.select("node", "n", *_BITS)
+    other = full.select(F.col("node").alias("p"), F.col("n").alias("n_p"), *[F.col(b).alias(f"{b}_p") for b in _BITS])
+    alike = pairs.join(own, "node").join(other, "p").filter(_alike("", "_p", percent))
+    alike = alike.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
+    return _verified(store.keep(alike, "closer"), full, percent)
+
+
+def _open_keys(keys: DataFrame, label: DataFrame) -> DataFrame:
+    """The members of keys that hold several components, each with its component."""
+    labelled = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")).select("key", "node", "component")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    return labelled.join(mixed, "key", "left_semi")
+
+
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets meet the threshold."""
     side = lambda x: full.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}"))
@@ -177,6 +221,12 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = R
     digest decides the document's links. A row without an id takes part and gets the smallest id of its group, null if its
     group has none. Other columns are not read. Ids must be smaller than 2**62.
     """
+    result = _grouped(docs, size, percent, rare)
+    return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"))
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, rare: int) -> DataFrame:
+    """doc_id, rid, number of shingles n and component (least rid) of every row."""
     spark = docs.sparkSession
     store.prepare(spark)
     prefixes = store.keep(_sets(docs, size, percent), "prefixes")
@@ -192,7 +242,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = R
     least = F.expr(f"(n * {percent} + 99) div 100 * {100 - percent} div 100 + 2")
     nodes = groups.join(shared.withColumnRenamed("rid", "node"), "node").filter(F.col("shared") >= least)
     nodes = store.keep(nodes.select("node", "n", "d1", "d2"), "nodes")
-    full = store.keep(_full(docs, nodes, size).select("node", "n", "shingles"), "shingles")
+    full = store.keep(_full(docs, nodes, size).select("node", "n", "shingles", *_BITS), "shingles")
 
     tokens = full.select("node", "n", F.explode("shingles").alias("token"))
     several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -206,32 +256,46 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = R
     star = keys.join(pivot, "key").filter((F.col("node") != F.col("p")) & _possible("", "_p", percent))
     star = store.keep(star.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "star")
     links = store.keep(_verified(star, full, percent), "links")
-    label = components(links)
-
-    labelled = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = store.keep(labelled.select("key", "node", "n", "s", "component"), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    open_ = store.keep(labelled.join(mixed, "key", "left_semi"), "open")
-    side = lambda x: open_.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "s", "component")))
-    rest = side("a").join(side("b"), "key").filter("component_a != component_b AND node_a < node_b").filter(_possible("_a", "_b", percent))
-    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    label = store.keep(components(links), "components")
+
+    open_ = store.keep(_open_keys(keys.select("key", "node"), label), "open")
+    store.remove(spark, [keys])
+    while True:
+        found = store.keep(_closer(open_, full, links, percent), "links")
+        if not found.take(1):
+            break
+        links = store.keep(links.unionByName(found), "links")
+        label = store.keep(components(links), "components")
+        before, open_ = open_, store.keep(_open_keys(open_.select("key", "node"), label), "open")
+        store.remove(spark, [before])
+
+    facts = open_.join(full.select("node", "n", *_BITS), "node")
+    side = lambda x: facts.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "node", "n", "component", *_BITS)))
+    may = (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b")) & _alike("_a", "_b", percent)
+    rest = side("a").join(side("b"), (F.col("key_a") == F.col("key_b")) & may)
+    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     more = store.keep(_verified(store.keep(rest, "rest"), full, percent), "links")
     label = store.keep(components(links.unionByName(more)), "components")
 
     members = one.join(groups, ["n", "d1", "d2"]).select("rid", "node").join(label, "node", "left")
     members = members.select("rid", F.coalesce("component", "node").alias("component"))
-    result = sets.select("doc_id", "rid", "n").join(members, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-    return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"))
+    return sets.select("doc_id", "rid", "n").join(members, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
 
 
-def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that represent their group, the one with the smallest id, with the columns they came with.
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
+    """One row of each group, with the columns it came with: that with the smallest id, rows without an id last.
 
-    Documents without an id stay only if they are alone with others without an id.
+    Rows equal in id and text are one. Rows that share an id but not the text stay together or go together.
     """
-    groups = near_groups(docs, size, percent)
-    gone = groups.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    own = "_gone_id_"
+    groups = store.keep(_grouped(docs, size, percent, rare).select("rid", "component"), "groups-of-rows")
+    gone = groups.filter("component != rid").select("rid").distinct()
+    often = groups.filter("component = rid").groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").select("rid")
+    own = "_rid_"
     while own in docs.columns:
         own += "_"
-    return docs.join(gone.withColumnRenamed("doc_id", own), F.col("doc_id") == F.col(own), "left_anti")
+    spare = F.xxhash64("text").bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
+    rows = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), spare))
+    gone, often = (x.withColumnRenamed("rid", own) for x in (gone, often))
+    kept = rows.join(gone, own, "left_anti")
+    several = kept.join(often, own, "left_semi").dropDuplicates([own, "text"])
+    return kept.join(often, own, "left_anti").unionByName(several).drop(own)
