@@ -23,7 +23,7 @@ HEADLINE = [
     "clean_features", "scale_stats", "onehot_vocab", "lace_scores", "model_comparison", "recall_at_k",
     "fairness_gap", "gate_checks", "feature_drift", "prediction_drift", "concept_drift", "monitor_snapshot",
     "latest_labels", "label_join", "retrain_dataset", "request_rate", "latency_quantiles", "sustained_alerts",
-    "slo_report",
+    "slo_report", "data_version", "isotonic_rates", "first_split_gains", "experiments", "batch_scores",
 ]
 
 
