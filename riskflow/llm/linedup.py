@@ -167,7 +167,7 @@ def _hash(line: bytes) -> int:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return own.withColumn("row", F.xxhash64(F.lit(11), F.coalesce("doc_id", F.lit(-1)), "text"))
+    return own.withColumn("row", F.xxhash64(F.lit(11), F.col("doc_id").isNull(), "doc_id", "text"))
 
 
 def _line_table(docs: DataFrame, min_words: int) -> DataFrame:

@@ -101,7 +101,7 @@ def _check(size: int) -> None:
 def _keyed(docs: DataFrame) -> DataFrame:
     """Id and text, with a key that rows share only if they are equal in both."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "row", F.xxhash64(F.lit(7), F.coalesce("doc_id", F.lit(-1)), "text"))
+        "row", F.xxhash64(F.lit(7), F.col("doc_id").isNull(), "doc_id", "text"))
 
 
 def shared_signs(docs: DataFrame, size: int = WINDOW) -> DataFrame:

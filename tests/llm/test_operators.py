@@ -197,6 +197,13 @@ def test_line_dedup(spark, docs, none):
     assert linedup.remove_lines(docs).count() == len(ROWS) and linedup.remove_lines(none).count() == 0
 
 
+def test_rows_without_an_id_are_not_document_minus_one(spark):
+    text = "\n".join(" ".join(f"w{k}x{j}" for j in range(30)) for k in range(4))
+    table = spark.createDataFrame([(-2, text), (-1, text), (None, text)], "doc_id long, text string")
+    for found in (linedup.remove_lines(table), repeats.remove_repeats(table)):
+        assert {r.doc_id: r.n_removed > 0 for r in found.collect()} == {-2: False, -1: True, None: False}
+
+
 def test_line_dedup_of_frequent_lines_and_documents(spark, monkeypatch):
     lines = [f"line number {k} has eight words in it" for k in range(6)]
     rows = [(k, "\n".join([f"own {k}", *lines[k % 3 :], f"end {k}"])) for k in range(1, 40)]
