@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,8 @@ from riskflow.session import stage
 
 CLIP_LOW, CLIP_HIGH = 0.005, 0.995
 MIN_FREQUENCY = 20
-MAX_CATEGORIES = 10_000
+#: A feature with more frequent categories is encoded by a join with its vocabulary, one with fewer by a column for each.
+JOINED_CATEGORIES = 500
 
 
 def null_question_marks(df: DataFrame) -> DataFrame:
@@ -146,8 +148,12 @@ def _rows(df: DataFrame) -> dict[str, tuple]:
     return {r["feature"]: tuple(r)[1:] for r in df.collect()}
 
 
-def fit_state(prof: DataFrame) -> dict:
-    """All fitted numbers: a few per numeric feature and the frequent categories of each other one."""
+def fit_state(prof: DataFrame, min_frequency: int = MIN_FREQUENCY) -> dict:
+    """All fitted numbers: a few per numeric feature and the frequent categories of each other one.
+
+    The driver gets one word for each coefficient that a linear model on these features has there anyway; rare categories,
+    however many, stay in Spark.
+    """
     prof = stage(prof)
     median = {f: r[0] for f, r in _rows(medians(prof)).items()}
     filled = stage(imputed(prof, median))
@@ -155,13 +161,9 @@ def fit_state(prof: DataFrame) -> dict:
     low = {f: b[0] for f, b in bounds.items()}
     high = {f: b[1] for f, b in bounds.items()}
     scale = _rows(scale_stats(filled, low, high))
-    vocab = vocabulary(prof)
-    frequent = vocab.where("frequent")
-    n_categories = frequent.count()
-    if n_categories > MAX_CATEGORIES:
-        raise ValueError(f"{n_categories} frequent categories are too many to one-hot encode")
+    vocab = vocabulary(prof, min_frequency)
     words: dict[str, list[str]] = {c: [] for c in CAT_COLS}
-    for r in frequent.select("feature", "category").collect():
+    for r in vocab.where("frequent").select("feature", "category").collect():
         words[r["feature"]].append(r["category"])
     rare = {r["feature"] for r in vocab.where(~F.col("frequent")).select("feature").distinct().collect()}
     return {
@@ -186,18 +188,44 @@ def scaled(cleaned: DataFrame, state: dict, keep: list[str] | None = None) -> Da
     return cleaned.select(*(keep or []), *out)
 
 
-def onehot_columns(state: dict) -> list[tuple[str, Column]]:
-    """Indicator columns: one per frequent category, then one for the rest where training had a rest."""
+def onehot_names(state: dict, features: list[str] = CAT_COLS) -> list[str]:
+    """Names of the indicators: one per frequent category, then one for the rest where training had a rest."""
+    return [
+        f"{c}={word}" for c in features
+        for word in [*state["categories"][c], *(["infrequent"] if state["infrequent"][c] else [])]
+    ]
+
+
+def onehot_columns(state: dict, features: list[str] = CAT_COLS) -> list[tuple[str, Column]]:
+    """Indicator columns in the order of ``onehot_names``."""
     out = []
-    for c in CAT_COLS:
+    for c in features:
         value = F.coalesce(F.col(c), F.lit("missing"))
         words = state["categories"][c]
-        for i, word in enumerate(words):
-            out.append((f"{c}={word}", (value == word).cast("double")))
+        out += [(value == word).cast("double") for word in words]
         if state["infrequent"][c]:
             rest = ~value.isin(*words) if words else F.lit(True)
-            out.append((f"{c}=infrequent", rest.cast("double")))
-    return out
+            out.append(rest.cast("double"))
+    return list(zip(onehot_names(state, features), out))
+
+
+def joined_categories(df: DataFrame, column: str, words: list[str], rest: bool, out: str) -> DataFrame:
+    """Add the sparse indicator vector ``out`` of a feature with a long vocabulary, in the order of ``onehot_names``.
+
+    The place of each value is found by an equi-join, which Spark broadcasts or sorts by the vocabulary's size. Rows keep
+    their number: words are distinct. Values outside the vocabulary take the indicator of the rest, or none.
+    """
+    slots = len(words) + int(rest)
+    table = df.sparkSession.createDataFrame(
+        pa.table({"_word": pa.array(words, pa.string()), "_place": pa.array(range(len(words)), pa.int32())})
+    )
+    value = F.coalesce(F.col(f"`{column}`"), F.lit("missing"))
+    placed = df.join(table, value == F.col("_word"), "left")
+    # The encoder leaves the last place out: that of values without an indicator.
+    known = {"ml_attr": {"type": "nominal", "num_vals": slots + 1}}
+    place = F.coalesce("_place", F.lit(len(words))).cast("double").alias("_place", metadata=known)
+    placed = placed.select(*[F.col(f"`{c}`") for c in df.columns], place)
+    return OneHotEncoder(inputCol="_place", outputCol=out, dropLast=True).fit(placed).transform(placed).drop("_place")
 
 
 class CleanRaw(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -223,22 +251,35 @@ class FeatureModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return json.loads(self.getOrDefault(self.state))
 
     def feature_names(self) -> list[str]:
-        return NUM_COLS + [name for name, _ in onehot_columns(self.fitted())]
+        return NUM_COLS + onehot_names(self.fitted())
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         state = self.fitted()
         out = self.getOrDefault(self.outputCol)
         passed = [c for c in dataset.columns if c not in NUM_COLS + CAT_COLS]
         numeric = scaled(dataset, state, keep=[F.col(f"`{c}`") for c in passed + CAT_COLS])
-        flags = onehot_columns(state)
+        joined = [c for c in CAT_COLS if len(state["categories"][c]) > JOINED_CATEGORIES]
+        columns = {f"_f{i}": F.col(c) for i, c in enumerate(NUM_COLS)}
+        parts = list(columns)
+        for c in CAT_COLS:
+            if c in joined:
+                parts.append(f"_v{c}")
+                continue
+            for _, indicator in onehot_columns(state, [c]):
+                parts.append(f"_f{len(columns)}")
+                columns[parts[-1]] = indicator
         wide = numeric.select(
-            *[F.col(f"`{c}`") for c in passed],
-            *[F.col(c).alias(f"_f{i}") for i, c in enumerate(NUM_COLS)],
-            *[flag.alias(f"_f{len(NUM_COLS) + i}") for i, (_, flag) in enumerate(flags)],
+            *[F.col(f"`{c}`") for c in passed], *[v.alias(k) for k, v in columns.items()],
+            *[F.col(c).alias(f"_c{c}") for c in joined],
         )
-        names = [f"_f{i}" for i in range(len(NUM_COLS) + len(flags))]
+        for c in joined:
+            wide = joined_categories(wide, f"_c{c}", state["categories"][c], state["infrequent"][c], f"_v{c}")
         # The assembler stores mostly-zero rows sparsely.
-        assembled = VectorAssembler(inputCols=names, outputCol=out).transform(wide)
+        assembled = VectorAssembler(inputCols=parts, outputCol=out).transform(wide)
+        if joined:
+            # Without a name for each of very many places in the schema.
+            size = {"ml_attr": {"num_attrs": len(NUM_COLS) + len(onehot_names(state))}}
+            assembled = assembled.withMetadata(out, size)
         return assembled.select(*[F.col(f"`{c}`") for c in passed], out)
 
 
