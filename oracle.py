@@ -643,9 +643,11 @@ def oracle_sql() -> dict[str, str]:
         "model_in_use": _with(REQ, "SELECT sec // 3600 * 3600 AS w_start, arg_max(model_version, (ts, model_version)) AS model_version FROM req GROUP BY 1"),
         "label_counts": _with(LOGS, "SELECT cast(readmitted_30d AS bigint) AS label, epoch_us(ts) // 1000000 // 86400 * 86400 AS w_start, count(*) AS n FROM llog GROUP BY 1, 2"),
         "sustained_alerts": _with(REQ + "," + _alert_series() + f""",
-            firing AS (SELECT *, w_start - 60 * row_number() OVER (PARTITION BY alert ORDER BY w_start) AS island FROM ({_ALERT_UNION}) WHERE firing)""",
+            firing AS (SELECT *, w_start - 60 * row_number() OVER (PARTITION BY alert ORDER BY w_start) AS island FROM ({_ALERT_UNION}) WHERE firing),
+            silent AS (SELECT sec AS start, lead(sec) OVER (ORDER BY sec) AS "end" FROM (SELECT DISTINCT sec FROM req))""",
             """SELECT alert, min(w_start) AS start, max(w_start) AS "end", max(w_start) - min(w_start) AS duration, min(w_start) + max(lasts) AS fires_at
-            FROM firing GROUP BY alert, island HAVING max(w_start) - min(w_start) >= max(lasts)"""),
+            FROM firing GROUP BY alert, island HAVING max(w_start) - min(w_start) >= max(lasts)
+            UNION ALL SELECT 'service_silent', start, "end", "end" - start, start + 30 FROM silent WHERE "end" - start >= 30"""),
         "scored_rows": _with(LABELLED, f"""SELECT model, count(*) AS n, count(DISTINCT encounter_id) AS encounters, 0::bigint AS outside, sum(target)::bigint AS positives
             FROM labelled, (SELECT unnest(['logreg_balanced', 'gbt_default', 'gbt_tuned', 'gbt_calibrated']) AS model) WHERE split = 'test' GROUP BY model"""),
         "logistic_optimum": _with(train_feat + "," + vocab("feat", "split = 'train'"), f"""SELECT unnest([{', '.join(text(c) for c in C.NUM_COLS)}]) AS feature, 0.0::double AS gradient

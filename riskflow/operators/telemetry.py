@@ -23,6 +23,8 @@ ALERTS = {
     "invalid_rate": (0.05, 300, 60),
     "follow_up_rate": (0.35, 1800, 600),
 }
+# Alert: seconds without any request.
+SILENT_SECONDS = 30
 FLAG_METRICS = ["data_drift", "prediction_drift", "concept_drift"]
 
 
@@ -160,8 +162,39 @@ def sustained(
     )
 
 
+def silences(
+    log: DataFrame, seconds: int = SILENT_SECONDS, since: Column | None = None, until: Column | None = None, ts: str = "ts"
+) -> DataFrame:
+    """Stretches of ``seconds`` or more without any request: (start, end, duration, fires_at), in epoch seconds.
+
+    ``start`` is the second of the request before, ``end`` that of the one after. Without ``since`` and ``until`` the first
+    and last request are the edges; with them the time before and after counts too, and a log without requests is one
+    silence. Requests without a time are left out. Two requests in one step of ``seconds`` lie closer together than that, so
+    the first and last second of each step are all that is compared: inside a day per day, and between days one row each.
+    """
+    second = F.unix_seconds(F.col(ts).cast("timestamp")).alias("second")
+    times = log.select(second)
+    for edge in (since, until):
+        if edge is not None:
+            # Edges are requests to the search; what lies outside them is cut.
+            times = times.unionAll(log.sparkSession.range(1).select(F.unix_seconds(edge.cast("timestamp"))))
+    if since is not None:
+        times = times.where(F.col("second") >= F.unix_seconds(since.cast("timestamp")))
+    if until is not None:
+        times = times.where(F.col("second") <= F.unix_seconds(until.cast("timestamp")))
+    steps = times.where("second IS NOT NULL").groupBy(F.floor(F.col("second") / seconds).alias("step")).agg(
+        F.min("second").alias("first"), F.max("second").alias("last")
+    ).withColumn("day", F.floor(F.col("first") / 86400))
+    inside = Window.partitionBy("day").orderBy("step")
+    per_day = steps.select("day", F.col("last").alias("start"), F.lead("first").over(inside).alias("end"), "first", "last")
+    days = per_day.groupBy("day").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    between = days.select(F.col("last").alias("start"), F.lead("first").over(Window.orderBy("day")).alias("end"))
+    found = per_day.select("start", "end").unionAll(between).where(F.col("end") - F.col("start") >= seconds)
+    return found.select("start", "end", (F.col("end") - F.col("start")).alias("duration"), (F.col("start") + seconds).alias("fires_at"))
+
+
 def sustained_alerts(log: DataFrame, step: int = 60) -> DataFrame:
-    """All four threshold alerts: (alert, start, end, duration, fires_at)."""
+    """The four threshold alerts and silence of the service: (alert, start, end, duration, fires_at)."""
     def measure(name: str, size: int) -> DataFrame:
         if name == "latency_p95":
             return latency_quantiles(log, size, step).select("w_start", F.col("p95").alias("value"))
@@ -178,7 +211,8 @@ def sustained_alerts(log: DataFrame, step: int = 60) -> DataFrame:
     lasts = F.element_at(
         F.create_map(*[x for k, v in ALERTS.items() for x in (F.lit(k), F.lit(v[2]))]), F.col("alert")
     )
-    return shortest.where(F.col("duration") >= lasts).withColumn("fires_at", F.col("start") + lasts)
+    over = shortest.where(F.col("duration") >= lasts).withColumn("fires_at", F.col("start") + lasts)
+    return over.unionByName(silences(log).withColumn("alert", F.lit("service_silent")))
 
 
 def gauge_history(snapshots: DataFrame) -> DataFrame:

@@ -82,6 +82,41 @@ def test_fitted_numbers_equal_numpy(spark):
     assert not state["infrequent"]["gender"] and state["categories"]["gender"] == ["missing"]
 
 
+def test_joined_vocabularies_equal_columns(spark, cohort_table, monkeypatch):
+    """Values outside the vocabulary and nulls included; other columns and repeated rows pass through."""
+    rows = features.clean(cohort_table.where("encounter_id % 16 = 0"), keep=["encounter_id"])
+    rows = rows.union(rows.where("encounter_id % 128 = 0")).withColumn("diag_1_grp", F.when(F.col("encounter_id") % 7 == 0, F.lit("unseen")).otherwise(F.col("diag_1_grp")))
+    state = features.fit_state(features.profile(features.clean(cohort_table)), min_frequency=500)
+    assert any(state["infrequent"].values()) and not all(state["infrequent"].values())
+    model = features.FeatureModel(state=json.dumps(state))
+    read = lambda: sorted((r["encounter_id"], r["features"].toArray().tolist()) for r in model.transform(rows).collect())
+    want = read()
+    monkeypatch.setattr(features, "JOINED_CATEGORIES", 0)
+    assert read() == want and len(want) == rows.count() > 300 and len(want[0][1]) == len(model.feature_names())
+
+
+def test_a_hundred_thousand_categories_train_and_score(spark):
+    n = 100_000
+    rows = spark.range(2 * n).select(
+        F.col("id").alias("encounter_id"), (F.col("id") % 2).cast("int").alias(C.TARGET),
+        *[F.lit(1.0).alias(c) for c in C.NUM_COLS], *[F.lit("a").alias(c) for c in C.CAT_COLS if c != "race"],
+        F.format_string("c%06d", F.col("id") % n).alias("race"),
+    )
+    rows = stage(rows.select("encounter_id", C.TARGET, *C.NUM_COLS, *C.CAT_COLS))
+    state = features.fit_state(features.profile(rows), min_frequency=2)
+    model = features.FeatureModel(state=json.dumps(state))
+    names, vectors = model.feature_names(), stage(model.transform(rows))
+    place = names.index("race=c000000")
+    assert len(names) == len(C.NUM_COLS) + len(C.CAT_COLS) - 1 + n and names[place + n - 1] == f"race=c{n - 1:06d}"
+    at = {r["encounter_id"]: r["features"] for r in vectors.where("encounter_id IN (0, 77777, 177777)").collect()}
+    assert all(v.size == len(names) and v[place + k % n] == 1.0 and v.numNonzeros() == len(C.CAT_COLS) for k, v in at.items())
+    fitted = models.fit_logistic(vectors, {"max_iter": 3})
+    scored = models.ScoreColumn().transform(fitted.transform(vectors))
+    # Odd ids are positive and so are odd categories.
+    by = {r["t"]: r["s"] for r in scored.groupBy(F.col(C.TARGET).alias("t")).agg(F.avg("score").alias("s")).collect()}
+    assert fitted.numFeatures == len(names) and by[1] > by[0]
+
+
 @pytest.fixture(scope="module")
 def splits(cohort_table):
     table = stage(cohort.with_split(cohort.make_target(cohort_table)))
@@ -276,6 +311,25 @@ def test_sustained_needs_consecutive_windows(spark):
     assert [(r["start"], r["end"], r["duration"]) for r in out.collect()] == [(0, 120, 120)]
 
 
+def test_silences_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    times = np.unique(np.concatenate([rng.integers(0, 4 * 86400, 300), rng.integers(10 * 86400, 10 * 86400 + 2000, 300), [86399, 86400, 5 * 86400 - 1]]))
+    log = spark.createDataFrame([(int(t),) for t in rng.permutation(times)] + [(None,), (86400,)], "sec bigint").select(F.timestamp_seconds("sec").alias("ts"))
+
+    def brute(t, seconds):
+        return sorted((a, b, b - a, a + seconds) for a, b in zip(t, t[1:]) if b - a >= seconds)
+
+    def read(*args, **edges):
+        return sorted(map(tuple, telemetry.silences(*args, **{k: F.timestamp_seconds(F.lit(v)) for k, v in edges.items()}).collect()))
+
+    for seconds in (1, 30, 61, 7000):
+        assert read(log, seconds) == brute(times.tolist(), seconds)
+    inside = [1000, *[int(t) for t in times if 1000 < t < 900_000], 900_000]
+    assert read(log, 30, since=1000, until=900_000) == brute(inside, 30)
+    none = log.where("false")
+    assert read(none, 30) == [] and read(none, 30, since=5, until=95) == [(5, 95, 90, 35)]
+
+
 def test_histogram_quantile_edges(spark):
     df = spark.createDataFrame([(0, 4.0), (1, 9.0)], "sec bigint, v double").withColumn("ts", F.timestamp_seconds("sec"))
     r = telemetry.histogram_quantile(df, "v", [1.0, 5.0], {"p25": 0.25, "p50": 0.5, "p99": 0.99}, 60).first()
