@@ -655,6 +655,11 @@ def oracle_sql() -> dict[str, str]:
         "first_split_gains": "WITH " + _gains(),
         "isotonic_rates": "WITH " + SCORED + "," + ISOTONIC,
         "stream_label_join": _with(LOGS, "SELECT request_id, encounter_id, round(score, 6) AS score, model_version, readmitted_30d FROM live"),
+        "stream_unlabelled": _with(LOGS + f""",
+            told AS (SELECT * FROM llog WHERE encounter_id NOT IN (SELECT encounter_id FROM enc WHERE {among('discharge_disposition_id', P.exclude_discharge_ids)})),
+            seen AS (SELECT least((SELECT max(ts) FROM plog), (SELECT max(ts) FROM told)) - interval 1 day AS until)""",
+            """SELECT request_id, encounter_id, round(score, 6) AS score, model_version FROM plog, seen WHERE plog.ts + interval 60 day < until
+            AND NOT EXISTS (SELECT 1 FROM told WHERE told.encounter_id = plog.encounter_id AND told.ts BETWEEN plog.ts - interval 60 day AND plog.ts + interval 60 day)"""),
         "stream_quarantine": _with(REQUESTS, """SELECT unnest(reasons) AS reason, count(*) AS n FROM judged_req GROUP BY 1
             UNION ALL SELECT 'accepted', count(*) FROM judged_req WHERE len(reasons) = 0"""),
         "stream_scores": _with(REQUESTS + f""",

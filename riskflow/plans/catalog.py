@@ -23,6 +23,7 @@ from riskflow.plans import jobs
 from riskflow.session import shared_dir, stage
 from riskflow.sources import daily, datagen, derived, read_prediction_log, sinks, versions
 from riskflow.streaming import streams
+from riskflow.streaming.windows import latest_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -757,6 +758,23 @@ def stream_label_join(spark, d):
     return rows.select("request_id", "encounter_id", r6("score").alias("score"), "model_version", "readmitted_30d")
 
 
+@query
+def stream_unlabelled(spark, d):
+    """Predictions whose 60 days passed without an outcome: nobody sends one for encounters that ended in death or hospice."""
+    run = _run_dir(spark)
+    log = derived.prediction_log(spark, d)
+    closed = log.where(F.col("features.discharge_disposition_id").cast("int").isin(*PARAMS.exclude_discharge_ids))
+    known = derived.label_log(spark, d).join(closed.select("features.encounter_id").distinct(), "encounter_id", "left_anti")
+    sinks.append_log(log, f"{run}/predictions")
+    sinks.append_log(known, f"{run}/labels")
+    joined = streams.join_labels(
+        streams.stream_predictions(spark, f"{run}/predictions"), streams.stream_labels(spark, f"{run}/labels"), "left_outer"
+    )
+    writer = streams.unlabelled(joined).writeStream.format("parquet").option("path", f"{run}/unlabelled")
+    writer.option("checkpointLocation", f"{run}/check").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{run}/unlabelled").select("request_id", "encounter_id", r6("score").alias("score"), "model_version")
+
+
 @query
 def monitor_stream(spark, d):
     """Logs by month and a stored reference; a stream of arriving predictions triggers the snapshot, read back from history."""
@@ -810,4 +828,4 @@ def stream_telemetry(spark, d):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     windows = streams.telemetry(derived.request_log_of(events))
     streams.telemetry_sink(windows, f"{run}/windows", f"{run}/check").awaitTermination()
-    return _rounded(streams.latest_windows(spark, f"{run}/windows"), "p50", "p95")
+    return _rounded(latest_windows(spark, f"{run}/windows"), "p50", "p95")

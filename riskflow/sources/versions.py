@@ -35,16 +35,16 @@ class VersionCheckFailed(ValueError):
     """What was written is not what should be published."""
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _rename_new(spark: SparkSession, source: str, target: str) -> None:
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file; an error if ``target`` is there."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
-    where, _ = _fs(spark, target)
-    qualified = where.makeQualified(*(lambda fs: (fs.getUri(), fs.getWorkingDirectory()))(_fs(spark, target)[1]))
+    where, _ = file_system(spark, target)
+    qualified = where.makeQualified(*(lambda fs: (fs.getUri(), fs.getWorkingDirectory()))(file_system(spark, target)[1]))
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     options = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
@@ -56,20 +56,20 @@ def _rename_new(spark: SparkSession, source: str, target: str) -> None:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    where, fs = _fs(spark, path)
+    where, fs = file_system(spark, path)
     out = fs.create(where, False)
     out.write(bytearray(text.encode()))
     out.close()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    where, fs = _fs(spark, path)
+def delete(spark: SparkSession, path: str) -> None:
+    where, fs = file_system(spark, path)
     fs.delete(where, True)
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
     """All published versions; no rows where nothing has been published."""
-    where, fs = _fs(spark, f"{root}/manifests")
+    where, fs = file_system(spark, f"{root}/manifests")
     found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where, "[0-9]*.json")) if fs.exists(where) else []
     if not len(found):
         return spark.createDataFrame([], HISTORY_SCHEMA)
@@ -122,7 +122,7 @@ def publish(
     stored = spark.read.schema(table.schema).parquet(f"{root}/{path}")
     row = cohort.lineage(stored, params, parent["data_version"] if parent else None, raw).first().asDict(recursive=True)
     if parent and parent["splits"] == row["splits"]:
-        _delete(spark, f"{root}/{path}")
+        delete(spark, f"{root}/{path}")
         return parent
     check(stored)
     number = parent["number"] + 1 if parent else 1
@@ -131,14 +131,14 @@ def publish(
         before_manifest(row["data_version"])
     part = f"{root}/manifests/.{uuid.uuid4().hex}"
     _write_text(spark, part, json.dumps(manifest) + "\n")
-    _rename_new(spark, part, f"{root}/manifests/{number:09d}.json")
+    rename_new(spark, part, f"{root}/manifests/{number:09d}.json")
     return manifest
 
 
 def sweep(spark: SparkSession, root: str, older_than_ms: int = 86_400_000) -> int:
     """Remove what unfinished runs left behind for more than ``older_than_ms``; returns how many folders that were."""
     used = {r["path"] for r in history(spark, root).select("path").collect()}
-    where, fs = _fs(spark, f"{root}/data")
+    where, fs = file_system(spark, f"{root}/data")
     now = spark.sparkContext._jvm.java.lang.System.currentTimeMillis()
     stale = [s.getPath() for s in (fs.listStatus(where) if fs.exists(where) else []) if f"data/{s.getPath().getName()}" not in used and now - s.getModificationTime() >= older_than_ms]
     for path in stale:

@@ -12,34 +12,42 @@ from collections.abc import Callable
 from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql.types import StructType
 
 from riskflow import contract as C
 from riskflow.operators import quality, scoring
 from riskflow.operators.telemetry import LATENCY_EDGES, bucket_flags, flag, flag_alerts, interpolate
 from riskflow.sources.sinks import alert_rows
+from riskflow.streaming.windows import COMPACT_EVERY, window_writer
 
-# A label later than this after its prediction is no longer joined in the stream; batch jobs that
+# A label later than this after its prediction, or earlier than this before it, is not joined in the stream; batch jobs that
 # read the logs still use it.
 LABEL_RANGE = "60 days"
+# How far the records of a log may arrive out of order.
+LATE_RECORDS = "1 day"
 LATE_EVENTS = "10 minutes"
 
 
-def stream_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.readStream.schema(schema).json(path)
+def _reader(spark: SparkSession, max_files: int | None) -> DataStreamReader:
+    """``max_files`` bounds what one micro-batch takes in, for instance when a stream starts on years of logs."""
+    return spark.readStream if max_files is None else spark.readStream.option("maxFilesPerTrigger", max_files)
 
 
-def stream_requests(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.text(path).withColumnRenamed("value", "line")
+def stream_json(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    return _reader(spark, max_files).schema(schema).json(path)
 
 
-def stream_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return stream_json(spark, path, C.PREDICTION_LOG_SCHEMA)
+def stream_requests(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    return _reader(spark, max_files).text(path).withColumnRenamed("value", "line")
 
 
-def stream_labels(spark: SparkSession, path: str) -> DataFrame:
-    return stream_json(spark, path, C.LABEL_LOG_SCHEMA)
+def stream_predictions(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    return stream_json(spark, path, C.PREDICTION_LOG_SCHEMA, max_files)
+
+
+def stream_labels(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    return stream_json(spark, path, C.LABEL_LOG_SCHEMA, max_files)
 
 
 def _start(writer, checkpoint: str, available_now: bool, every: str = "1 minute") -> StreamingQuery:
@@ -85,26 +93,37 @@ def label_intake(labels: DataFrame, path: str, checkpoint: str, available_now: b
     return log_sink(quality.valid_labels(labels), path, checkpoint, available_now)
 
 
-def join_labels(predictions: DataFrame, labels: DataFrame, how: str = "inner", within: str = LABEL_RANGE) -> DataFrame:
-    """Predictions with the labels that arrive within ``within`` of them, one row per label.
+def join_labels(
+    predictions: DataFrame, labels: DataFrame, how: str = "inner", within: str = LABEL_RANGE, early: str = LABEL_RANGE,
+    late: str = LATE_RECORDS,
+) -> DataFrame:
+    """Predictions with the labels from ``early`` before to ``within`` after them, one row per label.
 
-    The watermarks and the time range bound the state on both sides. ``how="left_outer"`` also lists
-    predictions still unlabelled once the range has passed.
+    Both logs may be out of order by ``late``. State is bounded on both sides: a prediction waits ``within`` plus ``late`` for
+    labels, a label ``early`` plus ``late`` for predictions, as a corrected prediction may follow the outcome.
+    ``how="left_outer"`` also lists predictions still unlabelled once the range has passed; records without a time or
+    encounter are never joined.
     """
     p = predictions.select(
         "request_id", F.col("ts").alias("predicted_at"), F.col("features.encounter_id").alias("encounter_id"),
         "score", "model_version",
-    ).withWatermark("predicted_at", "1 day")
+    ).withWatermark("predicted_at", late)
     labelled = labels.select(
         F.col("encounter_id").alias("label_id"), F.col("ts").alias("labelled_at"), "readmitted_30d"
-    ).withWatermark("labelled_at", "1 day")
+    ).withWatermark("labelled_at", late)
     condition = (
-        (F.col("encounter_id") == F.col("label_id")) & (F.col("labelled_at") >= F.col("predicted_at"))
+        (F.col("encounter_id") == F.col("label_id"))
+        & (F.col("labelled_at") >= F.col("predicted_at") - F.expr(f"INTERVAL {early}"))
         & (F.col("labelled_at") <= F.col("predicted_at") + F.expr(f"INTERVAL {within}"))
     )
     return p.join(labelled, condition, how).drop("label_id")
 
 
+def unlabelled(joined: DataFrame) -> DataFrame:
+    """Of a ``left_outer`` join's output, the predictions whose range passed without a label."""
+    return joined.where(F.col("labelled_at").isNull()).select("request_id", "encounter_id", "predicted_at", "score", "model_version")
+
+
 def last_label(joined: DataFrame) -> DataFrame:
     """Batch step over the joined output: the last label of each prediction."""
     last = F.max_by(F.struct("encounter_id", "score", "model_version", "readmitted_30d"),
@@ -130,21 +149,14 @@ def telemetry(log: DataFrame, size: str = "5 minutes", step: str = "1 minute", l
     )
 
 
-def telemetry_sink(windows: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def telemetry_sink(
+    windows: DataFrame, path: str, checkpoint: str, available_now: bool = True, compact_every: int = COMPACT_EVERY
+) -> StreamingQuery:
     """Write changed windows of each micro-batch; ``latest_windows`` reads the current state."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
+    write = window_writer(path, every=compact_every)
     return _start(windows.writeStream.outputMode("update").foreachBatch(write), checkpoint, available_now)
 
 
-def latest_windows(spark: SparkSession, path: str, keys: tuple[str, ...] = ("w_start", "endpoint")) -> DataFrame:
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    last = F.max_by(F.struct(*values), "batch_id")
-    return rows.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*")
-
-
 def monitor_stream(
     predictions: DataFrame, run_monitor: Callable[[SparkSession], DataFrame], history_path: str, checkpoint: str,
     every: str = "5 minutes", available_now: bool = True,
