@@ -151,7 +151,9 @@ def group_recall(
         counts = counts.withColumn("_all", F.lit(0))
     limits = score_threshold(counts, k_frac, tuple(keys))
     dims = [F.struct(F.lit(d).alias("dim"), v.alias("value")) for d, v in subgroups()]
-    flagged = rows.join(limits, keys).select(
+    # One threshold for all rows is a value, not a join.
+    limited = rows.join(limits, keys) if by else rows.withColumn("threshold", limits.select("threshold").scalar()).where("threshold IS NOT NULL")
+    flagged = limited.select(
         *keys, (F.col("score") >= F.col("threshold")).cast("int").alias("flagged"), "target",
         F.inline(F.array(*dims)),
     )
