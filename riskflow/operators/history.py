@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.operators.ranking import cut_ranges, join_ranges
+
 SINGLE_TASK_ROWS = 1_000_000
 
 
@@ -18,10 +20,10 @@ def visit_sequence(
 ) -> DataFrame:
     """Add ``seq`` (1 for a patient's first visit) and ``next_ts`` (null for the last one).
 
-    A patient with at most ``max_rows`` visits is ordered by one task. Beyond that the visits are
-    cut by day: each day is ordered by itself and continues from the patient's earlier days, so a
-    task holds one patient-day, or one patient's list of days. ``largest`` is the visit count of the
-    busiest patient, measured unless given.
+    A patient with at most ``max_rows`` visits is ordered by one task. Beyond that all visits are cut into
+    ranges of patient, time and ``tie``, within a day too; each range is ordered by itself and continues
+    from the patient's earlier ranges. ``largest`` is the visit count of the busiest patient, measured
+    unless given.
     """
     if largest is None:
         largest = most_visits(df, patient)
@@ -29,18 +31,18 @@ def visit_sequence(
         w = Window.partitionBy(patient).orderBy(ts, tie)
         return df.withColumns({"seq": F.row_number().over(w), "next_ts": F.lead(ts).over(w)})
 
-    dated = df.withColumn("_day", F.to_date(ts))
-    inside = Window.partitionBy(patient, "_day").orderBy(ts, tie)
-    ordered = dated.withColumns({"_in": F.row_number().over(inside), "_next": F.lead(ts).over(inside)})
-    days = dated.groupBy(patient, "_day").agg(F.count("*").alias("_n"), F.min(ts).alias("_first"))
-    by_day = Window.partitionBy(patient).orderBy("_day")
-    days = days.select(
-        F.col(patient).alias("_p"), F.col("_day").alias("_d"),
-        F.coalesce(F.sum("_n").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.lead("_first").over(by_day).alias("_after"),
+    rows = df.count()
+    ranged, _ = cut_ranges(df, [F.col(c) for c in (patient, ts, tie)], rows, max_rows, "_range")
+    inside = Window.partitionBy(patient, "_range").orderBy(ts, tie)
+    ordered = ranged.withColumns({"_in": F.row_number().over(inside), "_next": F.lead(ts).over(inside)})
+    parts = ranged.groupBy(patient, "_range").agg(F.count("*").alias("_n"), F.min(ts).alias("_first"))
+    # A patient has at most as many parts as there are ranges.
+    by_range = Window.partitionBy(patient).orderBy("_range")
+    parts = parts.select(
+        patient, "_range", F.lead("_first").over(by_range).alias("_after"),
+        F.coalesce(F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
     )
-    same = F.col(patient).eqNullSafe(F.col("_p")) & F.col("_day").eqNullSafe(F.col("_d"))
-    return ordered.join(days, same).select(
+    return join_ranges(ordered, parts, [patient], "_range", rows).select(
         *df.columns,
         (F.col("_before") + F.col("_in")).cast("int").alias("seq"),
         F.coalesce("_next", "_after").alias("next_ts"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.operators.ranking import BROADCAST_ROWS
+
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def join_unique(
@@ -16,21 +17,26 @@ def join_unique(
     spread_by: Column,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` (at most one row per key) on ``key``.
+    """Join ``left`` to ``right`` (at most one row per key) on ``key``; ``how`` is "inner" or "left".
 
-    Keys with more than ``hot_rows`` left rows are spread over ``salts`` sub-keys by a hash of
-    ``spread_by``, and only their right rows are repeated. Counting the keys reads one column and is
-    combined before the shuffle. There are at most rows / hot_rows hot keys.
+    Keys are counted first, which reads one column and is combined before the shuffle. A key is hot with
+    more than ``hot_rows`` left rows, or more than a ``BROADCAST_ROWS``-th of all rows if that is more, so
+    there are fewer than ``BROADCAST_ROWS`` hot keys, however large ``left`` is. A hot key is spread over as
+    many sub-keys as its count asks for, by a hash of ``spread_by``, and only its right row is repeated. Null
+    keys match nothing; a left join spreads them too, if they are many.
     """
-    # Hot keys exist only if some key passes the limit; ask before paying for the salted plan.
-    hot = left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
-    if not hot.take(1):
+    sizes = left.groupBy(key).agg(F.count("*").alias("_n"))
+    top = sizes.agg(F.max("_n").alias("most"), F.sum("_n").alias("all")).first()
+    limit = max(hot_rows, (top["all"] or 0) // BROADCAST_ROWS)
+    # Ask before paying for the salted plan.
+    if (top["most"] or 0) <= limit:
         return left.join(right, key, how)
-    marked = hot.withColumn("_hot", F.lit(True))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0))
-    spread = left.join(marked, key, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(marked, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    salts = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
+    hot = F.broadcast(sizes.where((F.col("_n") > limit) & F.col(key).isNotNull()).select(key, salts.alias("_salts")))
+    # A null key has no row among the hot ones; without a partner, any sub-key will do.
+    pieces = F.when(F.col(key).isNull(), F.lit(-(-top["most"] // limit))).otherwise(F.coalesce("_salts", F.lit(1)))
+    spread = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), pieces).cast("int")).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")

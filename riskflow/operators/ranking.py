@@ -5,14 +5,16 @@ Counting first lets a value that makes up a third of all rows collapse to one ro
 ordered. Ordering then takes one of two exact ways, chosen by the measured number of distinct values:
 
 * few: an ordinary window (or Spark's exact ``percentile`` with frequencies);
-* many: the values are cut into buckets with about equally many distinct values, the bucket totals
-  are summed up front, and each bucket continues from the total of the buckets before it. No task
-  ever holds more than about one bucket.
+* many: groups and values are cut together into ranges of about equally many rows, whose number follows
+  from the measured row count; each range continues from the total of its group's earlier ranges, and
+  these totals are found the same way if there are many of them. No task ever holds more than about
+  one range, whether the rows lie in one group or in many.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +23,6 @@ from riskflow.session import stage
 
 # Distinct values one task may order by itself.
 SINGLE_TASK_ROWS = 1_000_000
-MAX_BUCKETS = 4096
 # Rows (of a few numbers each) a small lookup table may have to be sent to every executor.
 BROADCAST_ROWS = 100_000
 
@@ -37,24 +38,35 @@ def value_counts(df: DataFrame, value: str, by: tuple[str, ...] = (), **sums: Co
     )
 
 
-def _largest_group(values: DataFrame, by: list[str]) -> tuple[int, int]:
+def _sizes(values: DataFrame, by: list[str]) -> tuple[int, int, int]:
+    """Rows of the largest group, number of groups, rows of all."""
     row = (
         values.groupBy(*by).agg(F.count("*").alias("rows"))
-        .agg(F.max("rows").alias("rows"), F.count("*").alias("groups")).first()
+        .agg(F.max("rows").alias("rows"), F.count("*").alias("groups"), F.sum("rows").alias("all")).first()
     )
-    return row["rows"] or 0, row["groups"] or 0
+    return row["rows"] or 0, row["groups"] or 0, row["all"] or 0
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _bucket(edges: Column, value: Column, n_edges: int) -> Column:
-    """How many edges lie below ``value``: first among every ``step``-th edge, then inside one step."""
-    step = max(1, math.isqrt(n_edges))
-    coarse = F.filter(edges, lambda e, i: (i % step == step - 1) & (e < value))
-    start = F.size(coarse) * step
-    return start + F.size(F.filter(F.slice(edges, start + 1, F.lit(step)), lambda e: e < value))
+def cut_ranges(df: DataFrame, order: list[Column], rows: int, max_rows: int, name: str) -> tuple[DataFrame, int]:
+    """``df`` in ranges of about ``max_rows`` / 2 rows in the given order, numbered in column ``name``; and how many.
+
+    ``order`` should distinguish the rows, since equal ones share a range. The cuts come from a sample, so they only
+    balance the ranges; the result is staged, so that every reader sees the same ones.
+    """
+    n = max(2, math.ceil(2 * rows / max_rows))
+    return stage(df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id())), n
+
+
+def join_ranges(left: DataFrame, right: DataFrame, by: Iterable[str], name: str, rows: int) -> DataFrame:
+    """Add to each row what ``right`` has for its group (null is a group) and range; ``rows`` bounds the size of ``right``."""
+    keys = [*by, name]
+    other = _small(right.withColumnsRenamed({k: f"_of_{k}" for k in keys}), rows)
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return left.join(other, same).drop(*[f"_of_{k}" for k in keys])
 
 
 def running_totals(
@@ -64,50 +76,37 @@ def running_totals(
     order: str = "value",
     descending: bool = False,
     max_rows: int = SINGLE_TASK_ROWS,
+    totals: bool = False,
 ) -> DataFrame:
     """Add ``cum_<s>``: the total of ``s`` over this and all earlier values of the group.
 
-    ``values`` has one row per (by, order), and should be staged: it is read more than once.
+    ``values`` has one row per (by, order), and should be staged: it is read more than once. With
+    ``totals``, ``total_<s>`` is the total of the whole group. Null is a group like any other.
     """
     by = list(by)
-    largest, groups = _largest_group(values, by)
+    largest, groups, rows = _sizes(values, by)
     direction = F.col(order).desc() if descending else F.col(order).asc()
+    wanted = [f"{kind}_{s}" for kind in (("cum", "total") if totals else ("cum",)) for s in sums]
     if largest <= max_rows:
         # Without ``by`` this is one task, of at most max_rows rows.
         w = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-        return values.select("*", *[F.sum(s).over(w).alias(f"cum_{s}") for s in sums])
-
-    n_buckets = min(MAX_BUCKETS, max(2, math.ceil(2 * largest / max_rows)))
-    cuts = [i / n_buckets for i in range(1, n_buckets)]
-    keys = by or ["_all"]
-    rows = values if by else values.withColumn("_all", F.lit(0))
-    # The cuts are approximate, so they only balance the buckets. They are staged because a
-    # recomputation may choose others, and every reader must see the same ones.
-    edges = stage(
-        rows.groupBy(*keys).agg(
-            F.array_sort(F.array_distinct(
-                F.percentile_approx(F.col(order).cast("double"), F.array(*map(F.lit, cuts)), 10 * n_buckets)
-            )).alias("_edges")
-        )
-    )
-    bucketed = rows.join(_small(edges, groups * n_buckets), keys).withColumn(
-        "_bucket", _bucket(F.col("_edges"), F.col(order).cast("double"), n_buckets - 1)
-    ).drop("_edges")
-    if descending:
-        bucketed = bucketed.withColumn("_bucket", -F.col("_bucket"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-        .select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums])
-    )
-    inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy(direction)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*by)
+        added = {f"cum_{s}": F.sum(s).over(w) for s in sums} | {f"total_{s}": F.sum(s).over(whole) for s in sums}
+        return values.select("*", *[added[c].alias(c) for c in wanted])
+
+    name = f"_{order}_range"
+    ranged, n_ranges = cut_ranges(values, [*map(F.col, by), direction], rows, max_rows, name)
+    parts = stage(ranged.groupBy(*by, name).agg(*[F.sum(s).alias(s) for s in sums]))
+    # A range may end in one group and begin the next, so there are at most this many parts.
+    n_parts = groups + n_ranges
+    parts = running_totals(parts, sums, tuple(by), order=name, max_rows=max_rows, totals=True).select(
+        *by, name, *[(F.col(f"cum_{s}") - F.col(s)).alias(f"_o_{s}") for s in sums],
+        *[F.col(f"total_{s}") for s in sums if totals],
     )
-    return (
-        bucketed.withColumns({f"_c_{s}": F.sum(s).over(inside) for s in sums})
-        .join(_small(offsets, groups * n_buckets), [*keys, "_bucket"])
-        .select(*values.columns, *[(F.col(f"_c_{s}") + F.col(f"_o_{s}")).alias(f"cum_{s}") for s in sums])
+    inside = Window.partitionBy(*by, name).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+    joined = join_ranges(ranged.withColumns({f"_c_{s}": F.sum(s).over(inside) for s in sums}), parts, by, name, n_parts)
+    return joined.withColumns({f"cum_{s}": F.col(f"_c_{s}") + F.col(f"_o_{s}") for s in sums}).select(
+        *values.columns, *wanted
     )
 
 
@@ -119,30 +118,28 @@ def quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles from value counts: one row per group, array column ``q``."""
     by = list(by)
-    largest, groups = _largest_group(values, by)
+    largest = _sizes(values, by)[0]
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     if largest <= max_rows:
         # percentile keeps one entry per distinct value, here at most max_rows.
         return values.groupBy(*by).agg(F.percentile("value", wanted, F.col("n")).alias("q"))
 
-    keys = by or ["_all"]
-    rows = values if by else values.withColumn("_all", F.lit(0))
-    totals = rows.groupBy(*keys).agg((F.sum("n") - 1).alias("_last"))
-    ranked = running_totals(rows, ["n"], tuple(keys), max_rows=max_rows).join(_small(totals, groups), keys)
+    ranked = running_totals(values, ["n"], tuple(by), max_rows=max_rows, totals=True)
+
+    def rank(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("total_n") - 1)
 
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("cum_n") > rank, F.col("value")))
+    def at(place: Column) -> Column:
+        return F.min(F.when(F.col("cum_n") > place, F.col("value")))
 
     picks = []
     for i, p in enumerate(probs):
-        rank = F.lit(float(p)) * F.col("_last")
-        picks += [at(F.floor(rank)).alias(f"_lo{i}"), at(F.ceil(rank)).alias(f"_hi{i}")]
-    out = ranked.groupBy(*keys, "_last").agg(*picks)
+        picks += [at(F.floor(rank(p))).alias(f"_lo{i}"), at(F.ceil(rank(p))).alias(f"_hi{i}")]
+    out = ranked.groupBy(*by, "total_n").agg(*picks)
     interpolated = []
     for i, p in enumerate(probs):
-        rank = F.lit(float(p)) * F.col("_last")
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        interpolated.append(low + (high - low) * (rank - F.floor(rank)))
+        interpolated.append(low + (high - low) * (rank(p) - F.floor(rank(p))))
     return out.select(*by, F.array(*interpolated).alias("q"))
 
 
@@ -150,14 +147,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: tuple[str
     return quantiles(stage(value_counts(df, value, by)), probs, by)
 
 
-def approx_quantiles(
-    df: DataFrame, value: str, probs: list[float], by: tuple[str, ...] = (), accuracy: int = 10_000
-) -> DataFrame:
-    """The one-pass sketch, for users who accept a rank error of 1/accuracy."""
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    return df.groupBy(*by).agg(F.percentile_approx(F.col(value).cast("double"), wanted, accuracy).alias("q"))
-
-
 def bin_index(value: Column, edges: Column) -> Column:
     """Bin of ``value`` among sorted ``edges``: half-open bins, the last one closed, null outside."""
     n_bins = F.size(edges) - 1

@@ -152,16 +152,40 @@ def test_fairness_compares_large_named_groups_only(spark):
 
 def test_salted_join_equals_plain_join(spark):
     left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).alias("k"), F.col("id").alias("row"))
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 100).alias("k"), F.col("id").alias("row"))
     right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    plain = left.join(right, "k")
-    salted = join_unique(left, right, "k", F.col("row"), hot_rows=500, salts=8)
-    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
-    outer = join_unique(left, right, "k", F.col("row"), how="left", hot_rows=500, salts=8)
-    assert outer.count() == 3000
+    for how in ("inner", "left"):
+        plain = left.join(right, "k", how)
+        salted = join_unique(left, right, "k", F.col("row"), how=how, hot_rows=200)
+        assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_salts_follow_the_measured_key_size(spark):
+    left = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("row"))
+    right = spark.range(3).select(F.col("id").alias("k"))
+    plan = join_unique(left, right, "k", F.col("row"), hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+    assert join_unique(left, right, "k", F.col("row"), hot_rows=4000)._jdf.queryExecution().optimizedPlan().toString().count("_salt") == 0
+
+
+def test_ranges_stay_small_and_exact_with_one_huge_group(spark):
+    """One group of 20,000 values (a null key), one of 7,000 and 1,000 of 3; two levels of offsets."""
+    g = F.when(F.col("id") < 20_000, None).when(F.col("id") < 27_000, -1).otherwise(F.col("id") % 1000)
+    values = stage(spark.range(30_000).select(
+        g.alias("g"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).cast("double").alias("value"), (F.col("id") % 5 + 1).alias("n")))
+    plain = ranking.running_totals(values, ["n"], ("g",), totals=True)
+    cut = ranking.running_totals(values, ["n"], ("g",), max_rows=100, totals=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(plain.columns).collect()))
+    ranged, n = ranking.cut_ranges(values, [F.col("g"), F.col("value")], 30_000, 1000, "r")
+    assert n == 60 and ranged.groupBy("r").count().agg(F.max("count")).first()[0] < 2000
+    probs = [0.0, 0.25, 0.9, 1.0]
+    few, many = (ranking.quantiles(values, probs, ("g",), max_rows=m).collect() for m in (1_000_000, 100))
+    as_dict = lambda rows: {r["g"]: r["q"] for r in rows}
+    assert as_dict(few).keys() == as_dict(many).keys()
+    assert all(q == pytest.approx(as_dict(few)[k]) for k, q in as_dict(many).items())
 
 
-def test_visits_cut_by_day_equal_plain_order(spark):
+def test_visits_cut_in_ranges_equal_plain_order(spark):
     visits = spark.range(2000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 40).alias("p"), F.col("id").alias("k"),
         F.timestamp_seconds(F.pmod(F.col("id") * 7919, F.lit(200)) * 40000).alias("t"))
