@@ -1,25 +1,28 @@
-"""Benchmark decontamination by retrieval of covered TF-IDF weight.
+"""Benchmark decontamination by latent semantic retrieval, with an exact search beside it.
 
-An item is a TF-IDF vector of unit length over hashed words. Texts are cut into overlapping windows, and a window scores the
-cosine of the item with that part of it whose words stand in the window: 1 for a copy, whatever else stands around it. A hit is
-checked on the words: the longest common subsequence with the item, and whether the item's answer (its last sentence) stands
-there word for word.
+An item is a TF-IDF vector of unit length over hashed words. Texts are cut into overlapping windows. A window is a candidate
+for an item by its cosine in the latent space of the item's block (``latent``), which finds paraphrases, or by the cosine of the
+item with that part of it whose words stand in the window: 1 for a copy, whatever else stands around it. A candidate is checked
+on the words: the longest common subsequence with the item, and whether the item's answer (its last sentence) stands there word
+for word.
 
 * Document frequencies: all documents, in hashed buckets, summed by Spark (at most ``BUCKETS`` rows).
+* Index: items go by hash into pieces of about ``PIECE_CHARS`` characters; each piece is an index of its own, which bounds what
+  the driver holds and what is sent to the executors. All pieces are searched.
 * Windows: items are classed by length, ``STRIDE`` words and its doubles; a class has windows of twice that length, half
   overlapping, so that a copy lies in one window as a whole.
-* Search: every window of every document against all items of the class, by lists of the items that hold a word. An item's most
-  frequent words are left out of the lists up to ``UNLISTED`` of its weight, which is added to every sum as a bound; pairs that can
-  reach the threshold are then scored with all words. Nothing is projected or sampled, so no copy is lost however many
-  items there are.
-* Check: every window that reaches the threshold, and the best checked match of a document and item is kept.
+* Latent search: every window of every document against all items of the class, block by block.
+* Exact search: the same by lists of the items that hold a word. An item's most frequent words are left out of the lists up to
+  ``UNLISTED`` of its weight, which is added to every sum as a bound; pairs that can reach the threshold are then scored with all
+  words. No copy is lost however many items there are; tests measure the recall of the latent search against it.
+* Check: every candidate window, and the best checked match of a document and item is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +30,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.llm import store
+from riskflow.llm import latent, store
 from riskflow.llm.text import Words, blocks, words
 
 BUCKETS = 1 << 18
 WINDOW, STRIDE = 40, 20
 MIN_COSINE = 0.45
+#: Cosine in a latent space.
+MIN_LATENT = 0.5
+#: Characters of benchmark text in one index.
+PIECE_CHARS = 4_000_000
 #: Share of an item's squared weight whose words have no list.
 UNLISTED = 0.1
 #: Cells (window, item) that are summed at once.
 CELLS = 1_000_000
-MIN_ITEM_WORDS = 5
-#: Percent of an item's words in the common subsequence: enough alone, and enough together with the answer.
-LCS_ALONE, LCS_WITH_ANSWER = 70, 50
+#: Items with fewer words have to stand there word for word.
+SHORT_ITEM = 5
+#: Percent of an item's words in the common subsequence: enough alone, enough together with the answer, and enough together
+#: with the answer and ``MIN_LATENT``.
+LCS_ALONE, LCS_WITH_ANSWER, LCS_PARAPHRASE = 70, 50, 30
 _U = np.uint64
 
 
@@ -53,11 +62,12 @@ class Level:
     listed: np.ndarray  # place in ``items``
     share: np.ndarray  # of the item's squared weight
     rest: np.ndarray  # share of each item that is not listed
+    spaces: list[latent.Space]
 
 
 @dataclass
 class Index:
-    """What every task needs: the vocabulary and the items. Grows with the benchmark only."""
+    """What every task needs: the vocabulary and the items of one piece of the benchmark."""
 
     hashes: np.ndarray  # of the vocabulary, ascending
     first: np.ndarray  # of each item's distinct words, and the end
@@ -128,15 +138,25 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum())), of
 
 
-def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Index | None:
-    """Weigh the items' words and list them. None without any item of ``MIN_ITEM_WORDS`` words."""
+def indexes(docs: DataFrame, benchmark: DataFrame) -> list[Index]:
+    """The indexes of all pieces of the benchmark; none for a benchmark without words."""
+    spark = docs.sparkSession
     store.prepare(spark)
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id", "text").collect()
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
+    n = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // PIECE_CHARS)
+    counts = document_frequencies(docs) if n else None
+    piece = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
+    found = (build_index(spark, counts, items.filter(piece == k)) for k in range(n))
+    return [index for index in found if index]
+
+
+def build_index(spark: SparkSession, counts: np.ndarray, items: DataFrame) -> Index | None:
+    """Weigh the items' words, list them and fit their latent spaces. None without any word."""
+    rows = items.orderBy("item_id", "text").collect()
     found = words(pa.array([r.text for r in rows], pa.string()), lower=True)
-    long = np.flatnonzero(found.n >= MIN_ITEM_WORDS) if len(rows) else []
+    long = np.flatnonzero(found.n > 0) if len(rows) else []
     if not len(long):
         return None
-    counts = document_frequencies(docs)
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
     own = [found.hash[found.first[k] : found.first[k + 1]] for k in long]
     hashes = np.unique(np.concatenate(own))
@@ -153,13 +173,16 @@ def build_index(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> I
     unlisted[order] = total[1:] - total[first[:-1]][item] < UNLISTED
     rest = np.bincount(item[unlisted], share[unlisted], minlength=len(own))
     double = np.ceil(np.log2(np.maximum(size / STRIDE, 1))).astype(np.int64)
+    classes = [np.flatnonzero(double == d) for d in np.unique(double)]
+    groups = [(c, x) for c, items in enumerate(classes) for x in np.array_split(items, -(-len(items) // latent.BLOCK_ITEMS))]
+    spaces = latent.fit(spark, [x for _, x in groups], first, place, np.sqrt(share), idf[_bucket(hashes[place])])
     levels = []
-    for d in np.unique(double).tolist():
-        items = np.flatnonzero(double == d)
+    for c, d in enumerate(np.unique(double).tolist()):
+        items = classes[c]
         some = np.flatnonzero((double[item] == d) & ~unlisted)
         some = some[np.argsort(place[some], kind="stable")]
         starts = np.searchsorted(place[some], np.arange(len(hashes) + 1))
-        levels.append(Level(d, items, starts, np.searchsorted(items, item[some]), share[some], rest[items]))
+        levels.append(Level(d, items, starts, np.searchsorted(items, item[some]), share[some], rest[items], [x for (k, _), x in zip(groups, spaces) if k == c]))
     return Index(hashes, first, place, times, share, np.array([rows[k].item_id for k in long]), own, [_answer(rows[k].text) for k in long], levels)
 
 
@@ -222,8 +245,16 @@ def _inside(spots: np.ndarray, n: int, place: np.ndarray, begin: np.ndarray, end
     return spots[np.minimum(at, len(spots) - 1)] - place * n < np.where(at < len(spots), end, -1)
 
 
-def _hits(found: Words, index: Index, min_cosine: float) -> list[tuple[int, int, float, int, bool, int]]:
-    """(document, item, cosine, common words, answer found, first word) of the best match of each item in a document."""
+def _pairs(place: np.ndarray, begin: np.ndarray, end: np.ndarray, level: Level, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(window, item, latent cosine) of both searches; the cosine is 0 for pairs of the exact search."""
+    for space in level.spaces:
+        yield from latent.search(space, place, begin, end, MIN_LATENT)
+    for window, item in _candidates(place, begin, end, level, least):
+        yield window, level.items[item], np.zeros(len(item), np.float32)
+
+
+def _hits(found: Words, index: Index, min_cosine: float) -> list[tuple]:
+    """(document, item, cosine, common words, answer found, first word, latent cosine) of the best match of each item in a document."""
     known = _table(index.hashes.tobytes(), 20)[(found.hash >> _U(44)).astype(np.int64)]
     place = np.full(len(found.hash), -1, np.int64)
     at = np.flatnonzero(known)
@@ -233,44 +264,48 @@ def _hits(found: Words, index: Index, min_cosine: float) -> list[tuple[int, int,
         return []
     spots = np.sort(place[at] * n + at)
     least = min_cosine * min_cosine - 1e-9
+    words_of = np.array([len(x) for x in index.item_words], np.int64)
     best: dict[tuple[int, int], tuple] = {}
     for level in index.levels:
         doc, begin, end = passages(found, WINDOW << level.double, STRIDE << level.double)
-        for window, item in _candidates(place, begin, end, level, least):
-            item = level.items[item]
+        for window, item, cosine in _pairs(place, begin, end, level, least):
             for k in range(0, len(item), 20_000):
-                w, i = window[k : k + 20_000], item[k : k + 20_000]
+                w, i, near_by = window[k : k + 20_000], item[k : k + 20_000], cosine[k : k + 20_000]
+                size = words_of[i]
                 each, of = _ranges(index.first[i], index.first[i + 1])
-                share = np.bincount(of, index.share[each] * _inside(spots, n, index.place[each], begin[w][of], end[w][of]), minlength=len(i))
-                some = np.flatnonzero(share >= least)
-                w, i, share = w[some], i[some], share[some]
-                size = np.array([len(index.item_words[x]) for x in i], np.int64)
                 lo, hi = np.maximum(found.first[doc[w]], begin[w] - size), np.minimum(found.first[doc[w] + 1], end[w] + size)
-                each, of = _ranges(index.first[i], index.first[i + 1])
+                share = np.bincount(of, index.share[each] * _inside(spots, n, index.place[each], begin[w][of], end[w][of]), minlength=len(i))
                 most = np.bincount(of, index.times[each] * _inside(spots, n, index.place[each], lo[of], hi[of]), minlength=len(i))
-                for x in np.flatnonzero(100 * most >= LCS_WITH_ANSWER * size).tolist():
+                enough = np.where(near_by > 0, LCS_PARAPHRASE, LCS_WITH_ANSWER)
+                for x in np.flatnonzero(((near_by > 0) | (share >= least)) & (100 * most >= enough * size)).tolist():
                     own, near = index.item_words[i[x]], found.hash[lo[x] : hi[x]]
-                    common = common_subsequence(own, near)
-                    if 100 * common < LCS_WITH_ANSWER * len(own):
-                        continue
                     answer = _contains(near, index.answers[i[x]])
-                    if answer or 100 * common >= LCS_ALONE * len(own):
+                    if len(own) < SHORT_ITEM:
+                        need = 100 if _contains(near, own) else 101
+                    else:
+                        need = int(enough[x]) if answer else LCS_ALONE
+                    if 100 * most[x] < need * len(own):
+                        continue
+                    common = common_subsequence(own, near)
+                    if 100 * common >= need * len(own):
                         d = int(doc[w[x]])
-                        new = (common, answer, min(1.0, float(np.sqrt(share[x]))), -int(begin[w[x]] - found.first[d]))
+                        new = (common, answer, min(1.0, float(np.sqrt(share[x]))), -int(begin[w[x]] - found.first[d]), float(near_by[x]))
                         best[d, int(i[x])] = max(new, best.get((d, int(i[x])), new))
-    return [(d, item, cosine, common, answer, -at) for (d, item), (common, answer, cosine, at) in sorted(best.items())]
+    return [(d, item, cosine, common, answer, -at, near_by) for (d, item), (common, answer, cosine, at, near_by) in sorted(best.items())]
 
 
-_MATCH = "array<struct<item_id:bigint,cosine:double,common_words:bigint,item_words:bigint,answer:boolean,at:bigint>>"
+_MATCH = "array<struct<item_id:bigint,cosine:double,common_words:bigint,item_words:bigint,answer:boolean,at:bigint,latent:double>>"
 
 
 def mark(docs: DataFrame, index: Index | None, carry: list[str], min_cosine: float = MIN_COSINE) -> DataFrame:
     """Every document with ``matches``: the benchmark items it contains. Carried columns keep their values.
 
-    A match has a cosine of ``min_cosine`` or more between the item and what a window covers of it, and around the window (one
-    length of the item to either side) either ``LCS_ALONE`` percent of the item's words as a common subsequence, or
-    ``LCS_WITH_ANSWER`` percent and the item's answer word for word. Words are compared with A-Z in lower case. Null and empty texts match nothing; repeated rows match alike; items with fewer than
-    ``MIN_ITEM_WORDS`` words, or without id or text, are not searched; an empty benchmark matches nothing.
+    A match has a cosine of ``min_cosine`` or more between the item and what a window covers of it, or of ``MIN_LATENT`` in the
+    latent space, and around the window (one length of the item to either side) either ``LCS_ALONE`` percent of the item's words as
+    a common subsequence, or ``LCS_WITH_ANSWER`` percent (``LCS_PARAPHRASE`` for a latent match) and the item's answer word for word.
+    Items with fewer than ``SHORT_ITEM`` words have to stand there word for word. Words are compared with A-Z in lower case. Null and
+    empty texts match nothing; repeated rows match alike; items without id, text or words are not searched; an empty benchmark
+    matches nothing.
     """
     spark = docs.sparkSession
     store.prepare(spark)
@@ -282,32 +317,36 @@ def mark(docs: DataFrame, index: Index | None, carry: list[str], min_cosine: flo
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField(out, T._parse_datatype_string(_MATCH))])
     own = docs.select(*(F.col(c) for c in carry), F.col("text").alias(text))
     shared = spark.sparkContext.broadcast(index)
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("common_words", pa.int64()), ("item_words", pa.int64()), ("answer", pa.bool_()), ("at", pa.int64())]))
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("common_words", pa.int64()), ("item_words", pa.int64()), ("answer", pa.bool_()), ("at", pa.int64()), ("latent", pa.float64())]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             for part in blocks(batch, text):
                 matches: list[list[dict]] = [[] for _ in range(part.num_rows)]
-                for d, item, cosine, common, answer, at in _hits(words(part.column(text), lower=True), index, min_cosine) if index else []:
-                    matches[d].append({"item_id": int(index.item_ids[item]), "cosine": cosine, "common_words": common, "item_words": len(index.item_words[item]), "answer": answer, "at": at})
+                for d, item, cosine, common, answer, at, near in _hits(words(part.column(text), lower=True), index, min_cosine) if index else []:
+                    matches[d].append({"item_id": int(index.item_ids[item]), "cosine": cosine, "common_words": common, "item_words": len(index.item_words[item]), "answer": answer, "at": at, "latent": near})
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(matches, kind)], names=[*names, out])
 
     return own.mapInArrow(rows, schema)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and benchmark item found in it."""
-    index = build_index(docs.sparkSession, docs, benchmark)
-    found = mark(docs, index, ["doc_id"]).select("doc_id", F.explode("matches").alias("m"))
-    return found.select("doc_id", "m.item_id", F.round("m.cosine", 4).alias("cosine"), "m.common_words", "m.item_words", "m.answer", "m.at")
+    """One row per document and benchmark item found in it; ``latent`` is 0 where only the exact search found it."""
+    pieces = [mark(docs, index, ["doc_id"]) for index in indexes(docs, benchmark) or [None]]
+    found = reduce(DataFrame.unionByName, pieces).select("doc_id", F.explode("matches").alias("m"))
+    return found.select("doc_id", "m.item_id", F.round("m.cosine", 4).alias("cosine"), "m.common_words", "m.item_words", "m.answer", "m.at", F.round("m.latent", 4).alias("latent"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a match, with the columns they came with."""
-    index = build_index(docs.sparkSession, docs, benchmark)
     columns = docs.columns
+    found = indexes(docs, benchmark)
     if "matches" in columns:
         inner = docs.select(F.struct(*(F.col(c) for c in columns)).alias("row"), "text")
-        return mark(inner, index, ["row"]).filter(F.size("matches") == 0).select("row.*")
-    return mark(docs, index, columns).filter(F.size("matches") == 0).select(*columns)
+        for index in found:
+            inner = mark(inner, index, ["row", "text"]).filter(F.size("matches") == 0).select("row", "text")
+        return inner.select("row.*")
+    for index in found:
+        docs = mark(docs, index, columns).filter(F.size("matches") == 0).select(*columns)
+    return docs

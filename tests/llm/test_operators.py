@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontam, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, store, viterbi
+from riskflow.llm import decontam, latent, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, store, viterbi
 from riskflow.llm.components import components
 from riskflow.llm.queries import TOKENIZER, VOCABULARY
 from riskflow.llm.text import words
@@ -363,6 +363,55 @@ def test_leaks_of_many_items(spark):
     check_quotes(*quotes(spark, [30] * 1200, 1))
 
 
+@pytest.mark.parametrize("pieces, times", [(1, 100), (3, 20)])
+def test_latent_search_finds_what_the_exact_search_finds(spark, monkeypatch, pieces, times):
+    """Up to 1,200 items of 1 to 500 words, in one index or several; the latent search alone reaches a recall of 0.9."""
+    docs, bench, texts, items = quotes(spark, [1, 2, 4, 10, 15, 20, 30, 41, 60, 100, 300, 500] * times, 3)
+    monkeypatch.setattr(decontam, "PIECE_CHARS", sum(map(len, items)) // pieces + 1)
+    assert len(decontam.indexes(docs, bench)) == pieces
+    low = lambda text: re.sub("[A-Z]+", lambda m: m[0].lower(), text)
+    held = [" " + " ".join(split(low(t))) + " " for t in texts]
+    want = {(d, k) for k, v in enumerate(items) for d, t in enumerate(held) if " " + " ".join(split(low(v))) + " " in t}
+    rows = decontam.leaks(docs, bench).collect()
+    assert want <= {(r.doc_id, r.item_id) for r in rows}
+    assert all(r.common_words == r.item_words for r in rows if r.item_words < decontam.SHORT_ITEM)
+    near = {(r.doc_id, r.item_id) for r in rows if r.latent > 0}
+    by_size = {n: [(d, k) in near for d, k in want if len(split(items[k])) == n] for n in (1, 2, 4, 10, 15, 20, 30, 41, 60, 100, 300, 500)}
+    assert np.mean([x for n, own in by_size.items() if n >= 4 for x in own]) >= 0.9
+
+
+def test_leaks_of_paraphrases_and_short_items(spark):
+    items = [
+        "Which city became the seat of government of the French republic after the war? The capital of France is the city of Paris.",
+        "capital of France? Paris",
+        "Name the process by which green plants turn light into sugar. Plants make sugar by photosynthesis in their leaves.",
+    ]
+    around = " ".join(f"filler{k}" for k in range(60))
+    texts = [
+        f"{around} where did ministers of that nation settle once peace came? the capital of France is the city of Paris. {around}",
+        f"{around} the capital of france? paris {around}",
+        f"{around} paris is a capital and france? a country {around}",
+        f"{around} how do plants gain energy from light? Plants make sugar by photosynthesis in their leaves. {around}",
+        f"{around} green plants and light, sugar and leaves, the war and the city {around}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontam.leaks(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(0, 0), (1, 1), (3, 2)}
+    assert all(r.latent >= decontam.MIN_LATENT for r in rows if r.item_id != 1)
+    assert decontam.keep_clean(docs, spark.createDataFrame([(None, "x"), (1, ""), (2, None)], "item_id long, text string")).count() == 5
+
+
+def test_randomised_svd():
+    rng = np.random.default_rng(0)
+    low = rng.standard_normal((90, 12)) @ rng.standard_normal((12, 400))
+    basis = latent.randomised_svd(low, 64)
+    assert basis.shape == (400, 12) and np.allclose(basis.T @ basis, np.eye(12)) and np.allclose(low @ basis @ basis.T, low)
+    noisy = low + 0.01 * rng.standard_normal(low.shape)
+    best = np.linalg.svd(noisy)[1]
+    assert np.allclose(np.linalg.norm(noisy @ latent.randomised_svd(noisy, 12), axis=0), best[:12], rtol=1e-3)
+    assert latent.randomised_svd(np.ones((1, 3)), 64).shape == (3, 1)
+
+
 def test_common_subsequence():
     assert decontam.common_subsequence(np.array([1, 2, 3, 4]), np.array([2, 9, 3, 1, 4])) == 3
 
