@@ -77,6 +77,7 @@ class Index:
     item_ids: np.ndarray
     item_words: list[np.ndarray]
     answers: list[np.ndarray]
+    answer_key: np.ndarray  # place of the answer's rarest word, -1 without an answer
     levels: list[Level]
 
 
@@ -183,7 +184,9 @@ def build_index(spark: SparkSession, counts: np.ndarray, items: DataFrame) -> In
         some = some[np.argsort(place[some], kind="stable")]
         starts = np.searchsorted(place[some], np.arange(len(hashes) + 1))
         levels.append(Level(d, items, starts, np.searchsorted(items, item[some]), share[some], rest[items], [x for (k, _), x in zip(groups, spaces) if k == c]))
-    return Index(hashes, first, place, times, share, np.array([rows[k].item_id for k in long]), own, [_answer(rows[k].text) for k in long], levels)
+    answers = [_answer(rows[k].text) for k in long]
+    key = [min(np.searchsorted(hashes, x).tolist(), key=lambda at: counts[_bucket(hashes[at : at + 1])[0]], default=-1) for x in answers]
+    return Index(hashes, first, place, times, share, np.array([rows[k].item_id for k in long]), own, answers, np.array(key, np.int64), levels)
 
 
 def _answer(text: str) -> np.ndarray:
@@ -247,8 +250,9 @@ def _inside(spots: np.ndarray, n: int, place: np.ndarray, begin: np.ndarray, end
 
 def _pairs(place: np.ndarray, begin: np.ndarray, end: np.ndarray, level: Level, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(window, item, latent cosine) of both searches; the cosine is 0 for pairs of the exact search."""
+    known = np.flatnonzero(place >= 0)
     for space in level.spaces:
-        yield from latent.search(space, place, begin, end, MIN_LATENT)
+        yield from latent.search(space, known, place[known], begin, end, MIN_LATENT)
     for window, item in _candidates(place, begin, end, level, least):
         yield window, level.items[item], np.zeros(len(item), np.float32)
 
@@ -276,10 +280,14 @@ def _hits(found: Words, index: Index, min_cosine: float) -> list[tuple]:
                 lo, hi = np.maximum(found.first[doc[w]], begin[w] - size), np.minimum(found.first[doc[w] + 1], end[w] + size)
                 share = np.bincount(of, index.share[each] * _inside(spots, n, index.place[each], begin[w][of], end[w][of]), minlength=len(i))
                 most = np.bincount(of, index.times[each] * _inside(spots, n, index.place[each], lo[of], hi[of]), minlength=len(i))
+                # An answer can only stand where its rarest word does.
+                key = index.answer_key[i]
+                may = (key >= 0) & _inside(spots, n, np.maximum(key, 0), lo, hi)
                 enough = np.where(near_by > 0, LCS_PARAPHRASE, LCS_WITH_ANSWER)
-                for x in np.flatnonzero(((near_by > 0) | (share >= least)) & (100 * most >= enough * size)).tolist():
+                reach = 100 * most >= np.where(may, enough, LCS_ALONE) * size
+                for x in np.flatnonzero(((near_by > 0) | (share >= least)) & reach).tolist():
                     own, near = index.item_words[i[x]], found.hash[lo[x] : hi[x]]
-                    answer = _contains(near, index.answers[i[x]])
+                    answer = bool(may[x]) and _contains(near, index.answers[i[x]])
                     if len(own) < SHORT_ITEM:
                         need = 100 if _contains(near, own) else 101
                     else:

@@ -69,11 +69,15 @@ def fit(spark: SparkSession, blocks: list[np.ndarray], first: np.ndarray, place:
     return out
 
 
-def search(space: Space, place: np.ndarray, begin: np.ndarray, end: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(window, item, cosine) of all windows (word ranges, ascending) and items of the space with a cosine of ``least`` or more."""
-    own = np.minimum(np.searchsorted(space.places, place), len(space.places) - 1)
-    at = np.flatnonzero(space.places[own] == place)
-    own = own[at]
+def search(space: Space, at: np.ndarray, place: np.ndarray, begin: np.ndarray, end: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(window, item, cosine) of all windows (word ranges, ascending) and items of the space with a cosine of ``least`` or more.
+
+    ``at`` and ``place`` are the words of the vocabulary, ascending, and their places in it.
+    """
+    row = np.full(max(int(place.max(initial=0)), int(space.places[-1])) + 1, -1, np.int32)
+    row[space.places] = np.arange(len(space.places))
+    own = row[place]
+    at, own = at[own >= 0], own[own >= 0]
     lo, hi = np.searchsorted(at, begin), np.searchsorted(at, end)
     k = 0
     while k < len(begin):
