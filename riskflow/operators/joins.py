@@ -1,4 +1,4 @@
-"""An equi-join that stays balanced when one key holds a large share of the left rows."""
+"""Equi-joins of two large tables: no side is sent to all tasks, and one very frequent key keeps no task waiting."""
 
 from __future__ import annotations
 
@@ -10,6 +10,15 @@ from riskflow.operators.ranking import BROADCAST_ROWS
 HOT_ROWS = 1_000_000
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """Marks a table that grows with the input as one to sort, in whatever join it takes part.
+
+    Spark takes the size of a table from its files, which are compressed, and would send one of many millions of rows to
+    every task, through the driver.
+    """
+    return df.hint("merge")
+
+
 def join_unique(
     left: DataFrame,
     right: DataFrame,
@@ -31,7 +40,7 @@ def join_unique(
     limit = max(hot_rows, (top["all"] or 0) // BROADCAST_ROWS)
     # Ask before paying for the salted plan.
     if (top["most"] or 0) <= limit:
-        return left.join(right, key, how)
+        return left.join(sorted_side(right), key, how)
     salts = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
     hot = F.broadcast(sizes.where((F.col("_n") > limit) & F.col(key).isNotNull()).select(key, salts.alias("_salts")))
     # A null key has no row among the hot ones; without a partner, any sub-key will do.
@@ -39,4 +48,4 @@ def join_unique(
     spread = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), pieces).cast("int")).drop("_salts")
     copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
-    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    return spread.join(sorted_side(repeated), [key, "_salt"], how).drop("_salt")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.contract import INPUT_COLS, TARGET
 from riskflow.functions import hash_bucket
+from riskflow.operators.joins import sorted_side
 from riskflow.operators.quality import validate
 from riskflow.params import Params
 from riskflow.session import stage
@@ -46,11 +47,11 @@ def split_new_labels(rows: DataFrame, old: DataFrame, params: Params = Params(),
     own = F.col("patient_nbr") if "patient_nbr" in rows.columns else F.lit(None)
     known = old.select("encounter_id", "patient_nbr")
     if patients is not None:
-        known = known.unionByName(patients.select("encounter_id", "patient_nbr").join(rows.select("encounter_id").distinct(), "encounter_id", "left_semi"))
+        known = known.unionByName(patients.select("encounter_id", "patient_nbr").join(sorted_side(rows.select("encounter_id").distinct()), "encounter_id", "left_semi"))
     of_encounter = known.groupBy("encounter_id").agg(F.max("patient_nbr").alias("_known"))
     of_patient = old.where(F.col("patient_nbr").isNotNull()).groupBy("patient_nbr").agg(F.min("split").alias("_split"))
-    found = rows.withColumn("_own", own.cast("bigint")).drop("patient_nbr").join(of_encounter, "encounter_id", "left")
-    found = found.withColumn("patient_nbr", F.coalesce("_own", "_known")).drop("_own", "_known").join(of_patient, "patient_nbr", "left")
+    found = rows.withColumn("_own", own.cast("bigint")).drop("patient_nbr").join(sorted_side(of_encounter), "encounter_id", "left")
+    found = found.withColumn("patient_nbr", F.coalesce("_own", "_known")).drop("_own", "_known").join(sorted_side(of_patient), "patient_nbr", "left")
     key = F.coalesce(F.col("patient_nbr").cast("string"), F.col("encounter_id").cast("string"))
     split = F.when(hash_bucket(key, params.seed) < params.new_train_share, "train").otherwise("test")
     return found.withColumn("split", F.coalesce("_split", split)).drop("_split")
@@ -63,7 +64,7 @@ def merge_labeled(old: DataFrame, new: DataFrame) -> DataFrame:
     """
     kept = new.select(*[F.col(f"`{c}`") for c in old.columns if c in new.columns])
     keys = new.select("encounter_id").distinct()
-    return old.join(keys, "encounter_id", "left_anti").select(
+    return old.join(sorted_side(keys), "encounter_id", "left_anti").select(
         *[F.col(f"`{c}`") for c in old.columns]
     ).unionByName(kept, allowMissingColumns=True)
 

@@ -17,6 +17,7 @@ from riskflow.functions import (
 from riskflow.operators import boosting, cohort, drift, evaluation, features, gate, models, monitoring, quality
 from riskflow.operators import retrain, scoring, telemetry
 from riskflow.operators.isotonic import isotonic_pools
+from riskflow.operators.joins import sorted_side
 from riskflow.operators.ranking import exact_quantiles, histogram, value_counts
 from riskflow.params import Params
 from riskflow.plans import jobs
@@ -764,7 +765,7 @@ def stream_unlabelled(spark, d):
     run = _run_dir(spark)
     log = derived.prediction_log(spark, d)
     closed = log.where(F.col("features.discharge_disposition_id").cast("int").isin(*PARAMS.exclude_discharge_ids))
-    known = derived.label_log(spark, d).join(closed.select("features.encounter_id").distinct(), "encounter_id", "left_anti")
+    known = derived.label_log(spark, d).join(sorted_side(closed.select("features.encounter_id").distinct()), "encounter_id", "left_anti")
     sinks.append_log(log, f"{run}/predictions")
     sinks.append_log(known, f"{run}/labels")
     joined = streams.join_labels(

@@ -17,6 +17,7 @@ from riskflow import contract as C
 from riskflow.functions import hash_bucket, with_lace
 from riskflow.functions.clinical import LACE_FLAG_AT, LACE_MAX
 from riskflow.operators.history import visit_sequence
+from riskflow.operators.joins import sorted_side
 from riskflow.session import shared_dir
 from riskflow.sources.datagen import DIAGNOSIS_POOL
 
@@ -120,7 +121,7 @@ def encounter_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
         )
     )
-    visits = visit_sequence(orders, "c", "ts", "k").join(customers, "c").join(lines, "k", "left")
+    visits = visit_sequence(orders, "c", "ts", "k").join(sorted_side(customers), "c").join(sorted_side(lines), "k", "left")
     zeros = {c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("n_lines", "qty", "n_ret")}
     return visits.withColumns(zeros).select(
         *[F.expr(sql).alias(name) for name, sql in encounter_sql().items()]

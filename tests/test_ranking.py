@@ -168,6 +168,17 @@ def test_salts_follow_the_measured_key_size(spark):
     assert join_unique(left, right, "k", F.col("row"), hot_rows=4000)._jdf.queryExecution().optimizedPlan().toString().count("_salt") == 0
 
 
+def test_joined_tables_are_not_sent_to_all_tasks(spark):
+    """Both tables look small to Spark, as millions of rows in compressed files do."""
+    left = spark.range(300).select((F.col("id") % 40).alias("k"), F.col("id").alias("row"))
+    right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    assert "BroadcastHashJoin" in left.join(right, "k")._jdf.queryExecution().executedPlan().toString()
+    for how in ("inner", "left"):
+        joined = join_unique(left, right, "k", F.col("row"), how=how)
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k", how).collect()))
+
+
 def test_ranges_stay_small_and_exact_with_one_huge_group(spark):
     """One group of 20,000 values (a null key), one of 7,000 and 1,000 of 3; two levels of offsets."""
     g = F.when(F.col("id") < 20_000, None).when(F.col("id") < 27_000, -1).otherwise(F.col("id") % 1000)
