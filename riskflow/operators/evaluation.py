@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions import age_start
-from riskflow.operators.ranking import quantiles, running_totals, value_counts
+from riskflow.operators.ranking import join_groups, quantiles, running_totals, value_counts
 from riskflow.params import Params
 from riskflow.session import stage
 
@@ -96,7 +96,7 @@ def recall_precision_at_k(
     totals = totals.withColumn("k", k)
     full = F.col("cum_n") < F.col("k")
     boundary = stage(
-        curve.join(totals, keys).groupBy(*keys, "n_rows", "n_pos", "k").agg(
+        join_groups(curve, totals, keys).groupBy(*keys, "n_rows", "n_pos", "k").agg(
             F.max(F.when(~full, F.col("value"))).alias("edge"),
             F.coalesce(F.max(F.when(full, F.col("cum_n"))), F.lit(0)).alias("n_above"),
             F.coalesce(F.max(F.when(full, F.col("cum_pos"))), F.lit(0)).alias("pos_above"),
@@ -104,13 +104,13 @@ def recall_precision_at_k(
     )
     edges = boundary.select(*keys, F.col("edge").alias("score"))
     # One boundary row per model; models are named by whoever calls.
-    tied = rows.withColumn("score", F.col("score").cast("double")).join(edges, [*keys, "score"])
+    tied = join_groups(rows.withColumn("score", F.col("score").cast("double")), edges, [*keys, "score"])
     ties = stage(tied.groupBy(*keys, F.col("encounter_id").alias("value")).agg(
         F.count("*").alias("n"), F.sum(F.col("target").cast("bigint")).alias("pos")
     ))
     ranked = running_totals(ties, ["n", "pos"], tuple(keys))
     taken = (
-        ranked.join(boundary, keys)
+        join_groups(ranked, boundary, keys)
         .where(F.col("cum_n") <= F.col("k") - F.col("n_above"))
         .groupBy(*keys).agg(F.max("cum_pos").alias("pos_tied"))
     )
@@ -152,7 +152,7 @@ def group_recall(
     limits = score_threshold(counts, k_frac, tuple(keys))
     dims = [F.struct(F.lit(d).alias("dim"), v.alias("value")) for d, v in subgroups()]
     # One threshold for all rows is a value, not a join.
-    limited = rows.join(limits, keys) if by else rows.withColumn("threshold", limits.select("threshold").scalar()).where("threshold IS NOT NULL")
+    limited = join_groups(rows, limits, keys) if by else rows.withColumn("threshold", limits.select("threshold").scalar()).where("threshold IS NOT NULL")
     flagged = limited.select(
         *keys, (F.col("score") >= F.col("threshold")).cast("int").alias("flagged"), "target",
         F.inline(F.array(*dims)),

@@ -69,6 +69,16 @@ def join_ranges(left: DataFrame, right: DataFrame, by: Iterable[str], name: str,
     return left.join(other, same).drop(*[f"_of_{k}" for k in keys])
 
 
+def join_groups(left: DataFrame, right: DataFrame, by: Iterable[str]) -> DataFrame:
+    """Add to each row what ``right`` has for its group, in one row each (an inner join).
+
+    A join on the group alone would bring each group to one task, however many rows it has. ``right`` is staged and counted;
+    the rows of up to ``BROADCAST_ROWS`` groups go to the rows they describe instead.
+    """
+    found = stage(right)
+    return left.join(_small(found, found.count()), list(by))
+
+
 def running_totals(
     values: DataFrame,
     sums: list[str],

@@ -179,6 +179,26 @@ def test_joined_tables_are_not_sent_to_all_tasks(spark):
         assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k", how).collect()))
 
 
+def test_rows_of_a_group_are_not_brought_together(spark):
+    """Two models of 20,000 rows, with automatic broadcasts off, as for tables beyond their limit."""
+    scored = stage(spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("model"), F.col("id").alias("encounter_id"),
+        (F.pmod(F.xxhash64("id"), F.lit(997)) / 997).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("target"),
+        F.lit("Male").alias("gender"), F.lit("Other").alias("race"), F.lit("[50-60)").alias("age")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        groups = evaluation.group_recall(scored, 0.1, ("model",))
+        assert "SortMergeJoin" not in groups._jdf.queryExecution().executedPlan().toString()
+        topk = evaluation.recall_precision_at_k(scored, 0.1, ("model",)).orderBy("model").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert groups.where("dim = 'gender'").count() == 2
+    for row in topk:
+        own = scored.where(F.col("model") == row["model"]).orderBy(F.desc("score"), "encounter_id").limit(2000)
+        assert (row["k"], row["true_positives"]) == (2000, own.where("target = 1").count())
+
+
 def test_ranges_stay_small_and_exact_with_one_huge_group(spark):
     """One group of 20,000 values (a null key), one of 7,000 and 1,000 of 3; two levels of offsets."""
     g = F.when(F.col("id") < 20_000, None).when(F.col("id") < 27_000, -1).otherwise(F.col("id") % 1000)
