@@ -9,6 +9,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Wide projections compile to methods the JVM would only interpret; beyond so many bytes Spark splits them instead.
+LARGEST_METHOD = "8000"
+
+
+def settle(spark: SparkSession) -> None:
+    """What the queries rely on in whatever session they are given: times in UTC, and wide projections in small methods."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", LARGEST_METHOD)
+
+
 def local_session(cpus: str = "8", app: str = "riskflow", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks. A cluster brings its own settings."""
     builder = (
@@ -18,8 +28,7 @@ def local_session(cpus: str = "8", app: str = "riskflow", **conf: str) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         # Small test tables would otherwise be merged into one or two tasks.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        # Wide projections compile to methods the JVM would only interpret; this splits them instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", LARGEST_METHOD)
         # Recording the Python call site of every column costs more than small queries take.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.codegen.cache.maxEntries", "2000")

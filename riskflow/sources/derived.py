@@ -18,7 +18,7 @@ from riskflow.functions import hash_bucket, with_lace
 from riskflow.functions.clinical import LACE_FLAG_AT, LACE_MAX
 from riskflow.operators.history import visit_sequence
 from riskflow.operators.joins import sorted_side
-from riskflow.session import shared_dir
+from riskflow.session import settle, shared_dir
 from riskflow.sources.datagen import DIAGNOSIS_POOL
 
 PERIOD_CUT = "1999-01-01"
@@ -100,7 +100,7 @@ FAULTS = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    settle(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -137,7 +137,7 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     Operators start from a stored encounter table, so this is one, with columns to prune and filters
     to push down. All encounters are in it.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    settle(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
         view = encounter_view(spark, sf_dir)
