@@ -23,43 +23,105 @@ from riskflow.llm.text import blocks, words
 
 TOPICS = 8
 FEATURES = 512
-FIT_DOCS = 2000
+ROUNDS = 20
+ONE = 1 << 24
 NONE = ""
 _U = np.uint64
 
 
-def _profiles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Damped counts of hashed words of each text, at unit length, and its number of words."""
-    found = words(column, lower=True)
-    n = len(found.n)
-    counts = np.bincount(found.doc * FEATURES + (found.hash >> _U(55)).astype(np.int64), minlength=n * FEATURES).reshape(n, FEATURES)
+def _units(counts: np.ndarray) -> np.ndarray:
+    """Damped counts at unit length."""
     rows = np.sqrt(counts.astype(np.float32))
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9), found.n
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
-def fit_topics(docs: DataFrame, topics: int = TOPICS, fit_docs: int = FIT_DOCS) -> np.ndarray:
-    """Topic centres by k-means over a sample of about ``fit_docs`` documents, chosen by a hash of their text."""
-    store.prepare(docs.sparkSession)
-    some = docs.select("text").filter("text IS NOT NULL")
-    some = store.sample_texts(some, fit_docs, some.count())
+def _counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of hashed words of each text, and its number of words."""
+    found = words(column, lower=True)
+    n = len(found.n)
+    return np.bincount(found.doc * FEATURES + (found.hash >> _U(55)).astype(np.int64), minlength=n * FEATURES).reshape(n, FEATURES), found.n
+
 
+def _stored_counts(docs: DataFrame) -> DataFrame:
+    """(slot, n): the counts above zero of every document with a word."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(list(_profiles(part.column("text"))[0]), pa.list_(pa.float32()))], names=["x"])
-
-    found = sorted(tuple(r.x) for r in some.mapInArrow(rows, "x array<float>").toLocalIterator())
-    if not found:
-        return np.zeros((1, FEATURES), np.float32)
-    x = np.array(found, np.float32)
-    x = np.unique(x, axis=0)
-    centres = x[:1]
-    while len(centres) < min(topics, len(x)):  # the sample farthest from all centres so far
-        centres = np.vstack([centres, x[[(x @ centres.T).max(axis=1).argmin()]]])
-    for _ in range(20):
-        own = (x @ centres.T).argmax(axis=1)
-        sums = np.stack([x[own == k].sum(axis=0) if (own == k).any() else centres[k] for k in range(len(centres))])
-        centres = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+                counts, n = _counts(part.column("text"))
+                counts = counts[n > 0]
+                doc, slot = np.nonzero(counts)
+                ends = pa.array(np.searchsorted(doc, np.arange(len(counts) + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (slot.astype(np.int16), counts[doc, slot].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(lists, names=["slot", "n"])
+
+    return store.keep(docs.select("text").filter("text IS NOT NULL").mapInArrow(rows, "slot array<smallint>, n array<int>"), "profiles")
+
+
+def _stored_units(batch: pa.RecordBatch) -> np.ndarray:
+    slot, n = batch.column("slot"), batch.column("n")
+    at = np.repeat(np.arange(batch.num_rows), slot.value_lengths().to_numpy()) * FEATURES + slot.flatten().to_numpy()
+    return _units(np.bincount(at, n.flatten().to_numpy(), batch.num_rows * FEATURES).reshape(-1, FEATURES))
+
+
+def _farthest(profiles: DataFrame, centres: np.ndarray) -> np.ndarray | None:
+    """The document least like all centres; of equals the one with the smallest slots and counts."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _stored_units(batch)
+            near = np.round((x @ centres.T).max(axis=1, initial=0.0), 4).astype(float) if batch.num_rows else np.zeros(0)
+            least = np.flatnonzero(near == near.min(initial=2.0))
+            if len(least):
+                chosen = batch.take(pa.array(least))
+                yield pa.RecordBatch.from_arrays([pa.array(near[least]), chosen.column("slot"), chosen.column("n")], names=["near", "slot", "n"])
+
+    found = profiles.mapInArrow(rows, "near double, slot array<smallint>, n array<int>").orderBy("near", "slot", "n").limit(1).collect()
+    if not found or found[0]["near"] >= 0.9999:  # no document differs from all centres
+        return None
+    counts = np.zeros((1, FEATURES))
+    counts[0, found[0]["slot"]] = found[0]["n"]
+    return _units(counts)
+
+
+def _sums(profiles: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """Sums of the profiles nearest to each centre. Whole numbers, so they don't depend on how documents are dealt to tasks."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), FEATURES), np.int64)
+        for batch in batches:
+            x = _stored_units(batch)
+            own = np.round(x @ centres.T, 4).argmax(axis=1)
+            for k in range(len(centres)):
+                total[k] += np.rint(x[own == k].astype(np.float64) * ONE).astype(np.int64).sum(axis=0)
+        k, slot = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(total[k, slot])], names=["k", "slot", "total"])
+
+    out = np.zeros((len(centres), FEATURES), np.int64)
+    for r in profiles.mapInArrow(rows, "k int, slot int, total bigint").groupBy("k", "slot").agg(F.sum("total").alias("total")).collect():
+        out[r["k"], r["slot"]] = r["total"]
+    return out
+
+
+def fit_topics(docs: DataFrame, topics: int = TOPICS, rounds: int = ROUNDS) -> np.ndarray:
+    """Topic centres by k-means over all documents with a word.
+
+    Each document's word counts are stored once; every round is one pass over them that returns sums of each topic. Centres
+    start as documents far from each other, and stay as they are when no document is nearest to them.
+    """
+    store.prepare(docs.sparkSession)
+    profiles = _stored_counts(docs)
+    centres = np.zeros((0, FEATURES), np.float32)
+    while len(centres) < topics and (one := _farthest(profiles, centres)) is not None:
+        centres = np.vstack([centres, one])
+    if not len(centres):
+        centres = np.zeros((1, FEATURES), np.float32)
+        rounds = 0
+    for _ in range(rounds):
+        sums = _sums(profiles, centres).astype(np.float64)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        new = np.where(length > 0, sums / np.maximum(length, 1e-9), centres).astype(np.float32)
+        if np.array_equal(new, centres):
+            break
+        centres = new
+    store.remove(docs.sparkSession, [profiles])
     return centres
 
 
@@ -75,8 +137,8 @@ def with_topics(docs: DataFrame, centres: np.ndarray, carry: list[str], tokens:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, text):
-                x, n = _profiles(part.column(text))
-                nearest = np.round(x @ shared.value.T, 4).argmax(axis=1)
+                counts, n = _counts(part.column(text))
+                nearest = np.round(_units(counts) @ shared.value.T, 4).argmax(axis=1)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(n, pa.int64()), pa.array([f"topic{k}" for k in nearest])], names=[*names, tokens, topic])
 
     return docs.select(*(F.col(c) for c in carry), F.col("text").alias(text)).mapInArrow(rows, schema)
@@ -167,14 +229,14 @@ def draw() -> F.Column:
     return F.pmod(F.xxhash64(F.lit(23), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.coalesce("text", F.lit(""))), F.lit(1_000_003)) / 1_000_003
 
 
-def sample(docs: DataFrame, power: float = 0.5, budget: float = 0.5, topics: int = TOPICS, fit_docs: int = FIT_DOCS) -> DataFrame:
+def sample(docs: DataFrame, power: float = 0.5, budget: float = 0.5, topics: int = TOPICS) -> DataFrame:
     """All documents with their cell, tokens, probability and whether they are sampled; ``row`` holds what they came with.
 
     Null source or language is a category of its own; null and empty texts have no tokens, no probability and are not
     sampled. Equal rows are sampled alike. No documents give no rows.
     """
     marked = docs.select(F.struct("*").alias("row"), "text", "source", "lang", draw().alias("mix_draw"))
-    marked = with_topics(marked, fit_topics(docs, topics, fit_docs), ["row", "source", "lang", "mix_draw"])
+    marked = with_topics(marked, fit_topics(docs, topics), ["row", "source", "lang", "mix_draw"])
     table, _ = rake(cells(marked), power, budget)
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE))
     keyed = marked.select("row", "mix_tokens", "mix_draw", name("source").alias("source"), name("lang").alias("language"), F.col("mix_topic").alias("topic"))

@@ -430,6 +430,23 @@ def test_raking(spark, docs, none):
     assert raking.keep_sampled(docs).columns == docs.columns and raking.sample(none).count() == 0
 
 
+def test_topics_are_fitted_on_all_documents(spark, none):
+    """Two words make up 6,000 texts, and one text of another kind must have its topic, however rare it is."""
+    texts = [(f"alpha a{k % 3000}" if k % 2 else f"beta b{k % 3000}",) for k in range(6000)] + [("omega " * 40,), (None,), (" ",)]
+    table = spark.createDataFrame(texts, "text string")
+    centres = raking.fit_topics(table, 3)
+    assert centres.shape == (3, raking.FEATURES) and np.allclose(np.linalg.norm(centres, axis=1), 1, atol=1e-5)
+    other = raking.fit_topics(table.repartition(7), 3)
+    assert np.array_equal(centres, other)
+    x = raking._units(raking._counts(pa.array([t for (t,) in texts[:6001]]))[0])
+    near = (x @ centres.T).argmax(axis=1)
+    # A fixed point of k-means over all of them, not over some.
+    for k in range(3):
+        total = x[near == k].astype(np.float64).sum(axis=0)
+        assert np.allclose(total / np.linalg.norm(total), centres[k], atol=1e-3)
+    assert raking.fit_topics(none, 3).shape == (1, raking.FEATURES)
+
+
 def test_pseudonyms(spark, docs, none):
     text = ("card 4785380592391139 or 4785-3805-9239-1139, +1 (743) 555-3824 and +1-743-555-3824, 152.143.123.131, 999.1.1.1, x.19@mail5.example.com, "
             "2024-02-29 2024-13-01 12/31/1999, DE89370400440532013000, 4785380592391130")
