@@ -3,27 +3,33 @@
 A row is a vector of small codes: the bin of each numeric feature and the category of each other one. Everything a tree
 needs from the rows is how many rows, and what sums of gradients and curvatures, each code has in each open leaf. Gradients
 are whole numbers of ``1 / ONE``, so these sums don't depend on who adds them up in which order, and the same trees come out
-of both ways to get them, which the number of training rows decides:
+of all ways to get them, which the number of training rows decides:
 
 * up to ``IN_TASK_ROWS`` one task holds the codes and grows all trees; the driver gets the model only;
-* beyond that each round of splits is one Spark aggregation over the stored rows, whose result is as large as the open
-  leaves times the codes. Every ``TREES_PER_PASS`` trees the rows are stored again with their margins.
+* beyond that the tasks of one barrier stage hold a share of the rows each, up to as many. They add up the counts of
+  every split by ``allGather`` and grow the same trees from the same sums, so rows are read once for a fit;
+* where the cores there are can't hold the rows so, each round of splits is one Spark aggregation over the stored rows, whose
+  result is as large as the open leaves times the codes. Every ``TREES_PER_PASS`` trees the rows are stored again with their
+  margins.
 
-In both, the larger child's counts are the parent's minus those of the smaller one.
+In all, the larger child's counts are the parent's minus those of the smaller one.
 """
 
 from __future__ import annotations
 
+import base64
 import heapq
 import json
 import math
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import BarrierTaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.contract import CAT_COLS, NUM_COLS
@@ -32,8 +38,10 @@ from riskflow.operators.ranking import quantiles
 from riskflow.session import keep
 
 MAX_BINS = 255
-#: Rows (27 codes of 4 bytes each) that one task may hold.
-IN_TASK_ROWS = 2_000_000
+#: Rows (about 100 bytes each) that one task may hold to grow trees, by itself or as its share of a barrier stage.
+IN_TASK_ROWS = 8_000_000
+#: Combinations of codes that are counted at once; their sums should fit into a core's cache.
+JOINT_CODES = 4096
 TREES_PER_PASS = 10
 ONE = 1 << 24
 LEAST_CURVATURE = 1e-3
@@ -195,6 +203,11 @@ class Layout:
         self.n = sum(self.sizes)
         self.feature = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.is_ordered = self.ordered[self.feature]
+        self.joint: list[list[int]] = [[]]
+        for f, size in enumerate(self.sizes):
+            if math.prod([size, *(self.sizes[k] for k in self.joint[-1])]) > JOINT_CODES and self.joint[-1]:
+                self.joint.append([])
+            self.joint[-1].append(f)
 
     def slots(self, codes: np.ndarray) -> np.ndarray:
         return codes + self.first.astype(np.int32)
@@ -300,38 +313,94 @@ def histogram(slots: np.ndarray, g: np.ndarray, h: np.ndarray, n: int) -> np.nda
 
 
 class HeldRows:
-    """All training rows in memory."""
+    """All training rows in memory. Features share a code where their sizes allow it, so that they are counted together."""
 
     def __init__(self, codes: np.ndarray, target: np.ndarray, weight: np.ndarray, held_out: np.ndarray, base: float, layout: Layout):
-        self.layout, self.codes, self.target, self.weight = layout, codes, target, weight
-        self.slots, self.margin = layout.slots(codes), np.full(len(codes), base)
+        self.layout, self.codes, self.target, self.weight = layout, np.asfortranarray(compact(codes, layout)), target, weight
+        self.joint = [joint_code(self.codes, own, layout) for own in layout.joint]
+        self.margin = np.full(len(codes), base)
         self.fitted, self.tested = np.flatnonzero(~held_out), np.flatnonzero(held_out)
+        #: Rows of leaves, and of both sides of the splits that were asked for.
         self.of: dict[int, np.ndarray] = {}
+        self.sides: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def begin(self, trees: list[Tree]) -> tuple[int, np.ndarray]:
+        t = self.tested
         if trees:
-            self.margin = margins(self.codes, self.margin, trees[-1:], self.layout.ordered)
+            tree = trees[-1]
+            self.margin[t] = margins(self.codes[t], self.margin[t], [tree], self.layout.ordered)
+            for node in range(len(tree.feature)):
+                if tree.left[node] == node:
+                    for rows in self.sides[node] if node in self.sides else (self._rows(tree, node),):
+                        self.margin[rows] += tree.value[node]
         self.g, self.h = gradients(self.margin, self.target, self.weight)
-        self.of = {0: self.fitted}
-        t = self.tested
+        self.of, self.sides = {0: self.fitted}, {}
         return int(losses(self.margin[t], self.target[t], self.weight[t]).sum()), self._histogram(self.fitted)
 
     def _histogram(self, rows: np.ndarray) -> np.ndarray:
-        return histogram(self.slots[rows], self.g[rows], self.h[rows], self.layout.n)
+        """What ``histogram`` gives. Sums over shared codes are added up to those of each feature."""
+        g, h, out = self.g[rows], self.h[rows], np.empty((self.layout.n, 3), np.int64)
+        for own, joint in zip(self.layout.joint, self.joint):
+            code, sizes = joint[rows].astype(np.intp), [self.layout.sizes[f] for f in own]
+            for to, what in enumerate((None, g, h)):
+                sums = np.bincount(code, what, math.prod(sizes)).reshape(sizes)
+                for k, f in enumerate(own):
+                    first = self.layout.first[f]
+                    out[first : first + sizes[k], to] = sums.sum(axis=tuple(j for j in range(len(own)) if j != k))
+        return out
+
+    def _rows(self, tree: Tree, leaf: int) -> np.ndarray:
+        if leaf not in self.of:
+            parent = next(p for p in range(leaf) if leaf in (tree.left[p], tree.right[p]))
+            self.of[tree.left[parent]], self.of[tree.right[parent]] = self.sides.pop(parent)
+        return self.of[leaf]
 
     def smaller(self, tree: Tree, asked: list[tuple[int, int]]) -> list[np.ndarray]:
         out = []
         for node, child in asked:
-            rows, f, cut = self.of[node], tree.feature[node], tree.cut[node]
+            rows, f, cut = self._rows(tree, node), tree.feature[node], tree.cut[node]
             code = self.codes[rows, f]
             goes = code <= cut if self.layout.ordered[f] else code == cut
-            a, b = tree.left[node], tree.right[node]
-            # Node numbers of children are those the tree gives next, as only one leaf is asked for at a time.
-            self.of[a], self.of[b] = rows[goes], rows[~goes]
-            out.append(self._histogram(self.of[child]))
+            self.sides[node] = rows[goes], rows[~goes]
+            del self.of[node]
+            out.append(self._histogram(self.sides[node][child == tree.right[node]]))
         return out
 
 
+class SharedRows(HeldRows):
+    """One task's share of the training rows; losses and histograms are those of all tasks of its barrier stage."""
+
+    def begin(self, trees: list[Tree]) -> tuple[int, np.ndarray]:
+        loss, hist = super().begin(trees)
+        # The loss travels in a row of its own.
+        found = _added(np.vstack([hist, [[loss, 0, 0]]]))
+        return int(found[-1, 0]), found[:-1]
+
+    def smaller(self, tree: Tree, asked: list[tuple[int, int]]) -> list[np.ndarray]:
+        return list(_added(np.stack(super().smaller(tree, asked))))
+
+
+def _added(own: np.ndarray) -> np.ndarray:
+    """The sum of the arrays of whole numbers that the tasks of this barrier stage call it with."""
+    packed = base64.b64encode(zlib.compress(own.tobytes(), 1)).decode()
+    all_ = BarrierTaskContext.get().allGather(packed)
+    return sum(np.frombuffer(zlib.decompress(base64.b64decode(x)), np.int64) for x in all_).reshape(own.shape)
+
+
+def compact(codes: np.ndarray, layout: Layout) -> np.ndarray:
+    """Codes in as few bytes as they need."""
+    return codes.astype(np.min_scalar_type(max(layout.sizes)), copy=False)
+
+
+def joint_code(codes: np.ndarray, features: list[int], layout: Layout) -> np.ndarray:
+    """One code for the combination of the codes of some features."""
+    out = np.zeros(len(codes), np.min_scalar_type(math.prod(layout.sizes[f] for f in features)))
+    for f in features:
+        out *= out.dtype.type(layout.sizes[f])
+        out += codes[:, f].astype(out.dtype)
+    return out
+
+
 class StoredRows:
     """Training rows as a stored table: codes, target, weight, held_out and margin."""
 
@@ -447,20 +516,43 @@ def fit(rows: DataFrame, codes: Codes, how: Boosting, balanced: bool, seed: int,
     """
     layout, task = Layout(codes.sizes, codes.ordered), _task(rows, how, balanced, seed)
     base, stops = task.base, task.stops
-    if task.n > in_task_rows:
+    tasks = 1 if task.n <= in_task_rows else barrier_slots(rows.sparkSession)
+    if task.n > tasks * in_task_rows:
         trees = boost(StoredRows(task.rows, base, layout), layout, how, stops, ahead=how.leaves)
         return {"base": base, "trees": [asdict(t) for t in trees]}
+    kind = HeldRows if tasks == 1 else SharedRows
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(code_matrix(b), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("target", "weight", "held_out"))) for b in batches if b.num_rows]
-        trees = boost(HeldRows(*[np.concatenate(x) for x in zip(*parts)], base, layout), layout, how, stops, ahead=1) if parts else []
-        yield pa.RecordBatch.from_arrays([pa.array([json.dumps([asdict(t) for t in trees])])], names=["trees"])
-
-    # The rows are few, by the count above.
-    found = task.rows.repartition(1).mapInArrow(in_task, "trees string").collect()
+        parts = [
+            (compact(code_matrix(b), layout), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("target", "weight", "held_out")))
+            for b in batches if b.num_rows
+        ]
+        if not parts:
+            parts = [(np.zeros((0, len(layout.sizes)), np.uint8), np.zeros(0), np.zeros(0), np.zeros(0, bool))]
+        held = kind(*[np.concatenate(x) for x in zip(*parts)], base, layout)
+        del parts
+        # Every call of a barrier stage waits for all its tasks, about a second.
+        trees = boost(held, layout, how, stops, ahead=1 if tasks == 1 else how.leaves)
+        if tasks == 1 or BarrierTaskContext.get().partitionId() == 0:
+            yield pa.RecordBatch.from_arrays([pa.array([json.dumps([asdict(t) for t in trees])])], names=["trees"])
+
+    # Each task's rows are few, by the count above.
+    found = task.rows.repartition(tasks).mapInArrow(in_task, "trees string", barrier=tasks > 1).collect()
     return {"base": base, "trees": json.loads(found[0]["trees"]) if found else []}
 
 
+def barrier_slots(spark: SparkSession) -> int:
+    """Tasks that can run at the same time, as a barrier stage's must; 1 where Spark allows no such stage."""
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return 1
+    cores = spark.sparkContext.defaultParallelism
+    if conf.contains("spark.default.parallelism"):  # then it says nothing about cores
+        executors = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1  # the driver is listed too
+        cores = min(cores, executors * int(conf.get("spark.executor.cores", "1")))
+    return max(1, cores // int(conf.get("spark.task.cpus", "1")))
+
+
 def root_gains(rows: DataFrame, codes: Codes, how: Boosting, balanced: bool, seed: int) -> list[tuple[str, int, float | None]]:
     """(feature, codes that occur, best gain) at the root of the first tree; no gain where no split is allowed."""
     layout, task = Layout(codes.sizes, codes.ordered), _task(rows, how, balanced, seed)

@@ -88,6 +88,28 @@ def test_both_ways_give_the_same_trees(prepared, how, monkeypatch):
     assert held == stored and 0 < len(held["trees"]) <= how.rounds
 
 
+def test_tasks_of_a_barrier_stage_give_the_same_trees(prepared):
+    """Shares of the rows, some of them empty, in tasks that add up their counts."""
+    how = Boosting(step=0.3, rounds=3, leaves=6, l2=1.0, early_stop_rows=100, patience=2)
+    for rows, most in ((prepared.coded, 2000), (prepared.coded.limit(60), 10)):
+        held = boosting.fit(rows, prepared.codes, how, True, 1)
+        assert held == boosting.fit(rows, prepared.codes, how, True, 1, in_task_rows=most)
+
+
+def test_features_counted_together():
+    """Shared codes give the counts of each feature, with few and with many codes, and rows are read no wider than needed."""
+    rng = np.random.default_rng(3)
+    sizes = [6, 300, 4, 3, 5000, 2, 70]
+    layout = Layout(sizes, np.ones(7, bool))
+    assert sorted(f for own in layout.joint for f in own) == list(range(7)) and len(layout.joint) < 7
+    codes = np.stack([rng.integers(0, s, 500) for s in sizes], axis=1).astype(np.int32)
+    rows = boosting.HeldRows(codes, rng.integers(0, 2, 500) * 1.0, np.ones(500), rng.random(500) < 0.2, 0.3, layout)
+    _, root = rows.begin([])
+    own = rows.fitted
+    assert (root == boosting.histogram(layout.slots(codes[own]), rows.g[own], rows.h[own], layout.n)).all()
+    assert rows.codes.dtype == np.uint16 and sum(x.itemsize for x in rows.joint) <= 16
+
+
 def test_early_stopping_and_loss(prepared):
     fast = boosting.fit(prepared.coded, prepared.codes, Boosting(step=1.0, rounds=100, leaves=31, early_stop_rows=100, patience=3), False, 1)
     assert 3 <= len(fast["trees"]) < 60
