@@ -43,36 +43,47 @@ def _counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _stored_counts(docs: DataFrame) -> DataFrame:
-    """(slot, n): the counts above zero of every document with a word."""
+    """The counts above zero of every document with a word, many documents to a row.
+
+    (docs, ends, slot, n): how many documents, where the counts of each end, and slots and counts as arrays of bytes, which
+    pass between Spark and Python whole.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch):
                 counts, n = _counts(part.column("text"))
                 counts = counts[n > 0]
                 doc, slot = np.nonzero(counts)
-                ends = pa.array(np.searchsorted(doc, np.arange(len(counts) + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (slot.astype(np.int16), counts[doc, slot].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(lists, names=["slot", "n"])
+                ends = np.searchsorted(doc, np.arange(1, len(counts) + 1))
+                packed = (ends.astype(np.int32), slot.astype(np.int16), counts[doc, slot].astype(np.int32))
+                if len(counts):
+                    yield pa.RecordBatch.from_arrays([pa.array([len(counts)], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], names=["docs", "ends", "slot", "n"])
+
+    return store.keep(docs.select("text").filter("text IS NOT NULL").mapInArrow(rows, "docs int, ends binary, slot binary, n binary"), "profiles")
 
-    return store.keep(docs.select("text").filter("text IS NOT NULL").mapInArrow(rows, "slot array<smallint>, n array<int>"), "profiles")
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Where the counts of each document of a stored row end, their slots and the counts."""
+    for batch in batches:
+        for packed in zip(*(batch.column(c) for c in ("ends", "slot", "n"))):
+            yield tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(packed, (np.int32, np.int16, np.int32)))
 
-def _stored_units(batch: pa.RecordBatch) -> np.ndarray:
-    slot, n = batch.column("slot"), batch.column("n")
-    at = np.repeat(np.arange(batch.num_rows), slot.value_lengths().to_numpy()) * FEATURES + slot.flatten().to_numpy()
-    return _units(np.bincount(at, n.flatten().to_numpy(), batch.num_rows * FEATURES).reshape(-1, FEATURES))
+
+def _stored_units(ends: np.ndarray, slot: np.ndarray, n: np.ndarray) -> np.ndarray:
+    rows = np.zeros((len(ends), FEATURES), np.float32)
+    rows[np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), slot] = n
+    return _units(rows)
 
 
 def _farthest(profiles: DataFrame, centres: np.ndarray) -> np.ndarray | None:
     """The document least like all centres; of equals the one with the smallest slots and counts."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _stored_units(batch)
-            near = np.round((x @ centres.T).max(axis=1, initial=0.0), 4).astype(float) if batch.num_rows else np.zeros(0)
-            least = np.flatnonzero(near == near.min(initial=2.0))
-            if len(least):
-                chosen = batch.take(pa.array(least))
-                yield pa.RecordBatch.from_arrays([pa.array(near[least]), chosen.column("slot"), chosen.column("n")], names=["near", "slot", "n"])
+        for ends, slot, n in _unpacked(batches):
+            near = np.round((_stored_units(ends, slot, n) @ centres.T).max(axis=1, initial=0.0), 4).astype(float)
+            least = np.flatnonzero(near == near.min())
+            own = [slice(ends[k - 1] if k else 0, ends[k]) for k in least]
+            lists = [pa.array([x[at] for at in own], pa.list_(t)) for x, t in ((slot, pa.int16()), (n, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([pa.array(near[least]), *lists], names=["near", "slot", "n"])
 
     found = profiles.mapInArrow(rows, "near double, slot array<smallint>, n array<int>").orderBy("near", "slot", "n").limit(1).collect()
     if not found or found[0]["near"] >= 0.9999:  # no document differs from all centres
@@ -86,11 +97,12 @@ def _sums(profiles: DataFrame, centres: np.ndarray) -> np.ndarray:
     """Sums of the profiles nearest to each centre. Whole numbers, so they don't depend on how documents are dealt to tasks."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(centres), FEATURES), np.int64)
-        for batch in batches:
-            x = _stored_units(batch)
+        for ends, slot, n in _unpacked(batches):
+            x = _stored_units(ends, slot, n)
             own = np.round(x @ centres.T, 4).argmax(axis=1)
+            x = np.rint(x * np.float32(ONE)).astype(np.int64)
             for k in range(len(centres)):
-                total[k] += np.rint(x[own == k].astype(np.float64) * ONE).astype(np.int64).sum(axis=0)
+                total[k] += x[own == k].sum(axis=0)
         k, slot = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(total[k, slot])], names=["k", "slot", "total"])
 
