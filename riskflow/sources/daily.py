@@ -33,12 +33,16 @@ def days(spark: SparkSession, path: str) -> list[date]:
 
 
 def read_daily(spark: SparkSession, path: str, schema: T.StructType, since: date | None = None) -> DataFrame:
-    """The records from the folder that holds day ``since`` on, or all; no rows where nobody has written yet."""
-    if not days(spark, path) and not _exists(spark, path):
+    """The records from the folder that holds day ``since`` on, or all; no rows where nobody has written yet.
+
+    Where all folders begin a month, they may hold whole months, so the month of ``since`` is read from its beginning.
+    """
+    found = days(spark, path)
+    if not found and not _exists(spark, path):
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])).json(path)
     if since is not None:
-        start = max((d for d in days(spark, path) if d <= since), default=since)
+        start = since.replace(day=1) if all(d.day == 1 for d in found) else since
         rows = rows.where(F.col(DAY) >= F.lit(start))
     return rows.drop(DAY)
 
