@@ -797,7 +797,7 @@ def monitor_stream(spark, d):
 def stream_quarantine(spark, d):
     """Requests as a text stream, routed to accepted and quarantined tables."""
     run = _run_dir(spark)
-    derived.request_lines(spark, d).select("line").write.text(f"{run}/requests")
+    sinks.write_request_lines(derived.request_lines(spark, d), f"{run}/requests")
     streams.validate_stream(
         streams.stream_requests(spark, f"{run}/requests"), f"{run}/accepted", f"{run}/rejected", f"{run}/check"
     ).awaitTermination()
@@ -811,7 +811,7 @@ def stream_quarantine(spark, d):
 def stream_scores(spark, d):
     """Requests checked, scored by the rule index and logged by one stream; the log read back."""
     run = _run_dir(spark)
-    derived.request_lines(spark, d).select("line").write.text(f"{run}/requests")
+    sinks.write_request_lines(derived.request_lines(spark, d), f"{run}/requests")
     streams.score_stream(
         streams.stream_requests(spark, f"{run}/requests"), models.LaceModel(), 10 / 19, "lace", f"{run}/log",
         f"{run}/check", now=F.lit(SNAPSHOT_TIME).cast("timestamp"),

@@ -12,9 +12,22 @@ def write_splits(df: DataFrame, path: str) -> str:
     return path
 
 
+#: Records of a log repeat their field names, so that even a fast codec makes them several times smaller. Compressed files can't
+#: be split among readers, hence the limit on what one file holds.
+LOG_CODEC = "snappy"
+LOG_FILE_RECORDS = 500_000
+
+
 def append_log(df: DataFrame, path: str) -> None:
-    """Prediction, label or request records as JSON lines."""
-    df.write.mode("append").option("ignoreNullFields", False).json(path)
+    """Prediction, label or request records as JSON lines, compressed."""
+    writer = df.write.mode("append").option("ignoreNullFields", False).option("maxRecordsPerFile", LOG_FILE_RECORDS)
+    writer.option("compression", LOG_CODEC).json(path)
+
+
+def write_request_lines(df: DataFrame, path: str, line: str = "line") -> None:
+    """Requests as they came, one on a line, compressed."""
+    writer = df.select(line).write.mode("append").option("maxRecordsPerFile", LOG_FILE_RECORDS)
+    writer.option("compression", LOG_CODEC).text(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:

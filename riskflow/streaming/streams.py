@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from riskflow import contract as C
 from riskflow.operators import quality, scoring
 from riskflow.operators.telemetry import LATENCY_EDGES, bucket_flags, flag, flag_alerts, interpolate
-from riskflow.sources.sinks import alert_rows
+from riskflow.sources.sinks import LOG_CODEC, alert_rows
 from riskflow.streaming.windows import COMPACT_EVERY, window_writer
 
 # A label later than this after its prediction, or earlier than this before it, is not joined in the stream; batch jobs that
@@ -57,8 +57,8 @@ def _start(writer, checkpoint: str, available_now: bool, every: str = "1 minute"
 
 
 def log_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Append records as JSON lines, each exactly once. Read it back with ``spark.read`` on the folder."""
-    writer = df.writeStream.format("json").option("path", path).outputMode("append")
+    """Append records as compressed JSON lines, each exactly once. Read it back with ``spark.read`` on the folder."""
+    writer = df.writeStream.format("json").option("path", path).outputMode("append").option("compression", LOG_CODEC)
     return _start(writer.option("ignoreNullFields", False), checkpoint, available_now)
 
 
