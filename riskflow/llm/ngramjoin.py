@@ -16,10 +16,11 @@ Two sets that meet the threshold differ in at most ``slack`` shingles of either.
    comparison a member. In the keys whose members are not all in one component yet, members outside the component that the
    key has most of are compared with a member of that one, another for each key, until a round links nothing new. What is
    left are components that meet in a key without a link between them so far; pairs of their members are formed only if
-   their parity bits (below) allow a link, and verified. Links between components are thus never missed.
+   their parity bits (below) allow a link, and verified. Keys with the same members give the same pairs, so one of them is
+   enough. Links between components are thus never missed.
 
-Parity bits: every shingle of a set turns one of 512 bits over. Sets that differ in k shingles differ in at most k bits, so
-more differing bits than the threshold allows differing shingles rule a link out.
+Parity bits: every shingle of a set that other nodes have turns one of 512 bits over. Sets that differ in k of these differ
+in at most k bits. More differing bits and shingles that no other node has than the threshold allows rule a link out.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm import store
@@ -89,19 +90,38 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """One row per document: number of shingles, digest of the set, and its first shingles by hash."""
+    """One row per document: number of shingles, digest of the set, and its first shingles by hash.
+
+    A shingle that several documents of a block begin with is counted in ``known`` of each, and stands once, in ``carried``
+    of one of them; ``prefix`` has the others. So a shingle that all documents have is a row a block, not a document.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch):
                 own = list(shingle_sets(words(part.column("text"), lower=True), size))
                 d1, d2 = zip(*map(_digest, own))
+                known, prefix, carried = _shared_here([x[: 2 * _slack(len(x), percent) + 2] if len(x) > 1 else x[:0] for x in own])
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("rid"), pa.array([len(x) for x in own], pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                    pa.array([x[: 2 * _slack(len(x), percent) + 2].view(np.int64) for x in own], pa.list_(pa.int64())),
-                ], names=["doc_id", "rid", "n", "d1", "d2", "prefix"])
+                    pa.array(known, pa.int64()), *[pa.array([x.view(np.int64) for x in lists], pa.list_(pa.int64())) for lists in (prefix, carried)],
+                ], names=["doc_id", "rid", "n", "d1", "d2", "known", "prefix", "carried"])
+
+    return _keyed(docs).mapInArrow(rows, "doc_id bigint, rid bigint, n bigint, d1 bigint, d2 bigint, known bigint, prefix array<bigint>, carried array<bigint>")
+
+
+def _shared_here(own: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """For each list of a block: how many of its values other lists have, those none has, and the shared ones it has first."""
+    values, of = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+    _, first, at, times = np.unique(values, return_index=True, return_inverse=True, return_counts=True)
+    often = times[at] > 1
+    leads = np.zeros(len(values), bool)
+    leads[first] = True
 
-    return _keyed(docs).mapInArrow(rows, "doc_id bigint, rid bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
+    def lists(chosen: np.ndarray) -> list[np.ndarray]:
+        return np.split(values[chosen], np.searchsorted(of[chosen], np.arange(1, len(own))))
+
+    return np.bincount(of[often], minlength=len(own)), lists(~often), lists(often & leads)
 
 
 def _parity(own: np.ndarray) -> np.ndarray:
@@ -112,7 +132,7 @@ def _parity(own: np.ndarray) -> np.ndarray:
 
 
 def _full(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """Whole shingle sets of the nodes, with their parity bits."""
+    """Whole shingle sets of the nodes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,14 +141,27 @@ def _full(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 d1, d2 = zip(*map(_digest, own))
                 yield pa.RecordBatch.from_arrays([
                     part.column("rid"), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64())),
-                    *[pa.array(x) for x in np.stack([_parity(x) for x in own]).T],
-                ], names=["node", "d1", "d2", "shingles", *_BITS])
+                ], names=["node", "d1", "d2", "shingles"])
 
     own = _keyed(docs).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select("rid", "text")
-    own = own.mapInArrow(rows, "node bigint, d1 bigint, d2 bigint, shingles array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITS))
+    own = own.mapInArrow(rows, "node bigint, d1 bigint, d2 bigint, shingles array<bigint>")
     return own.join(nodes, ["node", "d1", "d2"])
 
 
+def _with_parity(found: DataFrame) -> DataFrame:
+    """The shingles of each node that other nodes have, with their parity bits."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                own = [x.values.to_numpy().view(np.uint64) for x in batch.column("shingles")]
+                bits = np.stack([_parity(x) for x in own]).T
+                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x) for x in bits]], names=[*batch.schema.names, *_BITS])
+
+    own = found.select("node", "n", "s", F.col("found.token").alias("shingles"))
+    return own.mapInArrow(rows, "node bigint, n bigint, s int, shingles array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITS))
+
+
 def _keys(found: DataFrame, percent: int, rare: int) -> DataFrame:
     """Index keys of each node: rare shingles, and pairs of frequent ones in a bucket for each class."""
 
@@ -180,8 +213,9 @@ def _possible(a: str, b: str, percent: int) -> Column:
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
-    """Whether the parity bits and sizes of two nodes leave room for a link."""
+    """Whether the parity bits, sizes and numbers of shingles of their own leave room for a link of two nodes."""
     apart = reduce(Column.__add__, [F.bit_count(F.col(f"{w}{a}").bitwiseXOR(F.col(f"{w}{b}"))) for w in _BITS])
+    apart = apart + F.col(f"n{a}") - F.col(f"s{a}") + F.col(f"n{b}") - F.col(f"s{b}")
     return apart * (100 + percent) <= (F.col(f"n{a}") + F.col(f"n{b}")) * (100 - percent)
 
 
@@ -190,8 +224,8 @@ def _closer(labelled: DataFrame, full: DataFrame, seen: DataFrame, percent: int)
     sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("p"))
     most = sizes.groupBy("key").agg(F.max(F.struct("members", "component", F.col("p.node").alias("p"))).alias("m")).select("key", F.col("m.component").alias("main"), F.col("m.p").alias("p"))
     pairs = labelled.join(most, "key").filter(F.col("component") != F.col("main")).select("node", "p").distinct()
-    own = full.select("node", "n", *_BITS)
-    other = full.select(F.col("node").alias("p"), F.col("n").alias("n_p"), *[F.col(b).alias(f"{b}_p") for b in _BITS])
+    own = full.select("node", "n", "s", *_BITS)
+    other = full.select(F.col("node").alias("p"), F.col("n").alias("n_p"), F.col("s").alias("s_p"), *[F.col(b).alias(f"{b}_p") for b in _BITS])
     alike = pairs.join(own, "node").join(other, "p").filter(_alike("", "_p", percent))
     alike = alike.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
     return _verified(store.keep(alike, "closer"), full, percent)
@@ -204,12 +238,32 @@ def _open_keys(keys: DataFrame, label: DataFrame) -> DataFrame:
     return labelled.join(mixed, "key", "left_semi")
 
 
+def _one_key_of_each(open_: DataFrame) -> DataFrame:
+    """The members of one key of all that have the same ones, told apart by 128 bits: the others would give the same pairs again."""
+    salted = lambda k: F.bit_xor(F.xxhash64("node", F.lit(k)))
+    members = open_.groupBy("key").agg(F.count("*").alias("members"), salted(1).alias("h1"), salted(2).alias("h2"))
+    first = members.groupBy("members", "h1", "h2").agg(F.min("key").alias("key")).select("key")
+    return open_.join(first, "key", "left_semi")
+
+
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets meet the threshold."""
-    side = lambda x: full.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}"))
+    """The pairs (a, b) whose whole sets meet the threshold.
+
+    ``shingles`` are those of a set that other nodes have, which are all that two sets can share, and ``n`` is the size of the
+    whole set. Only the sets of nodes in pairs are moved.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = full.select("node", "n", "shingles").join(wanted, "node", "left_semi")
+    side = lambda x: own.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"of_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return both.withColumn("shared", shared).filter(F.col("shared") * 100 >= (F.size("of_a") + F.size("of_b") - F.col("shared")) * percent).select("a", "b")
+    return both.withColumn("shared", shared).filter(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent).select("a", "b")
+
+
+def _counted(tokens: DataFrame) -> DataFrame:
+    """Rows whose ``token`` stands in several of them, with their number ``df``. The rows are dealt by token once."""
+    df = F.count("*").over(Window.partitionBy("token"))
+    return tokens.withColumn("df", df).filter("df > 1")
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
@@ -230,26 +284,30 @@ def _grouped(docs: DataFrame, size: int, percent: int, rare: int) -> DataFrame:
     spark = docs.sparkSession
     store.prepare(spark)
     prefixes = store.keep(_sets(docs, size, percent), "prefixes")
-    sets = store.keep(prefixes.drop("prefix"), "sets")
+    sets = store.keep(prefixes.select("doc_id", "rid", "n", "d1", "d2"), "sets")
     one = sets.filter("n > 0").groupBy("rid").agg(F.max(F.struct("n", "d1", "d2")).alias("s")).select("rid", "s.*")
     groups = one.groupBy("n", "d1", "d2").agg(F.min("rid").alias("node"))
     groups = store.keep(groups, "groups")
 
-    tokens = prefixes.filter("n > 1").select("rid", F.explode("prefix").alias("token"))
-    several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
-    shared = store.keep(tokens.join(several, "token").groupBy("rid").agg(F.count("*").alias("shared")), "shared")
+    tokens = prefixes.select("rid", F.explode("prefix").alias("token"))
+    carried = prefixes.select(F.lit(None).cast("bigint").alias("rid"), F.explode("carried").alias("token"))
+    known = prefixes.filter("known > 0").select("rid", F.col("known").alias("shared"))
+    elsewhere = _counted(tokens.unionByName(carried)).filter("rid IS NOT NULL").select("rid", F.lit(1).cast("bigint").alias("shared"))
+    shared = store.keep(known.unionByName(elsewhere).groupBy("rid").agg(F.sum("shared").alias("shared")), "shared")
     store.remove(spark, [prefixes])
     least = F.expr(f"(n * {percent} + 99) div 100 * {100 - percent} div 100 + 2")
     nodes = groups.join(shared.withColumnRenamed("rid", "node"), "node").filter(F.col("shared") >= least)
     nodes = store.keep(nodes.select("node", "n", "d1", "d2"), "nodes")
-    full = store.keep(_full(docs, nodes, size).select("node", "n", "shingles", *_BITS), "shingles")
+    whole = store.keep(_full(docs, nodes, size).select("node", "n", "shingles"), "shingles")
 
-    tokens = full.select("node", "n", F.explode("shingles").alias("token"))
-    several = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    found = tokens.join(several, "token").groupBy("node", "n").agg(F.collect_list(F.struct("token", "df")).alias("found"))
+    tokens = whole.select("node", "n", F.explode("shingles").alias("token"))
+    found = _counted(tokens).groupBy("node", "n").agg(F.collect_list(F.struct("token", "df")).alias("found"))
     found = found.withColumn("s", F.size("found")).filter(F.expr(f"n - s <= n * {100 - percent} div 100"))
-    found = found.withColumn("rank", F.expr("cast((n - s) * 1000 div n AS int)"))
-    keys = store.keep(_keys(store.keep(found, "found"), percent, rare), "keys")
+    found = store.keep(found.withColumn("rank", F.expr("cast((n - s) * 1000 div n AS int)")), "found")
+    store.remove(spark, [whole])
+    full = store.keep(_with_parity(found), "shared-shingles")
+    keys = store.keep(_keys(found, percent, rare), "keys")
+    store.remove(spark, [found])
 
     pivot = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("rank", "node", "n", "s")).alias("p"))
     pivot = pivot.filter("members > 1").select("key", F.col("p.node").alias("p"), F.col("p.n").alias("n_p"), F.col("p.s").alias("s_p"))
@@ -269,8 +327,8 @@ def _grouped(docs: DataFrame, size: int, percent: int, rare: int) -> DataFrame:
         before, open_ = open_, store.keep(_open_keys(open_.select("key", "node"), label), "open")
         store.remove(spark, [before])
 
-    facts = open_.join(full.select("node", "n", *_BITS), "node")
-    side = lambda x: facts.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "node", "n", "component", *_BITS)))
+    facts = store.keep(_one_key_of_each(open_), "open").join(full.select("node", "n", "s", *_BITS), "node")
+    side = lambda x: facts.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "node", "n", "s", "component", *_BITS)))
     may = (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b")) & _alike("_a", "_b", percent)
     rest = side("a").join(side("b"), (F.col("key_a") == F.col("key_b")) & may)
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()

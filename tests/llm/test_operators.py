@@ -177,6 +177,21 @@ def test_one_of_each(docs, none):
     assert ngramjoin.near_groups(none).count() == 0
 
 
+def test_a_shingle_of_all_documents_is_a_row_a_block(spark):
+    rows = [(k, LONG + f" own{k}") for k in range(200)]
+    sets = ngramjoin._sets(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 5, 80).collect()
+    dealt = sum(len(r.prefix) + len(r.carried) for r in sets)
+    held = sum(r.known + len(r.prefix) for r in sets)
+    assert held == sum(2 * (r.n * 20 // 100) + 2 for r in sets)
+    assert dealt < 2 * len(rows) and all(r.known > 40 for r in sets)
+
+
+def test_keys_with_the_same_members_are_compared_once(spark):
+    rows = [(key, node, node % 2) for key in range(50) for node in (1, 2, 3)] + [(90, 1, 1), (90, 2, 0), (91, 3, 1)]
+    got = ngramjoin._one_key_of_each(spark.createDataFrame(rows, "key long, node long, component long")).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 1), (0, 2, 0), (0, 3, 1), (90, 1, 1), (90, 2, 0), (91, 3, 1)]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 150), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
