@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskflow.functions import age_start
 from riskflow.operators.ranking import join_groups, quantiles, running_totals, value_counts
 from riskflow.params import Params
-from riskflow.session import stage
+from riskflow.session import keep, stage
 
 # Values that name no demographic group.
 NOT_A_GROUP = ["missing", "Unknown/Invalid"]
@@ -184,7 +184,8 @@ METRICS = ["pr_auc", "roc_auc", "brier", "recall_at_k", "precision_at_k", "fairn
 def evaluate_wide(scored: DataFrame, by: tuple[str, ...], params: Params = Params()) -> DataFrame:
     """One row of metrics per model, 5 decimals. ``scored`` should be staged or cheap to read twice."""
     counts = stage(score_counts(scored, by))
-    curve = pr_curve(counts, by)
+    # Many distinct scores are ordered in ranges; the curve has four readers and is ordered for all of them at once.
+    curve = keep(pr_curve(counts, by), "curve")
     topk = recall_precision_at_k(scored, params.top_k_frac, by, curve=curve)
     gaps = fairness_gap(group_recall(scored, params.top_k_frac, by, params, counts), by)
     joined = (

@@ -21,7 +21,7 @@ from riskflow.operators.joins import sorted_side
 from riskflow.operators.ranking import exact_quantiles, histogram, value_counts
 from riskflow.params import Params
 from riskflow.plans import jobs
-from riskflow.session import shared_dir, stage
+from riskflow.session import keep, shared_dir, stage
 from riskflow.sources import daily, datagen, derived, read_prediction_log, sinks, versions
 from riskflow.streaming import streams
 from riskflow.streaming.windows import latest_windows
@@ -60,7 +60,7 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     """(encounter, model, score, target) for the rule index and for near-unique scores."""
-    return stage(evaluation.with_models(derived.scored_encounters(spark, d), {"lace": "lace", "blend": "blend"}))
+    return keep(evaluation.with_models(derived.scored_encounters(spark, d), {"lace": "lace", "blend": "blend"}), "scored")
 
 
 def _period(df: DataFrame, current: bool) -> DataFrame:

@@ -223,3 +223,12 @@ def test_visits_cut_in_ranges_equal_plain_order(spark):
     plain = visit_sequence(visits, "p", "t", "k")
     cut = visit_sequence(visits, "p", "t", "k", max_rows=50)
     assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(plain.columns).collect()))
+
+
+def test_the_curve_is_ordered_once_for_all_metrics(spark, monkeypatch):
+    rows = [("m", k, float(k % 97) / 97, k % 3 % 2, "Female", "Asian", "[70-80)") for k in range(300)]
+    scored = spark.createDataFrame(rows, "model string, encounter_id long, score double, target int, gender string, race string, age string")
+    curves = []
+    monkeypatch.setattr(evaluation, "curve_metrics", lambda curve, by: curves.append(curve) or curve.groupBy(*by).agg(*[F.lit(0.0).alias(c) for c in ("pr_auc", "roc_auc", "brier")]))
+    evaluation.evaluate_wide(scored, ("model",)).collect()
+    assert "Window" not in curves[0]._jdf.queryExecution().toString()
