@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.sources.sinks import LOG_CODEC, LOG_FILE_RECORDS
+
 DAY = "day"
 
 
@@ -20,7 +22,8 @@ def append_daily(df: DataFrame, path: str, unit: str = "day") -> None:
     ``unit`` is ``day`` or ``month``, the same for all writers of a log. Small folders get one file, large ones several.
     """
     rows = df.withColumn(DAY, F.to_date(F.date_trunc(unit, "ts"))).hint("rebalance", DAY)
-    rows.write.mode("append").partitionBy(DAY).option("ignoreNullFields", False).json(path)
+    writer = rows.write.mode("append").partitionBy(DAY).option("ignoreNullFields", False)
+    writer.option("maxRecordsPerFile", LOG_FILE_RECORDS).option("compression", LOG_CODEC).json(path)
 
 
 def days(spark: SparkSession, path: str) -> list[date]:

@@ -73,3 +73,14 @@ def test_references_add_up(spark, cohort_table):
     both = monitoring.reference_of(a, one).plus(monitoring.reference_of(b, two))
     assert Counter(map(tuple, both.profile.collect())) == Counter(map(tuple, profile(clean(cohort_table)).collect()))
     assert Counter(map(tuple, both.scores.collect())) == Counter(map(tuple, score_counts(scored).collect()))
+
+
+def test_files_of_a_day_are_compressed_and_bounded(spark, log, tmp_path, monkeypatch):
+    df, _ = log
+    monkeypatch.setattr(daily, "LOG_FILE_RECORDS", 50)
+    path = tmp_path / "bounded"
+    daily.append_daily(df, str(path), "month")
+    files = [p for p in path.rglob("part-*") if not p.name.endswith(".crc")]
+    assert files and all(p.name.endswith(".json.snappy") for p in files)
+    assert max(spark.read.json(str(p)).count() for p in files) <= 50
+    assert daily.read_daily(spark, str(path), SCHEMA).count() == df.count()
