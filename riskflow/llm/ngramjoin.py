@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm import store
+from riskflow.llm import keybits, store
 from riskflow.llm.components import components
 from riskflow.llm.text import Words, blocks, mix, windows, words
 
@@ -132,20 +132,21 @@ def _parity(own: np.ndarray) -> np.ndarray:
 
 
 def _full(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """Whole shingle sets of the nodes."""
+    """Whole shingle sets of the nodes. Texts that are surely no node's are not moved."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch):
                 own = list(shingle_sets(words(part.column("text"), lower=True), size))
-                d1, d2 = zip(*map(_digest, own))
+                wanted = zip(part.column("d1").to_pylist(), part.column("d2").to_pylist())
+                same = np.array([_digest(x) == d for x, d in zip(own, wanted)])
                 yield pa.RecordBatch.from_arrays([
-                    part.column("rid"), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64())),
-                ], names=["node", "d1", "d2", "shingles"])
+                    *(part.column(x).filter(pa.array(same)) for x in ("node", "n")), pa.array([own[k].view(np.int64) for k in np.flatnonzero(same)], pa.list_(pa.int64())),
+                ], names=["node", "n", "shingles"])
 
-    own = _keyed(docs).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select("rid", "text")
-    own = own.mapInArrow(rows, "node bigint, d1 bigint, d2 bigint, shingles array<bigint>")
-    return own.join(nodes, ["node", "d1", "d2"])
+    texts = _keyed(docs).select(F.col("rid").alias("node"), "text")
+    may = keybits.mark(texts, "node", nodes.select("node"), "may").filter("may").drop("may")
+    return may.join(nodes, "node").select("node", "n", "d1", "d2", "text").mapInArrow(rows, "node bigint, n bigint, shingles array<bigint>")
 
 
 def _with_parity(found: DataFrame) -> DataFrame:
@@ -298,7 +299,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, rare: int) -> DataFrame:
     least = F.expr(f"(n * {percent} + 99) div 100 * {100 - percent} div 100 + 2")
     nodes = groups.join(shared.withColumnRenamed("rid", "node"), "node").filter(F.col("shared") >= least)
     nodes = store.keep(nodes.select("node", "n", "d1", "d2"), "nodes")
-    whole = store.keep(_full(docs, nodes, size).select("node", "n", "shingles"), "shingles")
+    whole = store.keep(_full(docs, nodes, size), "shingles")
 
     tokens = whole.select("node", "n", F.explode("shingles").alias("token"))
     found = _counted(tokens).groupBy("node", "n").agg(F.collect_list(F.struct("token", "df")).alias("found"))

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontam, latent, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, store, viterbi
+from riskflow.llm import decontam, keybits, latent, licenses, linedup, ngramjoin, planes, pseudonyms, raking, repeats, rules, store, viterbi
 from riskflow.llm.components import components
 from riskflow.llm.queries import TOKENIZER, VOCABULARY
 from riskflow.llm.text import words
@@ -177,6 +177,49 @@ def test_one_of_each(docs, none):
     assert ngramjoin.near_groups(none).count() == 0
 
 
+def moved_rows(df):
+    """The rows of ``df`` and how many rows its plan shuffled, with no table small enough to be broadcast unasked."""
+    spark, key = df.sparkSession, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = df.collect()
+        found, plans = 0, [df._jdf.queryExecution().executedPlan()]
+        while plans:
+            plan = plans.pop()
+            name = plan.nodeName()
+            if name == "Exchange":
+                found += plan.metrics().apply("shuffleRecordsWritten").value()
+            inner = plan.finalPhysicalPlan() if name == "AdaptiveSparkPlan" else plan.plan() if "QueryStage" in name else None
+            children = plan.children()
+            plans += [inner] if inner else [children.apply(k) for k in range(children.size())]
+    finally:
+        spark.conf.set(key, before)
+    return rows, found
+
+
+def distinct_texts(n):
+    return [(k, " ".join(f"d{k}_{j}" for j in range(30))) for k in range(n)]
+
+
+def test_texts_that_are_no_nodes_are_not_moved(spark):
+    docs = spark.createDataFrame([*distinct_texts(500), (7, "the same id another text"), (None, None)], "doc_id long, text string")
+    one = ngramjoin._sets(docs, 4, 85).filter("doc_id IN (7, 300) AND n > 20").select(F.col("rid").alias("node"), "n", "d1", "d2")
+    got, moved = moved_rows(ngramjoin._full(docs, store.keep(one, "nodes"), 4))
+    assert sorted((r.node, r.n, len(r.shingles)) for r in got) == [(7, 27, 27), (300, 27, 27)]
+    assert moved < 100
+
+
+def test_mark_misses_no_key(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
+    for n in (0, 1, 6_000):
+        keys = spark.range(n).select((F.col("id") * 5 + 5).alias("k"))
+        found = {r.k: r.may for r in keybits.mark(rows, "k", keys, "may").collect()}
+        assert len(found) == 40_000 and not found[None]
+        assert all(found[k] for k in range(5, min(5 * n + 5, 40_000), 5))
+        assert sum(found.values()) <= 1.3 * n + 5
+
+
 def test_a_shingle_of_all_documents_is_a_row_a_block(spark):
     rows = [(k, LONG + f" own{k}") for k in range(200)]
     sets = ngramjoin._sets(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 5, 80).collect()
