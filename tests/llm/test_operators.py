@@ -210,6 +210,14 @@ def test_texts_that_are_no_nodes_are_not_moved(spark):
     assert moved < 100
 
 
+def test_rows_alone_in_their_group_are_not_moved(spark):
+    rows = distinct_texts(500)
+    docs = store.keep(spark.createDataFrame([*rows, (900, rows[3][1]), (901, rows[3][1]), (4, rows[4][1]), (None, rows[5][1])], "doc_id long, text string"), "docs")
+    got, moved = moved_rows(ngramjoin.one_of_each(docs))
+    assert sorted(map(tuple, got)) == sorted(rows)
+    assert moved < 250
+
+
 def test_mark_misses_no_key(spark):
     rows = spark.range(40_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
     for n in (0, 1, 6_000):
