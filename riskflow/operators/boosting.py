@@ -5,9 +5,9 @@ needs from the rows is how many rows, and what sums of gradients and curvatures,
 are whole numbers of ``1 / ONE``, so these sums don't depend on who adds them up in which order, and the same trees come out
 of all ways to get them, which the number of training rows decides:
 
-* up to ``IN_TASK_ROWS`` one task holds the codes and grows all trees; the driver gets the model only;
-* beyond that the tasks of one barrier stage hold a share of the rows each, up to as many. They add up the counts of
-  every split by ``allGather`` and grow the same trees from the same sums, so rows are read once for a fit;
+* up to ``ALONE_ROWS`` one task holds the codes and grows all trees; the driver gets the model only;
+* beyond that the tasks of one barrier stage hold a share of the rows each, up to ``IN_TASK_ROWS``. They add up the counts of
+  every split (``Exchange``) and grow the same trees from the same sums, so rows are read once for a fit;
 * where the cores there are can't hold the rows so, each round of splits is one Spark aggregation over the stored rows, whose
   result is as large as the open leaves times the codes. Every ``TREES_PER_PASS`` trees the rows are stored again with their
   margins.
@@ -21,9 +21,14 @@ import base64
 import heapq
 import json
 import math
+import os
+import shutil
+import time
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +40,21 @@ from pyspark.sql import functions as F
 from riskflow.contract import CAT_COLS, NUM_COLS
 from riskflow.functions import hash_bucket
 from riskflow.operators.ranking import quantiles
-from riskflow.session import keep
+from riskflow.session import keep, shared_dir
 
 MAX_BINS = 255
+#: Rows that one task grows trees from by itself; beyond that each task of a barrier stage has about as many, if there are the cores.
+ALONE_ROWS = 500_000
 #: Rows (about 100 bytes each) that one task may hold to grow trees, by itself or as its share of a barrier stage.
 IN_TASK_ROWS = 8_000_000
 #: Combinations of codes that are counted at once; their sums should fit into a core's cache.
-JOINT_CODES = 4096
+JOINT_CODES = 8192
+#: Rows counted at once, for the same reason.
+BLOCK_ROWS = 65_536
+#: Leaves that tasks split between two sums over all of them. More are split in vain, fewer wait more often.
+SHARED_AHEAD = 4
+#: Seconds that tasks look for each other's files before they give up on files.
+MEETING_SECONDS = 5.0
 TREES_PER_PASS = 10
 ONE = 1 << 24
 LEAST_CURVATURE = 1e-3
@@ -138,6 +151,18 @@ def coded(cleaned: DataFrame, codes: Codes, keep_columns: list[str]) -> DataFram
 
 # ---- trees -------------------------------------------------------------------------------------
 
+def _places(kind: type, factor: int) -> tuple:
+    """How the place of a single bit is found: a product with a de Bruijn sequence has other high bits for each."""
+    bits = np.iinfo(kind).bits
+    shift = kind(bits - bits.bit_length() + 1)
+    place = np.empty(bits, np.int64)
+    place[((kind(1) << np.arange(bits, dtype=kind)) * kind(factor)) >> shift] = np.arange(bits)
+    return kind(factor), shift, place
+
+
+_LOWEST = {np.uint32: _places(np.uint32, 0x077CB531), np.uint64: _places(np.uint64, 0x03F79D71B4CB0A89)}
+
+
 @dataclass
 class Tree:
     """Nodes in order of creation. Left is ``code <= cut`` for ordered features and ``code == cut`` for others; a leaf leads to itself."""
@@ -162,6 +187,9 @@ class Tree:
 
     def leaf(self, codes: np.ndarray, ordered: np.ndarray) -> np.ndarray:
         """The leaf of each row."""
+        leaves = (len(self.feature) + 1) // 2
+        if leaves <= 64 and len(codes):
+            return self._leaf_by_masks(codes, ordered, np.uint32 if leaves <= 32 else np.uint64)
         feature, cut = np.array(self.feature), np.array(self.cut)
         left, right = np.array(self.left), np.array(self.right)
         node, rows = np.zeros(len(codes), np.int64), np.arange(len(codes))
@@ -171,6 +199,30 @@ class Tree:
             node = np.where(np.where(ordered[f], code <= at, code == at), left[node], right[node])
         return node
 
+    def _leaf_by_masks(self, codes: np.ndarray, ordered: np.ndarray, kind: type) -> np.ndarray:
+        """Leaves are bits, from left to right. Each code of a feature has the leaves left that its splits don't rule out; of
+        those that all features leave, a row's leaf is the first."""
+        below: list[list[int]] = [[] for _ in self.feature]
+        for node in range(len(self.feature) - 1, -1, -1):  # children come after their parent
+            a, b = self.left[node], self.right[node]
+            below[node] = [node] if a == node else below[a] + below[b]
+        bit = {leaf: k for k, leaf in enumerate(below[0])}
+        tables: dict[int, np.ndarray] = {}
+        for node, f in enumerate(self.feature):
+            if self.left[node] == node:
+                continue
+            if f not in tables:
+                tables[f] = np.full(int(codes[:, f].max()) + 1, np.iinfo(kind).max, kind)
+            code = np.arange(len(tables[f]))
+            goes = code <= self.cut[node] if ordered[f] else code == self.cut[node]
+            tables[f][~goes] &= kind(np.iinfo(kind).max ^ sum(1 << bit[leaf] for leaf in below[self.left[node]]))
+        rest = np.full(len(codes), np.iinfo(kind).max, kind)
+        for f, table in tables.items():
+            rest &= table[codes[:, f]]
+        rest &= ~rest + kind(1)  # the lowest bit by itself
+        factor, shift, place = _LOWEST[kind]
+        return np.array(below[0])[place[(rest * factor) >> shift]]
+
 
 def margins(codes: np.ndarray, base: np.ndarray | float, trees: list[Tree], ordered: np.ndarray) -> np.ndarray:
     """``base`` plus the trees' values, added in their order."""
@@ -203,11 +255,12 @@ class Layout:
         self.n = sum(self.sizes)
         self.feature = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.is_ordered = self.ordered[self.feature]
-        self.joint: list[list[int]] = [[]]
-        for f, size in enumerate(self.sizes):
-            if math.prod([size, *(self.sizes[k] for k in self.joint[-1])]) > JOINT_CODES and self.joint[-1]:
-                self.joint.append([])
-            self.joint[-1].append(f)
+        self.joint: list[list[int]] = []
+        for f in sorted(range(len(self.sizes)), key=lambda f: -self.sizes[f]):
+            own = next((own for own in self.joint if math.prod([self.sizes[f], *(self.sizes[k] for k in own)]) <= JOINT_CODES), None)
+            if own is None:
+                self.joint.append(own := [])
+            own.append(f)
 
     def slots(self, codes: np.ndarray) -> np.ndarray:
         return codes + self.first.astype(np.int32)
@@ -312,14 +365,27 @@ def histogram(slots: np.ndarray, g: np.ndarray, h: np.ndarray, n: int) -> np.nda
     return out
 
 
+def by_feature(cells: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """Sums for each feature's codes from those for combinations of codes, halving the features each time."""
+    if len(sizes) == 1:
+        return [cells]
+    half = len(sizes) // 2
+    both = cells.reshape(len(cells), math.prod(sizes[:half]), -1)
+    return by_feature(both.sum(axis=2), sizes[:half]) + by_feature(both.sum(axis=1), sizes[half:])
+
+
 class HeldRows:
     """All training rows in memory. Features share a code where their sizes allow it, so that they are counted together."""
 
     def __init__(self, codes: np.ndarray, target: np.ndarray, weight: np.ndarray, held_out: np.ndarray, base: float, layout: Layout):
         self.layout, self.codes, self.target, self.weight = layout, np.asfortranarray(compact(codes, layout)), target, weight
         self.joint = [joint_code(self.codes, own, layout) for own in layout.joint]
-        self.margin = np.full(len(codes), base)
-        self.fitted, self.tested = np.flatnonzero(~held_out), np.flatnonzero(held_out)
+        self.margin, self.g, self.h = np.full(len(codes), base), np.empty(len(codes)), np.empty(len(codes))
+        kind = np.int32 if len(codes) <= np.iinfo(np.int32).max else np.int64
+        self.fitted, self.tested = (np.flatnonzero(x).astype(kind) for x in (~held_out, held_out))
+        self.tested_codes = np.asfortranarray(self.codes[self.tested])
+        #: How many rows each slot has at the root, which is the same for all trees.
+        self.counts: np.ndarray | None = None
         #: Rows of leaves, and of both sides of the splits that were asked for.
         self.of: dict[int, np.ndarray] = {}
         self.sides: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -328,25 +394,38 @@ class HeldRows:
         t = self.tested
         if trees:
             tree = trees[-1]
-            self.margin[t] = margins(self.codes[t], self.margin[t], [tree], self.layout.ordered)
+            self.margin[t] = margins(self.tested_codes, self.margin[t], [tree], self.layout.ordered)
             for node in range(len(tree.feature)):
                 if tree.left[node] == node:
                     for rows in self.sides[node] if node in self.sides else (self._rows(tree, node),):
                         self.margin[rows] += tree.value[node]
-        self.g, self.h = gradients(self.margin, self.target, self.weight)
+        for at in range(0, len(self.margin), BLOCK_ROWS):
+            own = slice(at, at + BLOCK_ROWS)
+            self.g[own], self.h[own] = gradients(self.margin[own], self.target[own], self.weight[own])
         self.of, self.sides = {0: self.fitted}, {}
-        return int(losses(self.margin[t], self.target[t], self.weight[t]).sum()), self._histogram(self.fitted)
-
-    def _histogram(self, rows: np.ndarray) -> np.ndarray:
-        """What ``histogram`` gives. Sums over shared codes are added up to those of each feature."""
-        g, h, out = self.g[rows], self.h[rows], np.empty((self.layout.n, 3), np.int64)
-        for own, joint in zip(self.layout.joint, self.joint):
-            code, sizes = joint[rows].astype(np.intp), [self.layout.sizes[f] for f in own]
-            for to, what in enumerate((None, g, h)):
-                sums = np.bincount(code, what, math.prod(sizes)).reshape(sizes)
-                for k, f in enumerate(own):
-                    first = self.layout.first[f]
-                    out[first : first + sizes[k], to] = sums.sum(axis=tuple(j for j in range(len(own)) if j != k))
+        root = self._histogram(self.fitted, self.counts)
+        self.counts = root[:, 0]
+        return int(losses(self.margin[t], self.target[t], self.weight[t]).sum()), root
+
+    def _histogram(self, rows: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+        """What ``histogram`` gives. Sums over shared codes are added up to those of each feature; known ``counts`` are taken over."""
+        out, sizes = np.empty((self.layout.n, 3), np.int64), self.layout.sizes
+        cells = [math.prod(sizes[f] for f in own) for own in self.layout.joint]
+        totals = [np.zeros((3, n)) for n in cells]
+        for at in range(0, len(rows), BLOCK_ROWS):
+            block = rows[at : at + BLOCK_ROWS].astype(np.intp)
+            g, h = self.g[block], self.h[block]
+            for joint, total, n in zip(self.joint, totals, cells):
+                code = joint[block].astype(np.intp)
+                if counts is None:
+                    total[0] += np.bincount(code, None, n)
+                total[1] += np.bincount(code, g, n)
+                total[2] += np.bincount(code, h, n)
+        for own, total in zip(self.layout.joint, totals):
+            for f, sums in zip(own, by_feature(total, [sizes[f] for f in own])):
+                out[self.layout.first[f] : self.layout.first[f] + sizes[f]] = sums.T
+        if counts is not None:
+            out[:, 0] = counts
         return out
 
     def _rows(self, tree: Tree, leaf: int) -> np.ndarray:
@@ -359,7 +438,7 @@ class HeldRows:
         out = []
         for node, child in asked:
             rows, f, cut = self._rows(tree, node), tree.feature[node], tree.cut[node]
-            code = self.codes[rows, f]
+            code = self.codes[:, f][rows]
             goes = code <= cut if self.layout.ordered[f] else code == cut
             self.sides[node] = rows[goes], rows[~goes]
             del self.of[node]
@@ -370,21 +449,87 @@ class HeldRows:
 class SharedRows(HeldRows):
     """One task's share of the training rows; losses and histograms are those of all tasks of its barrier stage."""
 
+    def __init__(self, *args, exchange: Exchange):
+        super().__init__(*args)
+        self.exchange = exchange
+
     def begin(self, trees: list[Tree]) -> tuple[int, np.ndarray]:
         loss, hist = super().begin(trees)
         # The loss travels in a row of its own.
-        found = _added(np.vstack([hist, [[loss, 0, 0]]]))
+        found = self.exchange.added(np.vstack([hist, [[loss, 0, 0]]]))
         return int(found[-1, 0]), found[:-1]
 
     def smaller(self, tree: Tree, asked: list[tuple[int, int]]) -> list[np.ndarray]:
-        return list(_added(np.stack(super().smaller(tree, asked))))
+        return list(self.exchange.added(np.stack(super().smaller(tree, asked))))
+
 
+class Exchange:
+    """Sums of arrays of whole numbers over the tasks of a barrier stage, which all call it alike.
 
-def _added(own: np.ndarray) -> np.ndarray:
-    """The sum of the arrays of whole numbers that the tasks of this barrier stage call it with."""
-    packed = base64.b64encode(zlib.compress(own.tobytes(), 1)).decode()
-    all_ = BarrierTaskContext.get().allGather(packed)
-    return sum(np.frombuffer(zlib.decompress(base64.b64decode(x)), np.int64) for x in all_).reshape(own.shape)
+    By ``allGather`` each sum takes a second, because Spark looks for the others' messages once a second. So where all tasks see
+    the folder ``at``, each replaces a file of its own there, the first one adds the files up, and all read the file of sums.
+    """
+
+    def __init__(self, at: str | None):
+        self.context, self.calls, self.at = BarrierTaskContext.get(), 0, None
+        self.me, self.tasks = self.context.partitionId(), len(self.context.getTaskInfos())
+        # A stage that is run again gets a folder of its own.
+        first = self.context.allGather(str(self.context.taskAttemptId()))[0]
+        if at is not None and "no" not in self.context.allGather("yes" if self._met(f"{at}/{first}") else "no"):
+            self.at = f"{at}/{first}"
+
+    def _met(self, folder: str) -> bool:
+        try:
+            os.makedirs(folder, exist_ok=True)
+            self._write(folder, f"part-{self.me}", np.zeros(0, np.int64))
+        except OSError:
+            return False
+        until = time.monotonic() + MEETING_SECONDS
+        return all(self._read(folder, f"part-{k}", until) is not None for k in range(self.tasks))
+
+    def added(self, own: np.ndarray) -> np.ndarray:
+        """The sum of all tasks' arrays."""
+        self.calls += 1
+        if self.at is None:
+            all_ = self.context.allGather(base64.b64encode(zlib.compress(own.tobytes(), 1)).decode())
+            return sum(np.frombuffer(zlib.decompress(base64.b64decode(x)), np.int64) for x in all_).reshape(own.shape)
+        if self.me:
+            self._write(self.at, f"part-{self.me}", own)
+            return self._read(self.at, "sum").reshape(own.shape)
+        total = own.ravel().copy()
+        for k in range(1, self.tasks):
+            total += self._read(self.at, f"part-{k}")
+        self._write(self.at, "sum", total)
+        return total.reshape(own.shape)
+
+    def _write(self, folder: str, name: str, values: np.ndarray) -> None:
+        path = f"{folder}/{name}"
+        with open(f"{path}.new", "wb") as f:
+            f.write(np.int64(self.calls).tobytes() + values.tobytes())
+        os.replace(f"{path}.new", path)
+
+    def _read(self, folder: str, name: str, until: float = math.inf) -> np.ndarray | None:
+        """The values of this call, waited for: a file of an earlier call is still to be replaced."""
+        pause = 0.0002
+        while True:
+            try:
+                with open(f"{folder}/{name}", "rb") as f:
+                    if int.from_bytes(f.read(8), "little") == self.calls:
+                        return np.frombuffer(f.read(), np.int64)
+            except OSError:
+                pass
+            if time.monotonic() > until:
+                return None
+            time.sleep(pause)
+            pause = min(1.5 * pause, 0.001)
+
+
+def exchange_dir(spark: SparkSession) -> str | None:
+    """A folder for files of one fit's tasks in the shared one, if that may be a folder of a file system they see as theirs."""
+    where = shared_dir(spark)
+    parsed = urlparse(where)
+    path = unquote(parsed.path) if parsed.scheme == "file" else where
+    return f"{path.rstrip('/')}/boosting-{uuid.uuid4().hex}" if parsed.scheme in ("", "file") else None
 
 
 def compact(codes: np.ndarray, layout: Layout) -> np.ndarray:
@@ -509,36 +654,55 @@ def _task(rows: DataFrame, how: Boosting, balanced: bool, seed: int) -> Task:
     return Task(table, n, math.log(share / (1.0 - share)), stops)
 
 
-def fit(rows: DataFrame, codes: Codes, how: Boosting, balanced: bool, seed: int, in_task_rows: int = IN_TASK_ROWS) -> dict:
+def fit(rows: DataFrame, codes: Codes, how: Boosting, balanced: bool, seed: int, in_task_rows: int = IN_TASK_ROWS, alone_rows: int = ALONE_ROWS) -> dict:
     """A boosted model as plain data: ``base`` and ``trees``. ``rows`` is (encounter_id, target, codes), stored.
 
     No rows, or rows of one class, give a model without splits.
     """
     layout, task = Layout(codes.sizes, codes.ordered), _task(rows, how, balanced, seed)
     base, stops = task.base, task.stops
-    tasks = 1 if task.n <= in_task_rows else barrier_slots(rows.sparkSession)
+    tasks = 1
+    if task.n > min(alone_rows, in_task_rows):
+        tasks = min(barrier_slots(rows.sparkSession), math.ceil(task.n / min(alone_rows, in_task_rows)))
     if task.n > tasks * in_task_rows:
         trees = boost(StoredRows(task.rows, base, layout), layout, how, stops, ahead=how.leaves)
         return {"base": base, "trees": [asdict(t) for t in trees]}
-    kind = HeldRows if tasks == 1 else SharedRows
-
-    def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [
-            (compact(code_matrix(b), layout), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("target", "weight", "held_out")))
-            for b in batches if b.num_rows
-        ]
-        if not parts:
-            parts = [(np.zeros((0, len(layout.sizes)), np.uint8), np.zeros(0), np.zeros(0), np.zeros(0, bool))]
-        held = kind(*[np.concatenate(x) for x in zip(*parts)], base, layout)
-        del parts
-        # Every call of a barrier stage waits for all its tasks, about a second.
-        trees = boost(held, layout, how, stops, ahead=1 if tasks == 1 else how.leaves)
-        if tasks == 1 or BarrierTaskContext.get().partitionId() == 0:
-            yield pa.RecordBatch.from_arrays([pa.array([json.dumps([asdict(t) for t in trees])])], names=["trees"])
-
-    # Each task's rows are few, by the count above.
-    found = task.rows.repartition(tasks).mapInArrow(in_task, "trees string", barrier=tasks > 1).collect()
-    return {"base": base, "trees": json.loads(found[0]["trees"]) if found else []}
+
+    def trees_in(tasks: int, at: str | None) -> list[dict] | None:
+        """The trees, grown in so many tasks; none where they would have to wait for each other longer than one alone would take."""
+        def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shared = {"exchange": Exchange(at)} if tasks > 1 else {}
+            if shared and shared["exchange"].at is None and task_n <= in_task_rows:
+                return
+            parts = [
+                (compact(code_matrix(b), layout), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("target", "weight", "held_out")))
+                for b in batches if b.num_rows
+            ]
+            if not parts:
+                parts = [(np.zeros((0, len(layout.sizes)), np.uint8), np.zeros(0), np.zeros(0), np.zeros(0, bool))]
+            columns = [np.concatenate(x) for x in zip(*parts)]
+            del parts
+            held = (SharedRows if shared else HeldRows)(*columns, base, layout, **shared)
+            del columns
+            ahead = 1 if not shared else SHARED_AHEAD if shared["exchange"].at else how.leaves
+            trees = boost(held, layout, how, stops, ahead)
+            if not shared or shared["exchange"].me == 0:
+                yield pa.RecordBatch.from_arrays([pa.array([json.dumps([asdict(t) for t in trees])])], names=["trees"])
+
+        task_n = task.n
+        # Each task's rows are few, by the count above.
+        found = task.rows.repartition(tasks).mapInArrow(in_task, "trees string", barrier=tasks > 1).collect()
+        return json.loads(found[0]["trees"]) if found else None
+
+    at = exchange_dir(rows.sparkSession) if tasks > 1 else None
+    try:
+        trees = trees_in(tasks, at)
+    finally:
+        if at:
+            shutil.rmtree(at, ignore_errors=True)
+    if trees is None:
+        trees = trees_in(1, None) if tasks > 1 else []
+    return {"base": base, "trees": trees or []}
 
 
 def barrier_slots(spark: SparkSession) -> int:

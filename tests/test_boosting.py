@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -96,6 +97,59 @@ def test_tasks_of_a_barrier_stage_give_the_same_trees(prepared):
         assert held == boosting.fit(rows, prepared.codes, how, True, 1, in_task_rows=most)
 
 
+def test_tasks_wait_shortly_for_each_other(prepared):
+    """Forty trees need some 200 sums over all tasks, each of which took a second."""
+    how = Boosting(step=0.3, rounds=40, leaves=6, l2=1.0)
+    held = boosting.fit(prepared.coded, prepared.codes, how, True, 1)
+    start = time.monotonic()
+    assert held == boosting.fit(prepared.coded, prepared.codes, how, True, 1, alone_rows=1500) and len(held["trees"]) == 40
+    assert time.monotonic() - start < 80
+
+
+@pytest.mark.parametrize("at", [None, "/dev/null/none"])
+def test_tasks_without_a_common_folder(prepared, monkeypatch, at):
+    """One task alone where it may hold the rows, otherwise sums by way of the driver."""
+    monkeypatch.setattr(boosting, "exchange_dir", lambda spark: at)
+    how = Boosting(step=0.3, rounds=2, leaves=4, l2=1.0)
+    held = boosting.fit(prepared.coded, prepared.codes, how, True, 1)
+    assert held == boosting.fit(prepared.coded, prepared.codes, how, True, 1, alone_rows=1500)
+    assert held == boosting.fit(prepared.coded, prepared.codes, how, True, 1, in_task_rows=2000, alone_rows=1500)
+
+
+def test_exchange_dir(spark, tmp_path):
+    class Session:
+        def __init__(self, at):
+            self.conf, self.sparkContext = {"spark.checkpoint.dir": at}, spark.sparkContext
+
+    for at, found in ((f"{tmp_path}/a%20b/", f"{tmp_path}/a%20b/"), (f"file://{tmp_path}/a%20b", f"{tmp_path}/a b/"), (f"file:{tmp_path}", f"{tmp_path}/")):
+        assert boosting.exchange_dir(Session(at)).startswith(f"{found}boosting-")
+    assert boosting.exchange_dir(Session("hdfs://names/shared")) is None
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 9, 32, 33, 64, 65, 90])
+def test_leaves_of_rows(leaves):
+    """Rows reach the leaf that a walk by hand leads to, on both sides of the limits of 32 and 64 leaves."""
+    rng = np.random.default_rng(leaves)
+    codes, tree, at = some_rows(400, leaves)[0].astype(np.uint8), Tree(), {0: 0}
+    while len(at) < leaves:
+        node = int(rng.choice(list(at)))
+        f = int(rng.integers(0, len(SIZES)))
+        for child in tree.split(node, f, int(rng.integers(0, SIZES[f] + 1))):
+            at[child] = at[node] + 1
+        del at[node]
+    tree.depth = max(at.values())
+
+    def walk(row):
+        node = 0
+        while tree.left[node] != node:
+            f, cut = tree.feature[node], tree.cut[node]
+            node = (tree.left if (row[f] <= cut if ORDERED[f] else row[f] == cut) else tree.right)[node]
+        return node
+
+    assert tree.leaf(codes, ORDERED).tolist() == [walk(row) for row in codes.tolist()]
+    assert tree.leaf(codes[:0], ORDERED).tolist() == []
+
+
 def test_features_counted_together():
     """Shared codes give the counts of each feature, with few and with many codes, and rows are read no wider than needed."""
     rng = np.random.default_rng(3)
