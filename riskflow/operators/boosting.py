@@ -227,6 +227,7 @@ class Tree:
 def margins(codes: np.ndarray, base: np.ndarray | float, trees: list[Tree], ordered: np.ndarray) -> np.ndarray:
     """``base`` plus the trees' values, added in their order."""
     out = np.zeros(len(codes)) + base
+    codes = np.asfortranarray(codes)  # trees read whole columns
     for tree in trees:
         out += np.array(tree.value)[tree.leaf(codes, ordered)]
     return out
